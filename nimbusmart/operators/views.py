@@ -83,10 +83,14 @@ def national_mean(
 
 
 def national_compass(mart: DataFrame, year: int | None = None, digits: int | None = None) -> DataFrame:
-    """National mean wind direction with its arrow glyph."""
+    """National mean wind direction with its arrow glyph (T7, F10). The glyph is
+    taken from the unrounded mean; ``digits`` only rounds the shown value."""
     label = label_of(WIND_DIR)
-    view = national_mean(mart, WIND_DIR, year, labelled=True, digits=digits)
-    return view.withColumn("Arrow", compass_glyph(F.col(label)))
+    view = national_mean(mart, WIND_DIR, year, labelled=True)
+    view = view.withColumn("Arrow", compass_glyph(F.col(label)))
+    if digits is not None:
+        view = view.withColumn(label, F.round(F.col(label), digits))
+    return view
 
 
 def with_compass(df: DataFrame, metric: str = WIND_DIR) -> DataFrame:

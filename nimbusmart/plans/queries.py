@@ -115,3 +115,140 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
+
+
+# --- serving and views over the risk mart -------------------------------------
+
+from nimbusmart.functions.metrics import METRIC_LABELS, label_of  # noqa: E402
+from nimbusmart.functions.scalar import COMPASS_GLYPHS, COMPASS_LABELS  # noqa: E402
+from nimbusmart.operators import serving, views  # noqa: E402
+
+SERVE_YEAR = 1998
+SERVE_COUNTRY = "NATION_5"
+_KEY_ORDER = ", ".join(f"{k} nulls last" for k in MART_KEYS)
+
+
+def with_mart(select: str, rules=RISK_RULES) -> str:
+    return with_roles(f"select * from ({select}) q").replace(
+        "\nselect * from (", f",\nm as ({mart_sql(rules)})\nselect * from (", 1
+    )
+
+
+def _latest(m: str = "m") -> str:
+    return f"(select max(year) from {m})"
+
+
+def _sql_list(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def compass_sql(x: str, labels: list[str]) -> str:
+    """DuckDB form of the half-even 45-degree sector lookup."""
+    idx = f"(cast(round_even(((({x} % 360) + 360) % 360) / 45, 0) as integer) % 8)"
+    return f"coalesce({_sql_list(labels)}[{idx} + 1], '')"
+
+
+def _nan_null(x: str) -> str:
+    return f"case when isnan({x}) then null else {x} end"
+
+
+@register("serve_mart_year", "T5 S9 P12 L1", with_mart(
+    f"select * from m where year = {SERVE_YEAR} order by {_KEY_ORDER} limit 100"))
+def q_serve_mart_year(spark, sf_dir):
+    return serving.serve(stages.risk_mart(spark, sf_dir), year=SERVE_YEAR)
+
+
+@register("serve_mart_country_year", "T5 P12 L1", with_mart(
+    f"select * from m where year = {SERVE_YEAR} and country = '{SERVE_COUNTRY}' "
+    f"order by {_KEY_ORDER} limit 100", TOURISM_RULES))
+def q_serve_mart_country_year(spark, sf_dir):
+    mart = stages.mart(spark, sf_dir, "dm_tourism")
+    return serving.serve(mart, year=SERVE_YEAR, country=SERVE_COUNTRY)
+
+
+@register("serve_mart_limit", "S10 L1", with_mart(
+    f"select * from m order by {_KEY_ORDER} limit {serving.BULK_LIMIT}", AGRI_RULES))
+def q_serve_mart_limit(spark, sf_dir):
+    return serving.serve(stages.mart(spark, sf_dir, "dm_agriculture"), limit=serving.BULK_LIMIT)
+
+
+@register("serve_mart_json", "K6")
+def q_serve_mart_json(spark, sf_dir):
+    return serving.as_json_records(serving.serve(stages.risk_mart(spark, sf_dir), year=SERVE_YEAR))
+
+
+@register("year_slice", "P13 T10", with_mart(f"select * from m where year = {_latest()}"))
+def q_year_slice(spark, sf_dir):
+    return views.year_slice(stages.risk_mart(spark, sf_dir))
+
+
+@register("mart_year_bounds", "A7 P17", with_mart(
+    "select cast(min(year) as integer) as min_year, cast(max(year) as integer) as max_year from m"))
+def q_mart_year_bounds(spark, sf_dir):
+    return views.year_bounds(stages.risk_mart(spark, sf_dir))
+
+
+def _catalog_sql() -> str:
+    keys = ", ".join(MART_KEYS)
+    parts = [
+        f"select {keys}, '{m}' as metric, cast({m} as double) as value, '{label_of(m)}' as label from m"
+        for m, _ in RISK_RULES
+    ]
+    return " union all ".join(parts)
+
+
+@register("metric_catalog", "P15 P16", with_mart(_catalog_sql()))
+def q_metric_catalog(spark, sf_dir):
+    return views.metric_catalog(stages.risk_mart(spark, sf_dir))
+
+
+NATIONAL_METRIC = "avg_temp_c"
+
+
+@register("national_mean", "A6 T6 P16", with_mart(
+    f'select country, round(avg({_nan_null(NATIONAL_METRIC)}), 6) as "{label_of(NATIONAL_METRIC)}" '
+    f"from m where year = {_latest()} and country is not null group by country"))
+def q_national_mean(spark, sf_dir):
+    return views.national_mean(stages.risk_mart(spark, sf_dir), NATIONAL_METRIC, digits=6)
+
+
+_WIND_LABEL = METRIC_LABELS["avg_wind_dir_deg"]
+
+
+@register("national_compass", "T7 F10", with_mart(
+    f'select country, round(mean_dir, 6) as "{_WIND_LABEL}", {compass_sql("mean_dir", COMPASS_GLYPHS)} as "Arrow" '
+    f"from (select country, avg({_nan_null('avg_wind_dir_deg')}) as mean_dir from m "
+    f"where year = {_latest()} and country is not null group by country) n"))
+def q_national_compass(spark, sf_dir):
+    return views.national_compass(stages.risk_mart(spark, sf_dir), digits=6)
+
+
+@register("compass_sector", "F9 F10 F12", with_mart(
+    "select year, country, region, city_name, avg_wind_dir_deg, "
+    "cast(round_even((((avg_wind_dir_deg % 360) + 360) % 360) / 45, 0) as integer) % 8 as sector, "
+    f'{compass_sql("avg_wind_dir_deg", COMPASS_LABELS)} as "Direction", '
+    f'{compass_sql("avg_wind_dir_deg", COMPASS_GLYPHS)} as "Arrow" from m'))
+def q_compass_sector(spark, sf_dir):
+    mart = stages.risk_mart(spark, sf_dir).select(*MART_KEYS, "avg_wind_dir_deg")
+    return views.with_compass(mart)
+
+
+@register("compass_sample", "T8 L3 P14 F11", with_mart(
+    f'select *, {compass_sql("avg_wind_dir_deg", COMPASS_LABELS)} as "Direction", '
+    f"city_name || ' ' || {compass_sql('avg_wind_dir_deg', COMPASS_LABELS)} as \"Label\" "
+    f"from (select * from m where year = {_latest()} and avg_wind_dir_deg is not null "
+    f"and not isnan(avg_wind_dir_deg) "
+    f"order by country nulls last, region nulls last, city_name nulls last limit 30) s"))
+def q_compass_sample(spark, sf_dir):
+    return views.compass_view(stages.risk_mart(spark, sf_dir))
+
+
+TOP_METRIC = "precipitation_mm"
+
+
+@register("top_cities", "T9 L2 P9", with_mart(
+    f"select city_name, country, {TOP_METRIC} from m where year = {_latest()} "
+    f"order by {_nan_null(TOP_METRIC)} desc nulls last, country nulls last, region nulls last, "
+    f"city_name nulls last limit 15"))
+def q_top_cities(spark, sf_dir):
+    return views.top_cities(stages.risk_mart(spark, sf_dir), TOP_METRIC)
