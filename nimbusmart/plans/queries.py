@@ -252,3 +252,172 @@ TOP_METRIC = "precipitation_mm"
     f"city_name nulls last limit 15"))
 def q_top_cities(spark, sf_dir):
     return views.top_cities(stages.risk_mart(spark, sf_dir), TOP_METRIC)
+
+
+# --- exercise-sheet operators over whole driver tables -------------------------
+
+from nimbusmart.functions.scalar import array_item, composite_id, split_item  # noqa: E402
+from nimbusmart.operators import harmonize, replicate, text, transforms  # noqa: E402
+from nimbusmart.operators.curate import cast_metrics  # noqa: E402
+from nimbusmart.operators.geo import fanout_report  # noqa: E402
+from nimbusmart.plans.roles import table  # noqa: E402
+
+
+@register("scan_parquet", "S1 L4",
+          "select event_id, ts, user_id, event_type, value from events")
+def q_scan_parquet(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@register("row_count", "A8", "select count(*) as n from lineitem")
+def q_row_count(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("pipeline_counts", "A8 T2 T3 T4", with_roles(
+    "select 'weather' as stage, count(*) as n from weather union all "
+    "select 'bronze', count(*) from bronze union all "
+    "select 'silver', count(*) from silver union all "
+    f"select 'dm_risks', count(*) from ({mart_sql(RISK_RULES)}) m"))
+def q_pipeline_counts(spark, sf_dir):
+    from nimbusmart.plans import roles
+
+    frames = {
+        "weather": roles.weather(spark, sf_dir),
+        "bronze": stages.bronze(spark, sf_dir),
+        "silver": stages.silver(spark, sf_dir),
+        "dm_risks": stages.risk_mart(spark, sf_dir),
+    }
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(stage).alias("stage"), "n")
+        for stage, df in frames.items()
+    ]
+    return harmonize.union_all_by_name(counts)
+
+
+@register("rename_drop", "P4 P5",
+          "select s_suppkey as datasetId, s_name as name, s_nationkey from supplier")
+def q_rename_drop(spark, sf_dir):
+    sup = table(spark, sf_dir, "supplier")
+    out = transforms.rename_columns(sup, {"s_suppkey": "datasetId", "s_name": "name", "s_phone": "tel"})
+    return transforms.drop_columns(out, "s_acctbal", "OBJECTID")
+
+
+@register("interval_midpoint", "P6 P18 F8",
+          "select l_orderkey, l_linenumber, l_discount as lcl, l_tax as ucl, "
+          "(l_discount + l_tax) / 2 as avg, l_discount as lcl2, l_tax as ucl2 from lineitem")
+def q_interval_midpoint(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_tax")
+    return transforms.interval_midpoint(li, "l_discount", "l_tax")
+
+
+@register("composite_id", "F1 F2 P2",
+          "select c_custkey, c_mktsegment || '_' || 'Wake' || '_' || cast(c_custkey as varchar) as id "
+          "from customer")
+def q_composite_id(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer")
+    return cust.select("c_custkey", composite_id("c_mktsegment", F.lit("Wake"), "c_custkey").alias("id"))
+
+
+@register("split_item", "F3 N3",
+          "select o_orderkey, string_split(o_orderpriority, '-')[2] as priority_name, "
+          "string_split(o_orderpriority, '-')[6] as missing_item from orders")
+def q_split_item(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey",
+        split_item("o_orderpriority", "-", 1).alias("priority_name"),
+        split_item("o_orderpriority", "-", 5).alias("missing_item"),
+    )
+
+
+@register("array_item", "F4",
+          "select vec_id, cast(embedding[1] as double) as geoX, cast(embedding[2] as double) as geoY, "
+          "cast(embedding[100001] as double) as beyond from embeddings")
+def q_array_item(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(
+        "vec_id",
+        array_item("embedding", 0).cast("double").alias("geoX"),
+        array_item("embedding", 1).cast("double").alias("geoY"),
+        array_item("embedding", 100000).cast("double").alias("beyond"),
+    )
+
+
+@register("numeric_try_cast", "P10 F7 N1",
+          "select l_orderkey, l_linenumber, try_cast(cast(l_quantity as varchar) as double) as avg_temp_c, "
+          "try_cast(cast(l_linenumber as varchar) || '.5' as double) as min_temp_c, "
+          "try_cast(l_returnflag as double) as snow_depth_mm from lineitem")
+def q_numeric_try_cast(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_quantity").cast("string").alias("avg_temp_c"),
+        F.concat(F.col("l_linenumber").cast("string"), F.lit(".5")).alias("min_temp_c"),
+        F.col("l_returnflag").alias("snow_depth_mm"),
+    )
+    return cast_metrics(li)
+
+
+REPLICAS = 61
+
+
+@register("union_replicate", "U1",
+          f"select n_nationkey, n_name, n_regionkey from nation, range({REPLICAS})")
+def q_union_replicate(spark, sf_dir):
+    return replicate.replicate(table(spark, sf_dir, "nation"), REPLICAS)
+
+
+def _restaurant_sql(county: str, src: str, key: str, name: str, state: str, typ: str, geox: str, geoy: str) -> str:
+    return (
+        f"select '{county}' as county, cast({key} as varchar) as datasetId, {name} as name, "
+        "cast(null as varchar) as address1, cast(null as varchar) as address2, cast(null as varchar) as city, "
+        f"cast({state} as varchar) as state, cast(null as varchar) as zip, cast(null as varchar) as tel, "
+        "cast(null as varchar) as dateStart, cast(null as varchar) as dateEnd, "
+        f"{typ} as type, cast({geox} as double) as geoX, cast({geoy} as double) as geoY, "
+        f"cast({state} as varchar) || '_{county}_' || cast({key} as varchar) as id from {src}"
+    )
+
+
+@register("union_by_name", "U2 U3 P2 P3 N2", (
+    _restaurant_sql("Wake", "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal", "null")
+    + " union all "
+    + _restaurant_sql("Durham", "supplier", "s_suppkey", "s_name", "s_nationkey", "cast(null as varchar)",
+                      "s_acctbal", "s_nationkey")))
+def q_union_by_name(spark, sf_dir):
+    wake = harmonize.harmonize_restaurants(
+        table(spark, sf_dir, "customer"),
+        {"datasetId": "c_custkey", "name": "c_name", "state": "c_nationkey",
+         "type": "c_mktsegment", "geoX": "c_acctbal", "dateEnd": None},
+        "Wake",
+    )
+    durham = harmonize.harmonize_restaurants(
+        table(spark, sf_dir, "supplier"),
+        {"datasetId": "s_suppkey", "name": "s_name", "state": "s_nationkey",
+         "geoX": "s_acctbal", "geoY": "s_nationkey"},
+        "Durham",
+    )
+    return harmonize.union_all_by_name([wake, durham])
+
+
+@register("word_count", "A10 S8 K5",
+          "select word, count(*) as n from (select unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) "
+          "as word from documents) t where word <> '' group by word")
+def q_word_count(spark, sf_dir):
+    return text.word_count(table(spark, sf_dir, "documents"))
+
+
+@register("join_fanout", "J2 N5",
+          "select d.p_name, p.p_partkey, p.p_brand from (select distinct p_name from part) d "
+          "left join part p on d.p_name = p.p_name")
+def q_join_fanout(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    names = part.select("p_name").distinct()
+    return names.join(part.select("p_name", "p_partkey", "p_brand"), "p_name", "left")
+
+
+@register("geo_fanout", "N5", with_roles(
+    "select city_name, count(*) as geo_rows from geo where city_name is not null "
+    "group by city_name having count(*) > 1"))
+def q_geo_fanout(spark, sf_dir):
+    return fanout_report(stages.geo(spark, sf_dir))
