@@ -421,3 +421,108 @@ def q_join_fanout(spark, sf_dir):
     "group by city_name having count(*) > 1"))
 def q_geo_fanout(spark, sf_dir):
     return fanout_report(stages.geo(spark, sf_dir))
+
+
+# --- source / sink round trips (written under the shared checkpoint folder) -----
+
+from nimbusmart.session import scratch_path  # noqa: E402
+from nimbusmart.sinks import files as sinks  # noqa: E402
+from nimbusmart.sources import catalog, files as sources  # noqa: E402
+
+
+def _scratch_db(spark) -> None:
+    """A catalog database whose folder sits in the shared scratch location."""
+    if not spark.catalog.databaseExists("nimbus_scratch"):
+        catalog.create_database(spark, "nimbus_scratch", location=scratch_path(spark, "db"))
+
+
+def _nation_csv(spark, sf_dir, header: bool = True) -> str:
+    """nation as one CSV file (a fixed 25-row dimension, so one file is bounded)."""
+    path = scratch_path(spark, "nation-csv")
+    return sinks.write_csv(table(spark, sf_dir, "nation").coalesce(1), path, header=header)
+
+
+@register("csv_header_infer", "S2 T1", "select * from nation")
+def q_csv_header_infer(spark, sf_dir):
+    return sources.read_csv(spark, _nation_csv(spark, sf_dir))
+
+
+@register("csv_positional", "S3",
+          "select 'n_nationkey' as _c0, 'n_name' as _c1, 'n_regionkey' as _c2 union all "
+          "select cast(n_nationkey as varchar), n_name, cast(n_regionkey as varchar) from nation")
+def q_csv_positional(spark, sf_dir):
+    return sources.read_csv_positional(spark, _nation_csv(spark, sf_dir))
+
+
+@register("external_delimited", "S7 P8 C2",
+          "select cast(null as integer) as NUM, rpad('n_name', 100, ' ') as NAME, "
+          "cast(null as integer) as REGION union all "
+          "select n_nationkey, rpad(n_name, 100, ' '), n_regionkey from nation")
+def q_external_delimited(spark, sf_dir):
+    _scratch_db(spark)
+    return catalog.create_delimited_table(
+        spark, "nimbus_scratch.nation_text", "NUM INT, NAME CHAR(100), REGION INT", _nation_csv(spark, sf_dir)
+    ).select("NUM", "NAME", "REGION")
+
+
+def _nested_customers(spark, sf_dir) -> str:
+    """customer written as nested JSON documents shaped like the Durham feed."""
+    c = table(spark, sf_dir, "customer")
+    doc = c.select(
+        F.struct(
+            F.col("c_custkey").alias("id"),
+            F.col("c_name").alias("premise_name"),
+            F.col("c_nationkey").cast("string").alias("premise_state"),
+            F.concat(F.col("c_mktsegment"), F.lit(" - "), F.col("c_name")).alias("type_description"),
+            F.array(F.col("c_acctbal"), F.col("c_nationkey").cast("double")).alias("geolocation"),
+        ).alias("fields"),
+        F.col("c_custkey").cast("string").alias("recordid"),
+    )
+    return sinks.write_json(doc, scratch_path(spark, "customer-json"))
+
+
+@register("json_nested", "S4 F3 F4 F5 U3",
+          "select 'Durham' as county, cast(c_custkey as varchar) as datasetId, c_name as name, "
+          "cast(null as varchar) as address1, cast(null as varchar) as address2, cast(null as varchar) as city, "
+          "cast(c_nationkey as varchar) as state, cast(null as varchar) as zip, cast(null as varchar) as tel, "
+          "cast(null as varchar) as dateStart, cast(null as varchar) as dateEnd, c_name as type, "
+          "c_acctbal as geoX, cast(c_nationkey as double) as geoY, "
+          "cast(c_nationkey as varchar) || '_Durham_' || cast(c_custkey as varchar) as id from customer")
+def q_json_nested(spark, sf_dir):
+    docs = sources.read_json(spark, _nested_customers(spark, sf_dir))
+    spec = {
+        "datasetId": "fields.id",
+        "name": "fields.premise_name",
+        "state": "fields.premise_state",
+        "type": split_item("fields.type_description", " - ", 1),
+        "geoX": array_item("fields.geolocation", 0),
+        "geoY": array_item("fields.geolocation", 1),
+    }
+    return harmonize.harmonize_restaurants(docs, spec, "Durham")
+
+
+def _orders_by_year(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.withColumn("year", F.year("o_orderdate").cast("int"))
+
+
+@register("partitioned_roundtrip", "K1 S1 C4",
+          "select *, cast(year(o_orderdate) as integer) as year from orders")
+def q_partitioned_roundtrip(spark, sf_dir):
+    path = sinks.write_partitioned_parquet(_orders_by_year(spark, sf_dir), scratch_path(spark, "orders-by-year"))
+    return sources.read_parquet(spark, path)
+
+
+ROUNDTRIP_YEAR = 1996
+
+
+@register("saved_table_roundtrip", "K2 C2",
+          "select *, cast(year(o_orderdate) as integer) as year from orders "
+          f"where year(o_orderdate) = {ROUNDTRIP_YEAR}")
+def q_saved_table_roundtrip(spark, sf_dir):
+    _scratch_db(spark)
+    name = "nimbus_scratch.orders_by_year"
+    sinks.save_partitioned_table(
+        _orders_by_year(spark, sf_dir), name, path=scratch_path(spark, "orders-table")
+    )
+    return spark.table(name).where(F.col("year") == ROUNDTRIP_YEAR)

@@ -21,9 +21,13 @@ def list_databases(spark: SparkSession) -> list[str]:
     return sorted(db.name for db in spark.catalog.listDatabases())
 
 
-def create_database(spark: SparkSession, name: str, use: bool = False) -> None:
-    """``CREATE DATABASE IF NOT EXISTS`` and optionally ``USE`` it."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}")
+def create_database(
+    spark: SparkSession, name: str, use: bool = False, location: str | None = None
+) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` and optionally ``USE`` it.
+    ``location`` places the database folder (else under the warehouse)."""
+    loc = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}{loc}")
     if use:
         spark.catalog.setCurrentDatabase(name)
 
