@@ -19,17 +19,36 @@ from nimbusmart.functions.scalar import tolerant_year
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows.
+def broadcastable(frames: list[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> list[bool]:
+    """For each frame, whether it provably has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a LIMIT, pushed to JDBC
-    sources), so its cost is bounded whatever the size of ``df``. Above the bound
-    ``df`` is returned as is and Spark plans a shuffle join.
+    One job probes all frames; each probe reads at most ``max_rows + 1`` rows of
+    its frame (a LIMIT, pushed to JDBC sources), so the cost is bounded whatever
+    the size of the frames.
     """
-    if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if max_rows <= 0 or not frames:
+        return [False] * len(frames)
+    probes = [
+        f.limit(max_rows + 1).select(F.lit(i).alias("frame")) for i, f in enumerate(frames)
+    ]
+    probe = probes[0]
+    for p in probes[1:]:
+        probe = probe.unionByName(p)
+    counts = {r["frame"]: r["n"] for r in probe.groupBy("frame").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(frames))]
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows;
+    above the bound ``df`` is returned as is and Spark plans a shuffle join."""
+    return F.broadcast(df) if broadcastable([df], max_rows)[0] else df
+
+
+def _geo(cities: DataFrame, countries: DataFrame, broadcast_countries: bool) -> DataFrame:
+    right = countries.drop("country", "iso2")
+    if broadcast_countries:
+        right = F.broadcast(right)
+    return cities.join(right, on="iso3", how="left")
 
 
 def geo_dimension(
@@ -37,8 +56,7 @@ def geo_dimension(
 ) -> DataFrame:
     """cities ⟕ countries USING iso3, after removing the clashing country
     columns from the right side (J1, J3). Columns: iso3, cities..., region."""
-    right = countries.drop("country", "iso2")
-    return cities.join(bounded_broadcast(right, max_broadcast_rows), on="iso3", how="left")
+    return _geo(cities, countries, broadcastable([countries], max_broadcast_rows)[0])
 
 
 def feed_bronze(
@@ -51,12 +69,16 @@ def feed_bronze(
     ``year`` derived from ``date`` (T2).
 
     Homonym cities fan out (one weather row per matching geo row, N5); unmatched
-    cities keep NULL country/region (N6).
+    cities keep NULL country/region (N6). Both dimension sides are size-checked
+    in one probe job before they are broadcast.
     """
-    geo = geo_dimension(cities, countries, max_broadcast_rows)
-    joined = weather.join(
-        bounded_broadcast(geo, max_broadcast_rows), on="city_name", how="left"
-    ).drop(*TECHNICAL_COLUMNS)
+    small_countries, small_geo = broadcastable(
+        [countries, _geo(cities, countries, False)], max_broadcast_rows
+    )
+    geo = _geo(cities, countries, small_countries)
+    if small_geo:
+        geo = F.broadcast(geo)
+    joined = weather.join(geo, on="city_name", how="left").drop(*TECHNICAL_COLUMNS)
     return joined.withColumn("year", tolerant_year(joined, "date"))
 
 
