@@ -24,6 +24,7 @@ from nimbusmart.operators.geo import feed_bronze
 from nimbusmart.operators.marts import build_mart, project_mart
 from nimbusmart.operators.serving import has_rows
 from nimbusmart.sinks.files import save_partitioned_table, write_partitioned_parquet
+from nimbusmart.sources.catalog import register_parquet_table
 from nimbusmart.sources.files import read_parquet
 
 log = logging.getLogger(__name__)
@@ -61,13 +62,23 @@ def run_bronze(weather: DataFrame, cities: DataFrame, countries: DataFrame, out:
     return int(obs.get["rows"])
 
 
-def run_silver(spark: SparkSession, bronze_path: str, out: str, table: str | None = None) -> int:
-    """Bronze -> curated silver Parquet, optionally registered as a partitioned
-    catalog table built from the written files; returns the rows written."""
+def run_silver(
+    spark: SparkSession, bronze_path: str, out: str, table: str | None = None, copy_table: bool = False
+) -> int:
+    """Bronze -> curated silver Parquet; returns the rows written.
+
+    With ``table`` the written folder is also a partitioned catalog table. By
+    default the table is registered over the written files (metadata only);
+    ``copy_table`` instead saves a managed copy from the written files, as the
+    reference job does, which doubles the silver I/O and storage.
+    """
     silver, obs = _counted(curate(read_parquet(spark, bronze_path)), "silver")
     write_partitioned_parquet(silver, out, "year")
     if table is not None:
-        save_partitioned_table(read_parquet(spark, out), table, "year")
+        if copy_table:
+            save_partitioned_table(read_parquet(spark, out), table, "year")
+        else:
+            register_parquet_table(spark, table, out)
     return int(obs.get["rows"])
 
 

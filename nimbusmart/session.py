@@ -60,6 +60,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by the cluster; "
+                "a machine-local temporary folder would not survive a lost executor"
+            )
         configured = tempfile.mkdtemp(prefix="nimbusmart-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")

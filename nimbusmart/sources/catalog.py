@@ -71,3 +71,24 @@ def create_delimited_table(
             f"OPTIONS (header 'false', sep '{delim}', mode 'PERMISSIVE') LOCATION '{loc}'"
         )
     return spark.table(name)
+
+
+def register_parquet_table(spark: SparkSession, name: str, path: str, replace: bool = True) -> DataFrame:
+    """Catalog table over an already written (partitioned) Parquet folder.
+
+    Metadata only: the schema and the ``key=value`` partition columns are read
+    from the folder and its partitions are registered, so a multi-terabyte
+    layer gets a table name without being copied.
+    """
+    ident = _ident(name)
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {ident}")
+    loc = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {ident} USING parquet LOCATION '{loc}'")
+    if spark.table(name).columns and _is_partitioned(spark, name):
+        spark.sql(f"ALTER TABLE {ident} RECOVER PARTITIONS")
+    return spark.table(name)
+
+
+def _is_partitioned(spark: SparkSession, name: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(name))

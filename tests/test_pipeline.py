@@ -47,3 +47,18 @@ def test_streaming_bronze_equals_batch(spark, tmp_path):
     streamed = read_parquet(spark, out)
     batch = stages.bronze(spark, SF_SMALL)
     same(streamed, batch.select(*streamed.columns))
+
+
+def test_silver_table_is_registered_not_copied(spark, tmp_path):
+    from nimbusmart.plans.pipeline import run_bronze, run_silver
+
+    w, c, k = roles.weather(spark, SF_SMALL), roles.cities(spark, SF_SMALL), roles.countries(spark, SF_SMALL)
+    run_bronze(w, c, k, str(tmp_path / "b"))
+    n = run_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"), table="default.silver_registered")
+    t = spark.table("default.silver_registered")
+    assert t.count() == n
+    loc = [r.data_type for r in spark.sql("DESCRIBE EXTENDED default.silver_registered").collect()
+           if r.col_name == "Location"][0]
+    assert loc.rstrip("/").endswith("/s")
+    parts = spark.sql("SHOW PARTITIONS default.silver_registered").collect()
+    assert len(parts) == t.select("year").distinct().count()
