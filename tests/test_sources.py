@@ -96,3 +96,18 @@ def test_text_and_word_count_input(spark, tmp_path):
 
     got = {r.word: r.n for r in word_count(files.read_text(spark, path), "value").collect()}
     assert got == {"hello": 2, "world": 1}
+
+
+def test_inspection_helpers(spark):
+    import pytest
+
+    from nimbusmart.operators import inspect
+
+    df = spark.range(100).repartition(4)
+    assert inspect.partition_count(df) == 4
+    assert inspect.rows_per_partition(df).agg(F.sum("rows")).first()[0] == 100
+    assert inspect.preview(df, 5).count() == 5
+    assert "id: long" in inspect.schema_tree(df)
+    assert len(inspect.bounded_collect(df, 100)) == 100
+    with pytest.raises(inspect.TooManyRows):
+        inspect.bounded_collect(df, 99)
