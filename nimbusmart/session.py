@@ -49,25 +49,32 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local runs, tests) do we create one of our
-    own and register it, so ``DataFrame.checkpoint()`` works too.
+    Only when the session has none and runs on a local master (local runs,
+    tests) do we create one of our own and register it, so
+    ``DataFrame.checkpoint()`` works too. On a cluster a missing setting is an
+    error: a machine-local folder would not survive a lost executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not (sc.master or "").startswith("local"):
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+        if not master.startswith("local"):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder shared by the cluster; "
                 "a machine-local temporary folder would not survive a lost executor"
             )
         configured = tempfile.mkdtemp(prefix="nimbusmart-ckpt-")
-    sc.setCheckpointDir(configured)
-    return (sc.getCheckpointDir() or configured).rstrip("/")
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return (sc.getCheckpointDir() or configured).rstrip("/")
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -62,3 +62,23 @@ def test_silver_table_is_registered_not_copied(spark, tmp_path):
     assert loc.rstrip("/").endswith("/s")
     parts = spark.sql("SHOW PARTITIONS default.silver_registered").collect()
     assert len(parts) == t.select("year").distinct().count()
+
+
+def test_bronze_rows_are_weather_plus_fanout_excess(spark, duck):
+    """Property: every weather row appears once per matching geo row, and once
+    when nothing matches (left join)."""
+    from pyspark.sql import functions as F
+
+    weather = roles.weather(spark, SF_SMALL)
+    geo_rows = stages.geo(spark, SF_SMALL).groupBy("city_name").agg(F.count(F.lit(1)).alias("k"))
+    expected = (weather.join(geo_rows, "city_name", "left")
+                .agg(F.sum(F.coalesce(F.col("k"), F.lit(1)))).first()[0])
+    assert stages.bronze(spark, SF_SMALL).count() == expected
+
+
+def test_checkpoint_dir_is_reused(spark):
+    from nimbusmart.session import checkpoint_dir, scratch_path
+
+    a = checkpoint_dir(spark)
+    assert checkpoint_dir(spark) == a
+    assert scratch_path(spark, "x").startswith(a + "/scratch/x-")
