@@ -526,3 +526,32 @@ def q_saved_table_roundtrip(spark, sf_dir):
         _orders_by_year(spark, sf_dir), name, path=scratch_path(spark, "orders-table")
     )
     return spark.table(name).where(F.col("year") == ROUNDTRIP_YEAR)
+
+
+@register("reference_load", "T1 S2", with_roles("select city_name, country, iso3, iso2 from cities"))
+def q_reference_load(spark, sf_dir):
+    from nimbusmart.plans import roles
+    from nimbusmart.plans.pipeline import load_reference
+
+    path = sinks.write_csv(roles.cities(spark, sf_dir), scratch_path(spark, "cities-csv"))
+    return load_reference(spark, path)
+
+
+@register("bronze_stream", "T2 (Structured Streaming)", with_roles("select * from bronze"))
+def q_bronze_stream(spark, sf_dir):
+    """The bronze feed run as a stream over a folder of weather files."""
+    from nimbusmart.plans import roles
+    from nimbusmart.streaming.incremental import start_bronze_stream
+
+    weather = roles.weather(spark, sf_dir)
+    folder = scratch_path(spark, "weather-incoming")
+    weather.write.parquet(folder)
+    out = scratch_path(spark, "bronze-stream")
+    query = start_bronze_stream(
+        spark, folder, weather.schema, roles.cities(spark, sf_dir), roles.countries(spark, sf_dir), out,
+        checkpoint=scratch_path(spark, "bronze-stream-checkpoint"),
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"bronze stream failed: {query.exception()}")
+    return sources.read_parquet(spark, out)
