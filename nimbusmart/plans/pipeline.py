@@ -16,7 +16,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from nimbusmart.functions.metrics import MARTS, RISK_RULES
 from nimbusmart.operators.curate import curate
@@ -38,9 +37,12 @@ class PipelineResult:
     rows: dict[str, int] = field(default_factory=dict)
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def _write_counted(df: DataFrame, path: str, name: str) -> int:
+    """Write year-partitioned Parquet and return the rows written, counted in
+    the write job itself (no extra count job)."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    write_partitioned_parquet(df, path, "year", observation=obs)
+    return int(obs.get["rows"])
 
 
 def load_reference(
@@ -57,9 +59,7 @@ def load_reference(
 
 def run_bronze(weather: DataFrame, cities: DataFrame, countries: DataFrame, out: str) -> int:
     """Weather ⟕ geo -> year-partitioned Parquet; returns the rows written."""
-    bronze, obs = _counted(feed_bronze(weather, cities, countries), "bronze")
-    write_partitioned_parquet(bronze, out, "year")
-    return int(obs.get["rows"])
+    return _write_counted(feed_bronze(weather, cities, countries), out, "bronze")
 
 
 def run_silver(
@@ -72,14 +72,13 @@ def run_silver(
     ``copy_table`` instead saves a managed copy from the written files, as the
     reference job does, which doubles the silver I/O and storage.
     """
-    silver, obs = _counted(curate(read_parquet(spark, bronze_path)), "silver")
-    write_partitioned_parquet(silver, out, "year")
+    rows = _write_counted(curate(read_parquet(spark, bronze_path)), out, "silver")
     if table is not None:
         if copy_table:
             save_partitioned_table(read_parquet(spark, out), table, "year")
         else:
             register_parquet_table(spark, table, out)
-    return int(obs.get["rows"])
+    return rows
 
 
 def run_gold(
@@ -95,9 +94,7 @@ def run_gold(
     if not has_rows(silver):
         log.warning("silver at %s is empty; marts will be empty", silver_path)
     risk_path = f"{out_base}/dm_risks"
-    risk, obs = _counted(build_mart(silver, RISK_RULES, exact=exact), "dm_risks")
-    write_partitioned_parquet(risk, risk_path, "year")
-    rows = {"dm_risks": int(obs.get["rows"])}
+    rows = {"dm_risks": _write_counted(build_mart(silver, RISK_RULES, exact=exact), risk_path, "dm_risks")}
     written = read_parquet(spark, risk_path)
     for name, rules in MARTS.items():
         mart = written if name == "dm_risks" else project_mart(written, rules)

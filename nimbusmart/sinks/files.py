@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Cap on rows per output file, so one large partition does not become one
@@ -30,13 +31,22 @@ def write_partitioned_parquet(
     mode: str = "overwrite",
     dynamic_overwrite: bool = False,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    observation: Observation | None = None,
 ) -> str:
     """Hive-style ``key=value`` Parquet dataset (K1). ``overwrite`` replaces the
     whole dataset unless ``dynamic_overwrite`` limits it to the partitions being
-    written. Rows with a NULL key go to ``__HIVE_DEFAULT_PARTITION__``."""
+    written. Rows with a NULL key go to ``__HIVE_DEFAULT_PARTITION__``.
+
+    ``observation`` receives ``rows`` = rows written. It is attached above the
+    rebalance exchange, i.e. in the write's result stage, whose task updates are
+    applied once even when a lost executor makes Spark re-run map stages.
+    """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    balanced = _balanced(df, cols)
+    if observation is not None:
+        balanced = balanced.observe(observation, F.count(F.lit(1)).alias("rows"))
     writer = (
-        _balanced(df, cols)
+        balanced
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
     )

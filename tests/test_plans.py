@@ -61,3 +61,14 @@ def test_word_count_partial_aggregation(spark):
     plan = explain_text(word_count(roles.table(spark, SF_SMALL, "documents")))
     assert "partial_count" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_write_row_count_is_observed_above_the_exchange(spark):
+    from pyspark.sql import Observation
+
+    df = stages.bronze(spark, SF_SMALL).hint("rebalance", "year")
+    tree = explain_text(df.observe(Observation("x"), F.count(F.lit(1)).alias("rows"))).split("\n\n")[0]
+    lines = tree.splitlines()
+    metrics = next(i for i, l in enumerate(lines) if "CollectMetrics" in l)
+    exchange = next(i for i, l in enumerate(lines) if "- Exchange (" in l)
+    assert metrics < exchange          # printed above = runs after the shuffle, in the result stage
