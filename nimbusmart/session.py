@@ -100,3 +100,30 @@ def same_location(a: str, b: str) -> bool:
         return p.rstrip("/")
 
     return norm(a) == norm(b)
+
+
+# Target bytes of shuffle data per reduce task before AQE merges small ones.
+SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(
+    shuffle_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES, minimum: int = 8, maximum: int = 500_000
+) -> int:
+    """Reduce-side partitions so each holds about ``target_bytes``."""
+    n = -(-int(shuffle_bytes) // int(target_bytes))
+    return max(minimum, min(maximum, n))
+
+
+def size_shuffles(spark: SparkSession, shuffle_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES) -> int:
+    """Size the shuffles of the next jobs for about ``shuffle_bytes`` of data.
+
+    The widest shuffle of the pipeline is the silver dedupe, about the size of
+    bronze. Starting from enough partitions that none of them spills, AQE then
+    merges the ones that turn out small (e.g. after the partial aggregates of
+    the marts), so overshooting costs little and undershooting spills.
+    """
+    n = shuffle_partitions_for(shuffle_bytes, target_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 2))
+    return n

@@ -82,3 +82,11 @@ def test_checkpoint_dir_is_reused(spark):
     a = checkpoint_dir(spark)
     assert checkpoint_dir(spark) == a
     assert scratch_path(spark, "x").startswith(a + "/scratch/x-")
+
+
+def test_shuffle_sizing():
+    from nimbusmart.session import shuffle_partitions_for
+
+    tb = 1024 ** 4
+    assert shuffle_partitions_for(100 * tb) == 409_600
+    assert shuffle_partitions_for(10) == 8
