@@ -411,9 +411,11 @@ def q_word_count(spark, sf_dir):
           "select d.p_name, p.p_partkey, p.p_brand from (select distinct p_name from part) d "
           "left join part p on d.p_name = p.p_name")
 def q_join_fanout(spark, sf_dir):
+    from nimbusmart.operators.joins import skew_safe_left_join
+
     part = table(spark, sf_dir, "part")
     names = part.select("p_name").distinct()
-    return names.join(part.select("p_name", "p_partkey", "p_brand"), "p_name", "left")
+    return skew_safe_left_join(names, part.select("p_name", "p_partkey", "p_brand"), "p_name")
 
 
 @register("geo_fanout", "N5", with_roles(

@@ -286,3 +286,15 @@ def test_harmonized_union_of_unlike_types(spark):
     assert sorted(r.zip for r in u.collect()) == ["27701", "27701-1"]
     with pytest.raises(ValueError):
         harmonize.harmonize(a, {"nope": "zip"}, harmonize.RESTAURANT_SCHEMA)
+
+
+def test_skew_safe_left_join_equals_left_join(spark):
+    from nimbusmart.operators.joins import skew_safe_left_join
+    from helpers import canonical
+
+    left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4), ("a", 5)], "k string, l int")
+    hot = [("a", i % 3) for i in range(300)]          # one hot key, many identical copies
+    right = spark.createDataFrame(hot + [("b", 7), ("b", 8), (None, 9)], "k string, r int")
+    got = skew_safe_left_join(left, right, "k", buckets=4)
+    want = left.join(right, "k", "left")
+    assert canonical(got.columns, got.collect()) == canonical(want.columns, want.collect())
