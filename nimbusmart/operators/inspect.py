@@ -48,3 +48,20 @@ def bounded_collect(df: DataFrame, max_rows: int) -> list[Row]:
     if len(rows) > max_rows:
         raise TooManyRows(f"more than {max_rows} rows; write the result instead of collecting it")
     return rows
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A large input made of many files and row groups is already split finely,
+    so this is a no-op at scale; a single-row-group file would otherwise run
+    every operator up to the first shuffle in one task. The check only plans
+    the scan (no data is read).
+    """
+    spark = df.sparkSession
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext (Spark Connect): leave the plan alone
+        return df
+    return df.repartition(target) if current < target else df

@@ -404,7 +404,9 @@ def q_union_by_name(spark, sf_dir):
           "select word, count(*) as n from (select unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) "
           "as word from documents) t where word <> '' group by word")
 def q_word_count(spark, sf_dir):
-    return text.word_count(table(spark, sf_dir, "documents"))
+    from nimbusmart.operators.inspect import ensure_parallelism
+
+    return text.word_count(ensure_parallelism(table(spark, sf_dir, "documents")))
 
 
 @register("join_fanout", "J2 N5",

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nimbusmart.operators.inspect import ensure_parallelism
+
 
 _TABLES: dict[tuple[int, str], DataFrame] = {}
 
@@ -31,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily observations: one row per lineitem, plus a duplicate of some."""
-    li = table(spark, sf_dir, "lineitem")
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem"))
     rows = li.unionByName(li.where(F.col("l_orderkey") % 50 == 0))
     qty, line = F.col("l_quantity"), F.col("l_linenumber")
     return rows.select(

@@ -111,3 +111,12 @@ def test_inspection_helpers(spark):
     assert len(inspect.bounded_collect(df, 100)) == 100
     with pytest.raises(inspect.TooManyRows):
         inspect.bounded_collect(df, 99)
+
+
+def test_ensure_parallelism_only_spreads_small_scans(spark):
+    from nimbusmart.operators import inspect
+
+    one = spark.range(10).coalesce(1)
+    assert inspect.partition_count(inspect.ensure_parallelism(one, 4)) == 4
+    many = spark.range(100).repartition(8)
+    assert inspect.ensure_parallelism(many, 4) is many
