@@ -56,7 +56,8 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     A large input made of many files and row groups is already split finely,
     so this is a no-op at scale; a single-row-group file would otherwise run
     every operator up to the first shuffle in one task. The check only plans
-    the scan (no data is read).
+    the scan (no data is read). The row ids of a file scan are the same on a
+    recomputation, so a retried task sends every row where it went before.
     """
     spark = df.sparkSession
     try:
@@ -64,4 +65,8 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
         current = df.rdd.getNumPartitions()
     except Exception:  # no SparkContext (Spark Connect): leave the plan alone
         return df
-    return df.repartition(target) if current < target else df
+    if current >= target:
+        return df
+    # Hash of the row id spreads rows evenly (copies included) and, unlike a
+    # round-robin repartition, needs no sort to stay deterministic on retry.
+    return df.repartition(target, F.monotonically_increasing_id())

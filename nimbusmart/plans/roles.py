@@ -33,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily observations: one row per lineitem, plus a duplicate of some."""
-    li = ensure_parallelism(table(spark, sf_dir, "lineitem"))
-    rows = li.unionByName(li.where(F.col("l_orderkey") % 50 == 0))
+    li = table(spark, sf_dir, "lineitem")
+    rows = ensure_parallelism(li.unionByName(li.where(F.col("l_orderkey") % 50 == 0)))
     qty, line = F.col("l_quantity"), F.col("l_linenumber")
     return rows.select(
         F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("city_name"),
