@@ -359,6 +359,16 @@ def q_numeric_try_cast(spark, sf_dir):
     return cast_metrics(li)
 
 
+@register("union_positional", "U1",
+          "select c_custkey, c_name, c_acctbal from customer union all "
+          "select s_suppkey, s_name, s_acctbal from supplier")
+def q_union_positional(spark, sf_dir):
+    """Bag union by position: the second frame's columns take the first's names."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    return cust.union(sup)
+
+
 REPLICAS = 61
 
 
