@@ -18,6 +18,11 @@ WIND_DIR = "avg_wind_dir_deg"
 VIEW_ORDER = ["country", "region", "city_name"]
 
 
+def _require_city(mart: DataFrame, view: str) -> None:
+    if "city_name" not in mart.columns:
+        raise ValueError(f"{view} needs a city_name column; this mart has {mart.columns}")
+
+
 def _ordered(df: DataFrame, names: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in names if c in df.columns]
 
@@ -109,6 +114,7 @@ def with_compass(df: DataFrame, metric: str = WIND_DIR) -> DataFrame:
 def compass_view(mart: DataFrame, year: int | None = None, n: int = 30, metric: str = WIND_DIR) -> DataFrame:
     """First ``n`` cities of the year slice that have a wind direction, with the
     direction and a ``"city direction"`` label (T8, L3, F11)."""
+    _require_city(mart, "compass_view")
     sample = (
         year_slice(mart, year)
         .dropna(subset=[metric])
@@ -125,6 +131,7 @@ def top_cities(mart: DataFrame, metric: str, year: int | None = None, n: int = 1
     """The ``n`` cities with the largest value of ``metric`` in a year, missing
     values last, ties broken by name (T9, L2). Planned as a top-k
     (``TakeOrderedAndProject``), never a full sort."""
+    _require_city(mart, "top_cities")
     ranked = year_slice(mart, year).orderBy(
         nan_to_null(metric).desc_nulls_last(), *_ordered(mart, VIEW_ORDER)
     )

@@ -298,3 +298,11 @@ def test_skew_safe_left_join_equals_left_join(spark):
     got = skew_safe_left_join(left, right, "k", buckets=4)
     want = left.join(right, "k", "left")
     assert canonical(got.columns, got.collect()) == canonical(want.columns, want.collect())
+
+
+def test_city_views_need_a_city_column(spark):
+    mart = silver_rows(spark).drop("city_name")
+    with pytest.raises(ValueError):
+        views.top_cities(mart, "precipitation_mm")
+    with pytest.raises(ValueError):
+        views.compass_view(mart)
