@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +11,15 @@ from nimbusmart.functions.metrics import AGGREGATES, MART_KEYS, MARTS, RISK_RULE
 
 Rule = tuple[str, str]
 
-# Exact mode sums at two decimals, so the result does not depend on the order
-# rows are added in (useful for reconciliation against another engine).
+# Exact mode rounds each value to cents as decimal(18,2) would (half-up of its
+# decimal form) and sums whole cents as 64-bit integers, so the result does not
+# depend on the order rows are added in (useful for reconciliation against
+# another engine). Integer sums stay in fixed-width aggregation buffers; a
+# decimal(28,2) buffer would allocate a BigDecimal per update. The total goes
+# back through decimal(20,2) so the double equals that of the decimal sum.
+# A total past the 64-bit range raises under ANSI mode; it never wraps.
 EXACT_DECIMAL = "decimal(18,2)"
+CENT = Decimal("0.01")
 
 
 def agg_expr(column: str, fn: str, exact: bool = False, alias: str | None = None) -> Column:
@@ -27,7 +35,8 @@ def agg_expr(column: str, fn: str, exact: bool = False, alias: str | None = None
         out = F.avg(c) if fn == "avg" else F.sum(c)
     else:
         d = c.try_cast(EXACT_DECIMAL)
-        total = F.sum(d).cast("double")
+        cents = F.sum((d * 100).cast("long"))
+        total = (cents.cast("decimal(20,0)") * F.lit(CENT)).cast("double")
         out = F.try_divide(total, F.count(d)) if fn == "avg" else total
     return out.alias(alias or column)
 
