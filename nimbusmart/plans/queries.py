@@ -155,37 +155,37 @@ def _nan_null(x: str) -> str:
 @register("serve_mart_year", "T5 S9 P12 L1", with_mart(
     f"select * from m where year = {SERVE_YEAR} order by {_KEY_ORDER} limit 100"))
 def q_serve_mart_year(spark, sf_dir):
-    return serving.serve(stages.risk_mart(spark, sf_dir), year=SERVE_YEAR)
+    return serving.serve(stages.served_mart(spark, sf_dir), year=SERVE_YEAR)
 
 
 @register("serve_mart_country_year", "T5 P12 L1", with_mart(
     f"select * from m where year = {SERVE_YEAR} and country = '{SERVE_COUNTRY}' "
     f"order by {_KEY_ORDER} limit 100", TOURISM_RULES))
 def q_serve_mart_country_year(spark, sf_dir):
-    mart = stages.mart(spark, sf_dir, "dm_tourism")
+    mart = stages.served_mart(spark, sf_dir, "dm_tourism")
     return serving.serve(mart, year=SERVE_YEAR, country=SERVE_COUNTRY)
 
 
 @register("serve_mart_limit", "S10 L1", with_mart(
     f"select * from m order by {_KEY_ORDER} limit {serving.BULK_LIMIT}", AGRI_RULES))
 def q_serve_mart_limit(spark, sf_dir):
-    return serving.serve(stages.mart(spark, sf_dir, "dm_agriculture"), limit=serving.BULK_LIMIT)
+    return serving.serve(stages.served_mart(spark, sf_dir, "dm_agriculture"), limit=serving.BULK_LIMIT)
 
 
 @register("serve_mart_json", "K6")
 def q_serve_mart_json(spark, sf_dir):
-    return serving.as_json_records(serving.serve(stages.risk_mart(spark, sf_dir), year=SERVE_YEAR))
+    return serving.as_json_records(serving.serve(stages.served_mart(spark, sf_dir), year=SERVE_YEAR))
 
 
 @register("year_slice", "P13 T10", with_mart(f"select * from m where year = {_latest()}"))
 def q_year_slice(spark, sf_dir):
-    return views.year_slice(stages.risk_mart(spark, sf_dir))
+    return views.year_slice(stages.served_mart(spark, sf_dir))
 
 
 @register("mart_year_bounds", "A7 P17", with_mart(
     "select cast(min(year) as integer) as min_year, cast(max(year) as integer) as max_year from m"))
 def q_mart_year_bounds(spark, sf_dir):
-    return views.year_bounds(stages.risk_mart(spark, sf_dir))
+    return views.year_bounds(stages.served_mart(spark, sf_dir))
 
 
 def _catalog_sql() -> str:
@@ -199,7 +199,7 @@ def _catalog_sql() -> str:
 
 @register("metric_catalog", "P15 P16", with_mart(_catalog_sql()))
 def q_metric_catalog(spark, sf_dir):
-    return views.metric_catalog(stages.risk_mart(spark, sf_dir))
+    return views.metric_catalog(stages.served_mart(spark, sf_dir))
 
 
 NATIONAL_METRIC = "avg_temp_c"
@@ -209,7 +209,7 @@ NATIONAL_METRIC = "avg_temp_c"
     f'select country, round(avg({_nan_null(NATIONAL_METRIC)}), 6) as "{label_of(NATIONAL_METRIC)}" '
     f"from m where year = {_latest()} and country is not null group by country"))
 def q_national_mean(spark, sf_dir):
-    return views.national_mean(stages.risk_mart(spark, sf_dir), NATIONAL_METRIC, digits=6)
+    return views.national_mean(stages.served_mart(spark, sf_dir), NATIONAL_METRIC, digits=6)
 
 
 _WIND_LABEL = METRIC_LABELS["avg_wind_dir_deg"]
@@ -220,7 +220,7 @@ _WIND_LABEL = METRIC_LABELS["avg_wind_dir_deg"]
     f"from (select country, avg({_nan_null('avg_wind_dir_deg')}) as mean_dir from m "
     f"where year = {_latest()} and country is not null group by country) n"))
 def q_national_compass(spark, sf_dir):
-    return views.national_compass(stages.risk_mart(spark, sf_dir), digits=6)
+    return views.national_compass(stages.served_mart(spark, sf_dir), digits=6)
 
 
 @register("compass_sector", "F9 F10 F12", with_mart(
@@ -229,7 +229,7 @@ def q_national_compass(spark, sf_dir):
     f'{compass_sql("avg_wind_dir_deg", COMPASS_LABELS)} as "Direction", '
     f'{compass_sql("avg_wind_dir_deg", COMPASS_GLYPHS)} as "Arrow" from m'))
 def q_compass_sector(spark, sf_dir):
-    mart = stages.risk_mart(spark, sf_dir).select(*MART_KEYS, "avg_wind_dir_deg")
+    mart = stages.served_mart(spark, sf_dir).select(*MART_KEYS, "avg_wind_dir_deg")
     return views.with_compass(mart)
 
 
@@ -240,7 +240,7 @@ def q_compass_sector(spark, sf_dir):
     f"and not isnan(avg_wind_dir_deg) "
     f"order by country nulls last, region nulls last, city_name nulls last limit 30) s"))
 def q_compass_sample(spark, sf_dir):
-    return views.compass_view(stages.risk_mart(spark, sf_dir))
+    return views.compass_view(stages.served_mart(spark, sf_dir))
 
 
 TOP_METRIC = "precipitation_mm"
@@ -251,7 +251,7 @@ TOP_METRIC = "precipitation_mm"
     f"order by {_nan_null(TOP_METRIC)} desc nulls last, country nulls last, region nulls last, "
     f"city_name nulls last limit 15"))
 def q_top_cities(spark, sf_dir):
-    return views.top_cities(stages.risk_mart(spark, sf_dir), TOP_METRIC)
+    return views.top_cities(stages.served_mart(spark, sf_dir), TOP_METRIC)
 
 
 # --- exercise-sheet operators over whole driver tables -------------------------

@@ -9,6 +9,7 @@ from nimbusmart.operators.curate import curate
 from nimbusmart.operators.geo import feed_bronze, geo_dimension
 from nimbusmart.operators.marts import build_mart, build_marts
 from nimbusmart.plans import roles
+from nimbusmart.session import checkpoint_dir
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,3 +40,16 @@ def risk_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def marts(spark: SparkSession, sf_dir: str, exact: bool = True) -> dict[str, DataFrame]:
     return build_marts(silver(spark, sf_dir), MARTS, exact=exact)
+
+
+def served_mart(spark: SparkSession, sf_dir: str, name: str = "dm_risks") -> DataFrame:
+    """A mart as the serving layer and the views read it: materialised once.
+
+    ``checkpoint()`` writes the (small: years x cities) mart to the shared
+    folder in ``spark.checkpoint.dir`` and cuts its lineage. Views that take
+    two passes over a mart (the latest year, then that year's rows) then read
+    it twice instead of re-running the weather -> bronze -> silver lineage for
+    the second pass, and a lost executor never sends them back to silver.
+    """
+    checkpoint_dir(spark)  # make sure the session has its shared folder
+    return mart(spark, sf_dir, name).checkpoint()
