@@ -74,3 +74,20 @@ def test_write_row_count_is_observed_above_the_exchange(spark):
     metrics = next(i for i, l in enumerate(lines) if "CollectMetrics" in l)
     exchange = next(i for i, l in enumerate(lines) if "- Exchange (" in l)
     assert metrics < exchange          # printed above = runs after the shuffle, in the result stage
+
+
+def test_weather_role_reads_lineitem_once(spark):
+    tree = explain_text(roles.weather(spark, SF_SMALL)).split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and "Union" not in tree and "Generate" in tree
+
+
+def test_exact_mart_sums_in_fixed_width_buffers(spark):
+    plan = explain_text(stages.risk_mart(spark, SF_SMALL))
+    buffers = [l for l in plan.splitlines() if l.startswith("Functions [") and "partial_sum" in l]
+    assert buffers and all("decimal(28" not in l for l in buffers)
+    assert "partial_sum(cast(" in plan
+
+
+def test_served_mart_is_cut_from_its_lineage(spark):
+    plan = explain_text(views.year_slice(stages.served_mart(spark, SF_SMALL)))
+    assert "lineitem" not in plan and "Exchange" not in plan.split("\n\n")[0].split("Subquery")[0]

@@ -132,6 +132,29 @@ def test_exact_mode_equals_plain_on_two_decimals(spark):
     assert a == b
 
 
+def test_exact_mode_equals_decimal_sums(spark):
+    """Whole-cent integer sums give the same doubles as summing decimal(18,2),
+    also for values with more than two decimals, negatives, large magnitudes,
+    NULL and NaN (which the decimal cast turns into NULL)."""
+    import random
+
+    rnd = random.Random(7)
+    edge = [0.285, 1.005, -0.285, 2.675, 1e13 + 0.015, 123456789.125, NAN, None, 0.1, 0.2, 0.3, -5.555]
+    values = edge + [rnd.choice([1, -1]) * rnd.uniform(0, 10 ** rnd.randint(0, 15)) for _ in range(3000)]
+    rows = [(f"g{i % 7}", v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "city_name string, avg_temp_c double")
+    got = marts.build_mart(df, [("avg_temp_c", "avg")], exact=True).withColumnRenamed("avg_temp_c", "avg")
+    got = got.join(
+        marts.build_mart(df, [("avg_temp_c", "sum")], exact=True).withColumnRenamed("avg_temp_c", "total"),
+        "city_name",
+    )
+    d = F.col("avg_temp_c").try_cast("decimal(18,2)")
+    want = df.groupBy("city_name").agg(
+        F.try_divide(F.sum(d).cast("double"), F.count(d)).alias("avg"), F.sum(d).cast("double").alias("total")
+    )
+    assert sorted(got.collect()) == sorted(want.select("city_name", "avg", "total").collect())
+
+
 def test_marts_share_one_aggregate_and_project(spark):
     s = silver_rows(spark)
     built = marts.build_marts(s)
