@@ -155,7 +155,10 @@ def _nan_null(x: str) -> str:
 @register("serve_mart_year", "T5 S9 P12 L1", with_mart(
     f"select * from m where year = {SERVE_YEAR} order by {_KEY_ORDER} limit 100"))
 def q_serve_mart_year(spark, sf_dir):
-    return serving.serve(stages.served_mart(spark, sf_dir), year=SERVE_YEAR)
+    """The API's read: the mart opened by name (a missing one raises
+    ``MartNotFound``), optional year filter, default cap of 100 rows."""
+    stages.served_mart(spark, sf_dir).createOrReplaceTempView("dm_risks")
+    return serving.read_mart(spark, "dm_risks", year=SERVE_YEAR)
 
 
 @register("serve_mart_country_year", "T5 P12 L1", with_mart(
@@ -416,7 +419,8 @@ def q_union_by_name(spark, sf_dir):
 def q_word_count(spark, sf_dir):
     from nimbusmart.operators.inspect import ensure_parallelism
 
-    return text.word_count(ensure_parallelism(table(spark, sf_dir, "documents")))
+    counts = text.word_count(ensure_parallelism(table(spark, sf_dir, "documents")))
+    return text.read_counts(spark, text.write_counts(counts, scratch_path(spark, "word-count")))
 
 
 @register("join_fanout", "J2 N5",

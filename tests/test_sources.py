@@ -98,6 +98,17 @@ def test_text_and_word_count_input(spark, tmp_path):
     assert got == {"hello": 2, "world": 1}
 
 
+def test_word_count_output_directory_round_trip(spark, tmp_path):
+    from nimbusmart.operators.text import read_counts, word_count, write_counts
+
+    texts = ['say "hi", \\n a,b c\u00e9 "', "a,b  \t\n\r\fé\u00a0x  say", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = word_count(df)
+    back = read_counts(spark, write_counts(counts, str(tmp_path / "out")))
+    assert sorted(back.collect()) == sorted(counts.collect())
+    assert dict(back.collect())["a,b"] == 2
+
+
 def test_inspection_helpers(spark):
     import pytest
 
