@@ -3,7 +3,8 @@
 The weather side is the large one and is never broadcast or collected. The geo
 side (cities joined to countries) is broadcast only after a bounded check of
 its row count; past the bound the join stays a shuffle join and AQE's skew-join
-handling splits hot city keys.
+handling splits hot city keys. The join of the two dimension tables needs no
+such check: no fact data takes part in it.
 """
 
 from __future__ import annotations
@@ -44,19 +45,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if broadcastable([df], max_rows)[0] else df
 
 
-def _geo(cities: DataFrame, countries: DataFrame, broadcast_countries: bool) -> DataFrame:
-    right = countries.drop("country", "iso2")
-    if broadcast_countries:
-        right = F.broadcast(right)
-    return cities.join(right, on="iso3", how="left")
-
-
-def geo_dimension(
-    cities: DataFrame, countries: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS
-) -> DataFrame:
+def geo_dimension(cities: DataFrame, countries: DataFrame) -> DataFrame:
     """cities ⟕ countries USING iso3, after removing the clashing country
-    columns from the right side (J1, J3). Columns: iso3, cities..., region."""
-    return _geo(cities, countries, broadcastable([countries], max_broadcast_rows)[0])
+    columns from the right side (J1, J3). Columns: iso3, cities..., region.
+
+    Both sides are dimension tables, so the join strategy is left to Spark:
+    a static broadcast of a small scan, or a shuffle join that AQE turns into
+    a broadcast once the measured shuffle output is small. No fact data is
+    shuffled either way.
+    """
+    return cities.join(countries.drop("country", "iso2"), on="iso3", how="left")
 
 
 def feed_bronze(
@@ -69,15 +67,11 @@ def feed_bronze(
     ``year`` derived from ``date`` (T2).
 
     Homonym cities fan out (one weather row per matching geo row, N5); unmatched
-    cities keep NULL country/region (N6). Both dimension sides are size-checked
-    in one probe job before they are broadcast.
+    cities keep NULL country/region (N6). The geo side is broadcast only after a
+    bounded probe proves its row count, so the weather side is never shuffled
+    for this join; above the bound it is a shuffle join with AQE skew splitting.
     """
-    small_countries, small_geo = broadcastable(
-        [countries, _geo(cities, countries, False)], max_broadcast_rows
-    )
-    geo = _geo(cities, countries, small_countries)
-    if small_geo:
-        geo = F.broadcast(geo)
+    geo = bounded_broadcast(geo_dimension(cities, countries), max_broadcast_rows)
     joined = weather.join(geo, on="city_name", how="left").drop(*TECHNICAL_COLUMNS)
     return joined.withColumn("year", tolerant_year(joined, "date"))
 
