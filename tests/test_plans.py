@@ -82,10 +82,14 @@ def test_weather_role_reads_lineitem_once(spark):
 
 
 def test_exact_mart_sums_in_fixed_width_buffers(spark):
+    import re
+
     plan = explain_text(stages.risk_mart(spark, SF_SMALL))
-    buffers = [l for l in plan.splitlines() if l.startswith("Functions [") and "partial_sum" in l]
-    assert buffers and all("decimal(28" not in l for l in buffers)
-    assert "partial_sum(cast(" in plan
+    functions = [l for l in plan.splitlines() if l.startswith("Functions [") and "partial_sum" in l]
+    assert functions and all("decimal(28" not in l for l in functions)
+    buffers = [l for l in plan.splitlines() if l.startswith("Aggregate Attributes [") and "sum#" in l]
+    sums = [m for l in buffers for m in re.findall(r"\bsum#\d+\w?", l)]
+    assert sums and all(m.endswith("L") for m in sums)        # every sum buffer is a bigint
 
 
 def test_served_mart_is_cut_from_its_lineage(spark):

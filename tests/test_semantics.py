@@ -140,7 +140,12 @@ def test_exact_mode_equals_decimal_sums(spark):
 
     rnd = random.Random(7)
     edge = [0.285, 1.005, -0.285, 2.675, 1e13 + 0.015, 123456789.125, NAN, None, 0.1, 0.2, 0.3, -5.555]
+    edge += [0.125, 0.135, -0.125, 1.0000000001, 5e-7, -1e-9, 0.004999999, 1e10 - 0.005, 9999999999.995,
+             1e10, 1e10 + 0.01, 12345678.905, -0.0]
     values = edge + [rnd.choice([1, -1]) * rnd.uniform(0, 10 ** rnd.randint(0, 15)) for _ in range(3000)]
+    values += [rnd.randint(-10**12, 10**12) / 100 for _ in range(3000)]            # whole cents
+    values += [(rnd.randint(-10**9, 10**9) + 0.5) / 100 for _ in range(1000)]      # half cents
+    values += [math.nextafter(v, v * 2) for v in values[-500:]]                   # their neighbours
     rows = [(f"g{i % 7}", v) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "city_name string, avg_temp_c double")
     got = marts.build_mart(df, [("avg_temp_c", "avg")], exact=True).withColumnRenamed("avg_temp_c", "avg")
