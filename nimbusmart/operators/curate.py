@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nimbusmart.functions.metrics import METRIC_COLUMNS, REQUIRED_COLUMNS
 from nimbusmart.functions.scalar import try_double
@@ -17,6 +22,18 @@ def cast_metrics(df: DataFrame, metrics: list[str] = METRIC_COLUMNS) -> DataFram
     return df.withColumns({c: try_double(c) for c in present})
 
 
+def is_complete(df: DataFrame, subset: list[str] = REQUIRED_COLUMNS) -> Column:
+    """True for the rows :func:`drop_incomplete` keeps: no NULL in ``subset``,
+    and no NaN in its float columns."""
+    conds = []
+    for c in subset:
+        cond = F.col(c).isNotNull()
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            cond = cond & ~F.isnan(F.col(c))
+        conds.append(cond)
+    return reduce(and_, conds)
+
+
 def drop_incomplete(df: DataFrame, subset: list[str] = REQUIRED_COLUMNS) -> DataFrame:
     """Drop rows with NULL in any of ``subset`` (NaN counts as missing too)."""
     return df.dropna(how="any", subset=list(subset))

@@ -285,17 +285,9 @@ def q_row_count(spark, sf_dir):
 def q_pipeline_counts(spark, sf_dir):
     from nimbusmart.plans import roles
 
-    frames = {
-        "weather": roles.weather(spark, sf_dir),
-        "bronze": stages.bronze(spark, sf_dir),
-        "silver": stages.silver(spark, sf_dir),
-        "dm_risks": stages.risk_mart(spark, sf_dir),
-    }
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(stage).alias("stage"), "n")
-        for stage, df in frames.items()
-    ]
-    return harmonize.union_all_by_name(counts)
+    return stages.stage_counts(
+        roles.weather(spark, sf_dir), roles.cities(spark, sf_dir), roles.countries(spark, sf_dir)
+    )
 
 
 @register("rename_drop", "P4 P5",

@@ -53,3 +53,39 @@ def served_mart(spark: SparkSession, sf_dir: str, name: str = "dm_risks") -> Dat
     """
     checkpoint_dir(spark)  # make sure the session has its shared folder
     return mart(spark, sf_dir, name).checkpoint()
+
+
+def stage_counts(weather: DataFrame, cities: DataFrame, countries: DataFrame) -> DataFrame:
+    """(stage, n): rows of weather, bronze, silver and the risk mart, in one
+    pass over the chain.
+
+    Counting each stage on its own scans the fact table once per stage and
+    runs the silver dedupe again for every stage after it. Here bronze is
+    grouped once by all its columns, which is the silver dedupe, keeping each
+    distinct row's number of copies. A second, small grouping by (mart keys,
+    complete) then yields bronze (all copies), silver (complete distinct rows)
+    and the mart (complete key groups). Weather is counted by its own scan,
+    which needs no shuffle: the geo join may repeat a weather row, so bronze
+    cannot give it. Both groupings aggregate partially before their exchange.
+    """
+    from pyspark.sql import functions as F
+
+    from nimbusmart.functions.metrics import MART_KEYS
+    from nimbusmart.operators.curate import cast_metrics, is_complete
+
+    bronze = cast_metrics(feed_bronze(weather, cities, countries))
+    keys = [k for k in MART_KEYS if k in bronze.columns]
+    rows = bronze.groupBy(*bronze.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    per_key = rows.groupBy(*keys, is_complete(rows).alias("_complete")).agg(
+        F.sum("_copies").alias("_bronze"), F.count(F.lit(1)).alias("_distinct")
+    )
+    complete = F.col("_complete")
+    totals = per_key.agg(
+        F.coalesce(F.sum("_bronze"), F.lit(0)).alias("bronze"),
+        F.coalesce(F.sum(F.when(complete, F.col("_distinct"))), F.lit(0)).alias("silver"),
+        F.count_if(complete).alias("dm_risks"),
+    )
+    weather_n = weather.agg(F.count(F.lit(1)).alias("n")).select(F.lit("weather").alias("stage"), "n")
+    return weather_n.unionByName(
+        totals.unpivot([], ["bronze", "silver", "dm_risks"], "stage", "n").select("stage", "n")
+    )

@@ -90,3 +90,44 @@ def test_shuffle_sizing():
     tb = 1024 ** 4
     assert shuffle_partitions_for(100 * tb) == 409_600
     assert shuffle_partitions_for(10) == 8
+
+
+def naive_counts(weather, cities, countries):
+    from nimbusmart.operators.curate import curate
+    from nimbusmart.operators.geo import feed_bronze
+    from nimbusmart.operators.marts import build_mart
+
+    bronze = feed_bronze(weather, cities, countries)
+    silver = curate(bronze)
+    return {"weather": weather.count(), "bronze": bronze.count(), "silver": silver.count(),
+            "dm_risks": build_mart(silver).count()}
+
+
+def test_stage_counts_equal_counting_each_stage(spark):
+    w, c, k = roles.weather(spark, SF_SMALL), roles.cities(spark, SF_SMALL), roles.countries(spark, SF_SMALL)
+    got = {r.stage: r.n for r in stages.stage_counts(w, c, k).collect()}
+    assert got == naive_counts(w, c, k)
+
+
+def test_stage_counts_with_copies_homonyms_and_missing_keys(spark):
+    from pyspark.sql import functions as F
+
+    weather = spark.createDataFrame(
+        [("Paris", "2020-01-01", 1.0), ("Paris", "2020-01-01", 1.0), ("Paris", "2020-01-02", 1.0),
+         ("Springfield", "2020-01-01", 2.0), ("Springfield", "2020-01-01", 2.0), ("Atlantis", None, 3.0),
+         (None, "2021-05-05", 4.0), ("Atlantis", "2021-05-05", float("nan")),
+         ("Atlantis", "2021-05-05", float("nan"))],
+        "city_name string, date string, avg_temp_c double").withColumn("date", F.to_date("date"))
+    cities = spark.createDataFrame(
+        [("Paris", "France", "FRA", "FR"), ("Springfield", "USA", "USA", "US"),
+         ("Springfield", "Canada", "CAN", "CA"), ("Springfield", "Canada", "CAN", "CA")],
+        "city_name string, country string, iso3 string, iso2 string")
+    countries = spark.createDataFrame(
+        [("France", "FR", "FRA", "Europe"), ("USA", "US", "USA", None), ("Canada", "CA", "CAN", "Americas")],
+        "country string, iso2 string, iso3 string, region string")
+    got = {r.stage: r.n for r in stages.stage_counts(weather, cities, countries).collect()}
+    assert got == naive_counts(weather, cities, countries)
+    assert got == {"weather": 9, "bronze": 13, "silver": 5, "dm_risks": 4}
+    empty = weather.limit(0)
+    assert {r.stage: r.n for r in stages.stage_counts(empty, cities, countries).collect()} == {
+        "weather": 0, "bronze": 0, "silver": 0, "dm_risks": 0}

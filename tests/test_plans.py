@@ -95,3 +95,12 @@ def test_exact_mart_sums_in_fixed_width_buffers(spark):
 def test_served_mart_is_cut_from_its_lineage(spark):
     plan = explain_text(views.year_slice(stages.served_mart(spark, SF_SMALL)))
     assert "lineitem" not in plan and "Exchange" not in plan.split("\n\n")[0].split("Subquery")[0]
+
+
+def test_stage_counts_scan_the_fact_table_twice(spark):
+    plan = explain_text(stages.stage_counts(
+        roles.weather(spark, SF_SMALL), roles.cities(spark, SF_SMALL), roles.countries(spark, SF_SMALL)))
+    scans = [l for l in plan.splitlines() if l.startswith("Location") and "lineitem.parquet" in l]
+    assert len(scans) == 2          # weather count + the one pass over the chain
+    tree = plan.split("\n\n")[0]
+    assert "CartesianProduct" not in tree and "BroadcastNestedLoopJoin" not in tree
