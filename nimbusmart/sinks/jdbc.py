@@ -9,26 +9,22 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 
-def write_jdbc(
-    df: DataFrame,
+def jdbc_write_options(
     url: str,
     table: str,
     properties: Mapping[str, str] | None = None,
-    mode: str = "overwrite",
     batch_size: int = 10_000,
     truncate: bool = False,
     num_partitions: int | None = None,
-) -> None:
-    writer = (
-        df.write.format("jdbc")
-        .mode(mode)
-        .option("url", url)
-        .option("dbtable", table)
-        .option("batchsize", str(batch_size))
-        .option("truncate", str(truncate).lower())
-    )
+) -> dict[str, str]:
+    """The writer options of :func:`write_jdbc`."""
+    opts = {"url": url, "dbtable": table, "batchsize": str(batch_size), "truncate": str(truncate).lower()}
     if num_partitions:
-        writer = writer.option("numPartitions", str(num_partitions))
-    for key, value in (properties or {}).items():
-        writer = writer.option(key, value)
-    writer.save()
+        opts["numPartitions"] = str(num_partitions)
+    opts.update({k: str(v) for k, v in (properties or {}).items()})
+    return opts
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", **kwargs) -> None:
+    """Write ``df`` to a JDBC table; ``kwargs`` as in :func:`jdbc_write_options`."""
+    df.write.format("jdbc").mode(mode).options(**jdbc_write_options(url, table, **kwargs)).save()

@@ -14,8 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_jdbc(
-    spark: SparkSession,
+def jdbc_read_options(
     url: str,
     table: str,
     properties: Mapping[str, str] | None = None,
@@ -24,18 +23,22 @@ def read_jdbc(
     upper_bound: int | str | None = None,
     num_partitions: int | None = None,
     fetch_size: int = 10_000,
-) -> DataFrame:
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    reader = reader.option("fetchsize", str(fetch_size))
-    for key, value in (properties or {}).items():
-        reader = reader.option(key, value)
+) -> dict[str, str]:
+    """The reader options of :func:`read_jdbc`."""
+    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
+    opts.update({k: str(v) for k, v in (properties or {}).items()})
     if partition_column is not None:
         if lower_bound is None or upper_bound is None or not num_partitions:
             raise ValueError("partitioned JDBC reads need lower/upper bounds and num_partitions")
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", str(lower_bound))
-            .option("upperBound", str(upper_bound))
-            .option("numPartitions", str(num_partitions))
+        opts.update(
+            partitionColumn=partition_column,
+            lowerBound=str(lower_bound),
+            upperBound=str(upper_bound),
+            numPartitions=str(num_partitions),
         )
-    return reader.load()
+    return opts
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, **kwargs) -> DataFrame:
+    """A JDBC table as a DataFrame; ``kwargs`` as in :func:`jdbc_read_options`."""
+    return spark.read.format("jdbc").options(**jdbc_read_options(url, table, **kwargs)).load()

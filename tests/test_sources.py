@@ -131,3 +131,21 @@ def test_ensure_parallelism_only_spreads_small_scans(spark):
     assert inspect.partition_count(inspect.ensure_parallelism(one, 4)) == 4
     many = spark.range(100).repartition(8)
     assert inspect.ensure_parallelism(many, 4) is many
+
+
+def test_jdbc_options_without_a_database():
+    import pytest
+
+    from nimbusmart.sinks.jdbc import jdbc_write_options
+    from nimbusmart.sources.jdbc import jdbc_read_options
+
+    opts = jdbc_read_options("jdbc:x://h/db", "cities", {"user": "u"}, partition_column="id",
+                             lower_bound=1, upper_bound=1000, num_partitions=16)
+    assert opts["partitionColumn"] == "id" and opts["numPartitions"] == "16" and opts["user"] == "u"
+    assert opts["lowerBound"] == "1" and opts["upperBound"] == "1000" and opts["dbtable"] == "cities"
+    assert "partitionColumn" not in jdbc_read_options("jdbc:x://h/db", "cities")
+    with pytest.raises(ValueError):
+        jdbc_read_options("jdbc:x://h/db", "cities", partition_column="id", num_partitions=4)
+    w = jdbc_write_options("jdbc:x://h/db", "dm_risks", {"password": "p"}, truncate=True, num_partitions=8)
+    assert w == {"url": "jdbc:x://h/db", "dbtable": "dm_risks", "batchsize": "10000", "truncate": "true",
+                 "numPartitions": "8", "password": "p"}
