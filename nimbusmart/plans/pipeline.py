@@ -22,6 +22,7 @@ from nimbusmart.operators.curate import curate
 from nimbusmart.operators.geo import feed_bronze
 from nimbusmart.operators.marts import build_mart, project_mart
 from nimbusmart.operators.serving import has_rows
+from nimbusmart.session import check_output
 from nimbusmart.sinks.files import save_partitioned_table, write_partitioned_parquet
 from nimbusmart.sources.catalog import register_parquet_table
 from nimbusmart.sources.files import read_parquet
@@ -42,7 +43,14 @@ def _write_counted(df: DataFrame, path: str, name: str) -> int:
     the write job itself (no extra count job)."""
     obs = Observation(name)
     write_partitioned_parquet(df, path, "year", observation=obs)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    if rows == 0:
+        # A partitioned write of no rows leaves no data file, so the next stage
+        # could not read the layer's schema back (N13: an empty layer must
+        # flow on). One empty file carries it; ``limit(0)`` reads nothing.
+        cols = [c for c in df.columns if c != "year"] + ["year"]
+        df.select(*cols).limit(0).write.mode("append").parquet(path)
+    return rows
 
 
 def load_reference(
@@ -72,6 +80,7 @@ def run_silver(
     ``copy_table`` instead saves a managed copy from the written files, as the
     reference job does, which doubles the silver I/O and storage.
     """
+    check_output(out, bronze_path)
     rows = _write_counted(curate(read_parquet(spark, bronze_path)), out, "silver")
     if table is not None:
         if copy_table:
@@ -90,6 +99,7 @@ def run_gold(
 ) -> dict[str, int]:
     """Silver -> the three marts. An empty silver only logs a warning (N13);
     a sink failure is logged and re-raised."""
+    check_output(out_base, silver_path)
     silver = read_parquet(spark, silver_path)
     if not has_rows(silver):
         log.warning("silver at %s is empty; marts will be empty", silver_path)
@@ -97,10 +107,8 @@ def run_gold(
     rows = {"dm_risks": _write_counted(build_mart(silver, RISK_RULES, exact=exact), risk_path, "dm_risks")}
     written = read_parquet(spark, risk_path)
     for name, rules in MARTS.items():
-        mart = written if name == "dm_risks" else project_mart(written, rules)
         if name != "dm_risks":
-            write_partitioned_parquet(mart, f"{out_base}/{name}", "year")
-            rows[name] = rows["dm_risks"]
+            rows[name] = _write_counted(project_mart(written, rules), f"{out_base}/{name}", name)
         if sink is not None:
             try:
                 sink(name, read_parquet(spark, f"{out_base}/{name}"))

@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Delete checkpoint files once their DataFrame is garbage collected (views
+    # checkpoint the marts they read).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -87,19 +90,29 @@ def is_local_path(path: str) -> bool:
     return path.startswith("file:") or "://" not in path
 
 
+def _norm_path(p: str) -> str:
+    if p.startswith("file://"):
+        p = p[len("file://"):]
+    elif p.startswith("file:"):
+        p = p[len("file:"):]
+    if is_local_path(p):
+        p = os.path.abspath(p)
+    return p.rstrip("/")
+
+
 def same_location(a: str, b: str) -> bool:
     """True when two paths point at the same folder (N15: never overwrite the input)."""
+    return _norm_path(a) == _norm_path(b)
 
-    def norm(p: str) -> str:
-        if p.startswith("file://"):
-            p = p[len("file://"):]
-        elif p.startswith("file:"):
-            p = p[len("file:"):]
-        if is_local_path(p):
-            p = os.path.abspath(p)
-        return p.rstrip("/")
 
-    return norm(a) == norm(b)
+def check_output(out: str, *inputs: str) -> None:
+    """Refuse an output folder that is, contains or lies inside an input folder
+    (N15): an overwrite there would delete data the job is still reading."""
+    o = _norm_path(out)
+    for i in inputs:
+        n = _norm_path(i)
+        if o == n or o.startswith(n + "/") or n.startswith(o + "/"):
+            raise ValueError(f"output {out!r} overlaps input {i!r}; write somewhere else")
 
 
 # Target bytes of shuffle data per reduce task before AQE merges small ones.

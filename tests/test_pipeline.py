@@ -131,3 +131,34 @@ def test_stage_counts_with_copies_homonyms_and_missing_keys(spark):
     empty = weather.limit(0)
     assert {r.stage: r.n for r in stages.stage_counts(empty, cities, countries).collect()} == {
         "weather": 0, "bronze": 0, "silver": 0, "dm_risks": 0}
+
+
+def test_stages_refuse_to_overwrite_their_input(spark, tmp_path):
+    import pytest
+
+    from nimbusmart.plans.pipeline import run_gold, run_silver
+    from nimbusmart.session import check_output
+
+    lake = str(tmp_path / "lake")
+    with pytest.raises(ValueError):
+        run_silver(spark, f"{lake}/bronze", f"{lake}/bronze/")          # same folder
+    with pytest.raises(ValueError):
+        run_gold(spark, f"{lake}/silver", f"file:{lake}")                # gold around silver
+    with pytest.raises(ValueError):
+        check_output(f"{lake}/silver/year=2020", f"{lake}/silver")        # inside the input
+    check_output(f"{lake}/silver2", f"{lake}/silver")                     # a sibling is fine
+
+
+def test_empty_silver_only_warns(spark, tmp_path, caplog):
+    import logging
+
+    from nimbusmart.plans.pipeline import run_pipeline
+
+    weather = roles.weather(spark, SF_SMALL).limit(0)
+    with caplog.at_level(logging.WARNING, logger="nimbusmart.plans.pipeline"):
+        res = run_pipeline(spark, weather, roles.cities(spark, SF_SMALL), roles.countries(spark, SF_SMALL),
+                           str(tmp_path / "lake"))
+    assert res.rows == {"bronze": 0, "silver": 0, "dm_risks": 0, "dm_tourism": 0, "dm_agriculture": 0}
+    assert "empty" in caplog.text
+    agri = read_parquet(spark, f"{res.paths['gold']}/dm_agriculture")
+    assert agri.count() == 0 and {"year", "city_name", "avg_temp_c"} <= set(agri.columns)
