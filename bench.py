@@ -23,7 +23,7 @@ def main() -> None:
 
     from nimbusmart.plans import roles
     from nimbusmart.plans.pipeline import run_bronze, run_gold, run_silver
-    from nimbusmart.plans.profile import run_action
+    from nimbusmart.plans.profile import Phases, run_action
     from nimbusmart.plans.queries import REGISTRY
     from nimbusmart.session import build_session, checkpoint_dir
 
@@ -34,12 +34,11 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     base = f"{checkpoint_dir(spark)}/bench-{int(time.time())}"
 
-    timings: dict[str, float] = {}
+    phases = Phases()
 
     def timed(name, fn):
-        t = time.perf_counter()
-        fn()
-        timings[name] = round(time.perf_counter() - t, 3)
+        with phases.phase(name):
+            fn()
 
     # warm-up (JVM, class loading, code generation) on the smallest scale, not timed
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
@@ -64,6 +63,7 @@ def main() -> None:
 
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
+    timings = {k: round(v, 3) for k, v in phases.timings.items()}
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "total_query_sec", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf, "cpus": cpus}))

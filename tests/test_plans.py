@@ -104,3 +104,15 @@ def test_stage_counts_scan_the_fact_table_twice(spark):
     assert len(scans) == 2          # weather count + the one pass over the chain
     tree = plan.split("\n\n")[0]
     assert "CartesianProduct" not in tree and "BroadcastNestedLoopJoin" not in tree
+
+
+def test_phase_profile_times_the_action_not_the_plan(spark):
+    from nimbusmart.plans.profile import Phases, run_action
+
+    phases = Phases()
+    with phases.phase("build"):
+        df = stages.risk_mart(spark, SF_SMALL)
+    with phases.phase("action"):
+        run_action(df)
+    assert list(phases.timings) == ["build", "action"]
+    assert phases.timings["action"] > 0 and phases.total() >= sum(phases.timings.values()) - 1e-3
