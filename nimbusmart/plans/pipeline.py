@@ -22,7 +22,7 @@ from nimbusmart.operators.curate import curate
 from nimbusmart.operators.geo import feed_bronze
 from nimbusmart.operators.marts import build_mart, project_mart
 from nimbusmart.operators.serving import has_rows
-from nimbusmart.session import check_output
+from nimbusmart.session import check_output, estimate_row_bytes, sized_shuffles
 from nimbusmart.sinks.files import save_partitioned_table, write_partitioned_parquet
 from nimbusmart.sources.catalog import register_parquet_table
 from nimbusmart.sources.files import read_parquet
@@ -36,6 +36,7 @@ MartSink = Callable[[str, DataFrame], None]
 class PipelineResult:
     paths: dict[str, str] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
+    shuffle_partitions: int | None = None
 
 
 def _write_counted(df: DataFrame, path: str, name: str) -> int:
@@ -127,13 +128,27 @@ def run_pipeline(
     silver_table: str | None = None,
     exact: bool = False,
     sink: MartSink | None = None,
+    size_shuffles: bool = True,
 ) -> PipelineResult:
-    """load -> bronze -> silver -> gold under ``base``."""
+    """load -> bronze -> silver -> gold under ``base``. With ``size_shuffles``
+    the silver and gold jobs run with shuffle partitions sized for bronze."""
     res = PipelineResult()
     res.paths["bronze"] = f"{base}/bronze/weather_daily"
     res.paths["silver"] = f"{base}/silver/weather_curated"
     res.paths["gold"] = f"{base}/gold"
     res.rows["bronze"] = run_bronze(weather, cities, countries, res.paths["bronze"])
+    if size_shuffles:
+        # The silver dedupe shuffles about all of bronze; size its partitions
+        # from the rows just written so that none of them spills.
+        bronze_bytes = res.rows["bronze"] * estimate_row_bytes(read_parquet(spark, res.paths["bronze"]).schema)
+        with sized_shuffles(spark, bronze_bytes) as n:
+            res.shuffle_partitions = n
+            _silver_and_gold(spark, res, silver_table, exact, sink)
+    else:
+        _silver_and_gold(spark, res, silver_table, exact, sink)
+    return res
+
+
+def _silver_and_gold(spark, res: PipelineResult, silver_table, exact, sink) -> None:
     res.rows["silver"] = run_silver(spark, res.paths["bronze"], res.paths["silver"], silver_table)
     res.rows.update(run_gold(spark, res.paths["silver"], res.paths["gold"], exact, sink))
-    return res

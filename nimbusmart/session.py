@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 # Settings every session of the library wants; a cluster may override them.
 DEFAULT_CONF = {
@@ -140,3 +143,55 @@ def size_shuffles(spark: SparkSession, shuffle_bytes: int, target_bytes: int = S
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 2))
     return n
+
+
+# Bytes a shuffled row takes per field (an UnsafeRow slot), plus a guess at the
+# payload of variable-length values.
+_SLOT_BYTES = 8
+_VARIABLE_BYTES = 32
+
+
+def estimate_row_bytes(schema: T.StructType) -> int:
+    """Rough shuffle size of one row of ``schema``: a null bitmap word, one
+    8-byte slot per field, and a guess for strings, binaries and nested values."""
+    size = _SLOT_BYTES
+    for f in schema.fields:
+        size += _SLOT_BYTES
+        if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            size += _VARIABLE_BYTES
+        elif isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
+            size += 16
+    return size
+
+
+_SHUFFLE_KEYS = (
+    "spark.sql.shuffle.partitions",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+)
+
+
+@contextmanager
+def sized_shuffles(
+    spark: SparkSession, shuffle_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES
+) -> Iterator[int]:
+    """Run the enclosed jobs with shuffles sized for ``shuffle_bytes`` (see
+    :func:`size_shuffles`), never below the session's parallelism; the previous
+    settings come back afterwards. Yields the partition count."""
+    old = {k: spark.conf.get(k, None) for k in _SHUFFLE_KEYS}
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        cores = 8
+    n = shuffle_partitions_for(shuffle_bytes, target_bytes, minimum=max(8, cores))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 2))
+    try:
+        yield n
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -162,3 +162,19 @@ def test_empty_silver_only_warns(spark, tmp_path, caplog):
     assert "empty" in caplog.text
     agri = read_parquet(spark, f"{res.paths['gold']}/dm_agriculture")
     assert agri.count() == 0 and {"year", "city_name", "avg_temp_c"} <= set(agri.columns)
+
+
+def test_shuffles_sized_for_bronze_and_settings_restored(spark):
+    from pyspark.sql import types as T
+
+    from nimbusmart.session import estimate_row_bytes, sized_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    tb = 1024 ** 4
+    with sized_shuffles(spark, 100 * tb) as n:
+        assert n == 409_600 and spark.conf.get("spark.sql.shuffle.partitions") == "409600"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    with sized_shuffles(spark, 10) as n:
+        assert n >= 8                                  # small data: never below the cores
+    schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("s", T.StringType())])
+    assert estimate_row_bytes(schema) == 8 + 8 + 8 + 32
