@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nimbusmart.functions.metrics import MARTS, RISK_RULES
-from nimbusmart.operators.curate import curate
+from nimbusmart.functions.metrics import MART_KEYS, MARTS, RISK_RULES
+from nimbusmart.operators.curate import cast_metrics, curate, is_complete
 from nimbusmart.operators.geo import feed_bronze, geo_dimension
 from nimbusmart.operators.marts import build_mart, build_marts
 from nimbusmart.plans import roles
@@ -68,11 +69,6 @@ def stage_counts(weather: DataFrame, cities: DataFrame, countries: DataFrame) ->
     which needs no shuffle: the geo join may repeat a weather row, so bronze
     cannot give it. Both groupings aggregate partially before their exchange.
     """
-    from pyspark.sql import functions as F
-
-    from nimbusmart.functions.metrics import MART_KEYS
-    from nimbusmart.operators.curate import cast_metrics, is_complete
-
     bronze = cast_metrics(feed_bronze(weather, cities, countries))
     keys = [k for k in MART_KEYS if k in bronze.columns]
     rows = bronze.groupBy(*bronze.columns).agg(F.count(F.lit(1)).alias("_copies"))
