@@ -121,9 +121,11 @@ def compass_view(mart: DataFrame, year: int | None = None, n: int = 30, metric:
         .orderBy(*_ordered(mart, VIEW_ORDER))
         .limit(n)
     )
+    # One projection over the limit (not two stacked ones) keeps the plan a
+    # top-k (TakeOrderedAndProject) instead of a global sort.
     direction = compass_name(metric)
-    return sample.withColumn("Direction", direction).withColumn(
-        "Label", F.concat(F.col("city_name"), F.lit(" "), F.col("Direction"))
+    return sample.select(
+        "*", direction.alias("Direction"), F.concat(F.col("city_name"), F.lit(" "), direction).alias("Label")
     )
 
 

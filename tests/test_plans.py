@@ -116,3 +116,8 @@ def test_phase_profile_times_the_action_not_the_plan(spark):
         run_action(df)
     assert list(phases.timings) == ["build", "action"]
     assert phases.timings["action"] > 0 and phases.total() >= sum(phases.timings.values()) - 1e-3
+
+
+def test_compass_sample_is_top_k(spark):
+    plan = explain_text(views.compass_view(stages.risk_mart(spark, SF_SMALL), year=1998))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
