@@ -19,6 +19,10 @@ from nimbusmart.operators.geo import feed_bronze
 from nimbusmart.session import checkpoint_dir
 
 
+# Files per micro-batch: at ~128 MB a file, about 128 GB per batch.
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def weather_stream(
     spark: SparkSession, folder: str, schema: T.StructType, max_files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -38,10 +42,16 @@ def start_bronze_stream(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Start the stream: new weather files -> bronze rows appended to ``out``
-    partitioned by year. Returns the running query."""
-    bronze = feed_bronze(weather_stream(spark, weather_folder, weather_schema), cities, countries)
+    partitioned by year. Returns the running query.
+
+    ``max_files_per_trigger`` bounds each micro-batch, also under
+    ``availableNow``, which then drains a backlog as several committed batches:
+    a failure re-runs one batch, not the whole backlog."""
+    source = weather_stream(spark, weather_folder, weather_schema, max_files_per_trigger)
+    bronze = feed_bronze(source, cities, countries)
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/bronze"
     writer = (
         bronze.writeStream.format("parquet")

@@ -178,3 +178,19 @@ def test_shuffles_sized_for_bronze_and_settings_restored(spark):
         assert n >= 8                                  # small data: never below the cores
     schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("s", T.StringType())])
     assert estimate_row_bytes(schema) == 8 + 8 + 8 + 32
+
+
+def test_stream_drains_a_backlog_in_bounded_batches(spark, tmp_path):
+    from nimbusmart.streaming.incremental import start_bronze_stream
+
+    weather = roles.weather(spark, SF_SMALL)
+    src = str(tmp_path / "incoming")
+    weather.repartition(6).write.parquet(src)                 # six files
+    out = str(tmp_path / "bronze_stream")
+    q = start_bronze_stream(spark, src, weather.schema, roles.cities(spark, SF_SMALL),
+                            roles.countries(spark, SF_SMALL), out, checkpoint=str(tmp_path / "ckpt"),
+                            max_files_per_trigger=2)
+    q.awaitTermination(300)
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3
+    same(read_parquet(spark, out), stages.bronze(spark, SF_SMALL).select(*read_parquet(spark, out).columns))
