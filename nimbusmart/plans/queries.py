@@ -344,7 +344,10 @@ def q_array_item(spark, sf_dir):
           "try_cast(cast(l_linenumber as varchar) || '.5' as double) as min_temp_c, "
           "try_cast(l_returnflag as double) as snow_depth_mm from lineitem")
 def q_numeric_try_cast(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select(
+    from nimbusmart.operators.inspect import ensure_parallelism
+
+    # text -> double parsing is the CPU-heavy part: spread an under-split scan
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey",
         "l_linenumber",
         F.col("l_quantity").cast("string").alias("avg_temp_c"),
