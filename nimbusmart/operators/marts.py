@@ -15,8 +15,9 @@ Rule = tuple[str, str]
 # decimal form) and sums whole cents as 64-bit integers, so the result does not
 # depend on the order rows are added in (useful for reconciliation against
 # another engine). Integer sums stay in fixed-width aggregation buffers; a
-# decimal(28,2) buffer would allocate a BigDecimal per update. The total goes
-# back through decimal(20,2) so the double equals that of the decimal sum.
+# decimal(28,2) buffer would allocate a BigDecimal per update. The cent total
+# goes back through decimal (decimal(20,0) x 0.01) so the double equals that of
+# the decimal sum.
 # A total past the 64-bit range raises under ANSI mode; it never wraps.
 EXACT_DECIMAL = "decimal(18,2)"
 CENT = Decimal("0.01")
