@@ -121,3 +121,20 @@ def test_phase_profile_times_the_action_not_the_plan(spark):
 def test_compass_sample_is_top_k(spark):
     plan = explain_text(views.compass_view(stages.risk_mart(spark, SF_SMALL), year=1998))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_bronze_above_the_broadcast_bound_is_a_shuffle_join_with_equal_rows(spark):
+    from helpers import canonical
+    from nimbusmart.operators.geo import feed_bronze
+
+    w, c, k = roles.weather(spark, SF_SMALL), roles.cities(spark, SF_SMALL), roles.countries(spark, SF_SMALL)
+    small = feed_bronze(w, c, k)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = feed_bronze(w, c, k, max_broadcast_rows=1)
+        plan = explain_text(big)
+        assert "SortMergeJoin LeftOuter" in plan and "BroadcastHashJoin LeftOuter" not in plan
+        assert canonical(big.columns, big.collect()) == canonical(small.columns, small.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
