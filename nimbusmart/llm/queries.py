@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from nimbusmart.llm import quality
+from nimbusmart.llm import bpe, linededup, quality, secrets, substrings
 from nimbusmart.llm.registry import ORACLES, QUERIES, register
 from nimbusmart.llm.tables import table
 
 __all__ = ["QUERIES", "ORACLES"]
 
+# Vocabulary files of the installed public tokenizers.
+WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
+
 
 def _sql_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
@@ -57,3 +63,77 @@ from v
 def op2_quality_rules(spark, sf_dir) -> DataFrame:
     out = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.drop("text")
+
+
+@register("op4_bpe")
+def op4_bpe(spark, sf_dir) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
+@register("op5_secret_scan")
+def op5_secret_scan(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.PATTERN)
+    n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        n("assign").alias("n_assign"),
+        n("access").alias("n_access"),
+        n("hex").alias("n_hex"),
+        F.sha2(secrets.span_list(F.col("spans"), secrets.KINDS[:3]), 256).alias("base_sha256"),
+        secrets.span_list(F.col("spans")).alias("spans"),
+    )
+
+
+_LINES_SQL = """
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+l as (
+  select rid, doc_id, i, s[i] as line, translate(trim(s[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from (select rid, doc_id, s, unnest(range(1, len(s) + 1)) as i from (select *, string_split(t, chr(10)) as s from d))
+), k as (
+  select key, max(doc_id) as last from l where length(key) >= 40 group by key having count(distinct doc_id) >= 5
+), m as (
+  select l.*, k.last is not null and l.doc_id <> k.last as gone from l left join k using (key)
+)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from m group by rid, doc_id
+"""
+
+
+@register("op7_line_dedup", _LINES_SQL)
+def op7_line_dedup(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = linededup.with_kept_text(linededup.keep_bitmaps(docs))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return out.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
+_SUBSTRINGS_SQL = """
+with d as (
+  select row_number() over (order by doc_id) as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents
+), g as (
+  select rid, i, hash(array_to_string(w[i:i + 19], ' ')) as h, md5(array_to_string(w[i:i + 19], ' ')) as m
+  from (select rid, w, unnest(range(1, len(w) - 18)) as i from d where len(w) >= 20)
+), again as (
+  select rid, i from (select rid, i, row_number() over (partition by h, m order by rid, i) as n from g) where n > 1
+), gone as (
+  select distinct rid, i + j as i from again, (select unnest(range(0, 20)) as j)
+), a as (
+  select d.rid, d.doc_id, d.w, u.i, gone.i is not null as gone
+  from d left join (select rid, unnest(range(1, len(w) + 1)) as i from d) as u using (rid)
+       left join gone on gone.rid = u.rid and gone.i = u.i
+)
+select doc_id, count(i) as n_words, count(*) filter (gone) as n_removed,
+       sha256(coalesce(string_agg(w[i], ' ' order by i) filter (not gone and i is not null), '')) as kept_sha256
+from a group by rid, doc_id
+"""
+
+
+@register("op10_substring_dedup", _SUBSTRINGS_SQL)
+def op10_substring_dedup(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substrings.drop_repeats(docs)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
