@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusmart.llm import bpe, linededup, neardup, quality, secrets, substrings
+from nimbusmart.llm import bpe, linededup, neardup, packing, quality, secrets, substrings, topk
 from nimbusmart.llm.registry import ORACLES, QUERIES, register
 from nimbusmart.llm.tables import table
 
@@ -143,3 +143,29 @@ def op10_substring_dedup(spark, sf_dir) -> DataFrame:
 def op9_near_dedup(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, shingle_words=2)
+
+
+_TOPK_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(cast(x as double) * 1024) as bigint)) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
+  from v q, v c where q.vec_id % 100 = 0 and c.vec_id <> q.vec_id
+), r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 10
+"""
+
+
+@register("op3_pivot_topk", _TOPK_SQL)
+def op3_pivot_topk(spark, sf_dir) -> DataFrame:
+    vectors = topk.vector_table(table(spark, sf_dir, "embeddings"))
+    return topk.exact_topk(vectors.where("id % 100 = 0"), vectors, topk.K)
+
+
+@register("op6_packing")
+def op6_packing(spark, sf_dir) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
