@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusmart.llm import bpe, linededup, neardup, packing, quality, secrets, substrings, topk
+from nimbusmart.llm import bpe, htmltext, linededup, neardup, packing, quality, secrets, substrings, topk
 from nimbusmart.llm.registry import ORACLES, QUERIES, register
 from nimbusmart.llm.tables import table
 
@@ -169,3 +169,9 @@ def op3_pivot_topk(spark, sf_dir) -> DataFrame:
 @register("op6_packing")
 def op6_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op8_html_extraction")
+def op8_html_extraction(spark, sf_dir) -> DataFrame:
+    out = htmltext.extract(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
