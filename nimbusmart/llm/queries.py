@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusmart.llm import bpe, htmltext, linededup, neardup, packing, quality, secrets, substrings, topk
+from nimbusmart.llm import bpe, htmltext, licenses, linededup, neardup, packing, quality, secrets, substrings, topk
 from nimbusmart.llm.registry import ORACLES, QUERIES, register
 from nimbusmart.llm.tables import table
 
@@ -175,3 +175,31 @@ def op6_packing(spark, sf_dir) -> DataFrame:
 def op8_html_extraction(spark, sf_dir) -> DataFrame:
     out = htmltext.extract(table(spark, sf_dir, "pages"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _licenses_sql() -> str:
+    rows = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in licenses.TEMPLATES)
+    spread = "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))"
+    return f"""
+with t as (
+  select license, list_distinct({spread}) as s
+  from (select license, regexp_extract_all(lower(text), '[a-z0-9]+') as w from (values {rows}) as v(license, text))
+), tt as (
+  select license, len(s) as n, cast(pow(2, ceil(log2(len(s))) + 1) as bigint) // 2 as half, unnest(s) as x from t
+), d as (
+  select doc_id, w, unnest(range(1, len(w) - 3)) as i
+  from (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') as w from documents) where len(w) >= 5
+), h as (
+  select doc_id, license, n, half, i - 1 as p, x from d join tt on x = array_to_string(w[i:i + 4], ' ')
+), f as (
+  select doc_id, license, n, (p // half - back) * half as start, count(distinct x) as n_found
+  from h, (values (0), (1)) as b(back) where p // half >= back group by all having count(distinct x) * 100 >= n * {licenses.PERCENT}
+)
+select doc_id, license, max(n_found) as n_found, n as n_shingles, arg_max(start, n_found * 10000000 - start) as first_word
+from f group by doc_id, license, n
+"""
+
+
+@register("op1_license_scan", _licenses_sql())
+def op1_license_scan(spark, sf_dir) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
