@@ -162,12 +162,18 @@ def _verdict(c: Column, rules: tuple[Rule, ...]) -> Column:
     return ok
 
 
+def _base_failed(c: Column) -> Column:
+    return (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEATED_PERCENT * c["n_words"])
+
+
 def quality_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with the base counts, ``base_failed`` and ``kept``."""
-    counts = docs.withColumn("__counts", _counts(docs[text]))
     c = F.col("__counts")
-    failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEATED_PERCENT * c["n_words"])
-    out = counts.withColumns(
-        {k: c[k] for k in BASE_COLUMNS} | {"base_failed": failed, "kept": ~failed & _verdict(c, rules)}
-    )
-    return out.drop("__counts")
+    counted = docs.withColumn("__counts", _counts(docs[text]))
+    results = {k: c[k] for k in BASE_COLUMNS} | {"base_failed": _base_failed(c), "kept": ~_base_failed(c) & _verdict(c, rules)}
+    return counted.withColumns(results).drop("__counts")
+
+
+def quality_verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether a text is kept, as one expression."""
+    return _let(_counts(text), lambda c: ~_base_failed(c) & _verdict(c, rules))
