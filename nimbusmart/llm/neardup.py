@@ -16,8 +16,9 @@ different components. Agreement below ``J - 4.5 sigma`` is the only reason not
 to compare a pair; confirmed links are exact. Components are found by
 ``components``.
 
-Regions at the last depth that are still too large agree in 16 values; they are
-cut into blocks, and each block also holds the region's smallest class.
+A large region of which all but a few classes are in one component already, such
+as a group of very many near copies, is not deepened but cut into blocks with the
+few in each, so its remaining pairs are compared in full as well.
 
 Defined cases: a document without words or text has an empty set, links with
 nothing and stays. With fewer words than a shingle, the whole sequence is the
@@ -124,32 +125,51 @@ def _prefixes(depth: int):
     return run, "node long, tree int, key long"
 
 
-def _regions(classes: DataFrame, name: str) -> DataFrame:
-    """(key, node, label): classes that share a region with a different label."""
+def _sizes(rows: DataFrame, labelled: bool) -> DataFrame:
+    """Of keys with several labels: the number of rows, the smallest node, and
+    the commonest label with its number of rows."""
+    if not labelled:  # every node has a label of its own
+        sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
+        return sizes.withColumns({"main": F.lit(None).cast("long"), "most": F.lit(1).cast("long")})
+    parts = rows.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("node").alias("first"))
+    top = F.max(F.struct("n", "label"))
+    sizes = parts.groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"), top.alias("top"), F.count("*").alias("labels"))
+    return sizes.where("labels > 1").select("key", "n", "first", F.col("top.label").alias("main"), F.col("top.n").alias("most"))
+
+
+def _regions(classes: DataFrame, labelled: bool, name: str) -> DataFrame:
+    """(key, node, label): classes that share a region with a different label.
+
+    A region that is too large is cut into blocks by a hash of the node. If all
+    but a few of its classes belong to one component, the few are in every block
+    and no pair is lost. If not, the blocks link what is alike for the most
+    part, and the region is looked at again through longer prefixes.
+    """
+    half = REGION // 2
     run, ddl = _prefixes(DEPTHS[0])
-    rows = classes.select("node", "signature").mapInArrow(run, ddl).join(classes.select("node", "label"), "node")
+    labels = classes.select("node", "label")
+    rows = classes.select("node", "signature").mapInArrow(run, ddl).join(labels, "node")
     out = None
     for level in range(len(DEPTHS)):
         rows = materialise(rows, f"{name}-rows")
-        sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b"), F.min("node").alias("first"))
-        sizes = materialise(sizes.where("n > 1 and a <> b").select("key", "n", "first"), f"{name}-sizes")
-        last = level == len(DEPTHS) - 1
-        fit = rows.join(sizes if last else sizes.where(F.col("n") <= REGION), "key")
-        if last:
-            blocks = F.ceil(F.col("n") / REGION)
-            salt = F.pmod(F.xxhash64("node"), blocks)
-            block = F.when(F.col("n") <= REGION, F.col("key")).otherwise(F.xxhash64("key", salt))
-            lead = sizes.where(F.col("n") > REGION).select("key", F.col("first").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / REGION) - 1)).alias("salt"))
-            lead = lead.join(classes.select("node", "label"), "node").select(F.xxhash64("key", "salt").alias("key"), "node", "label")
-            part = fit.select(block.alias("key"), "node", "label").unionByName(lead).distinct()
-        else:
-            part = fit.select("key", "node", "label")
-        out = part if out is None else out.unionByName(part)
-        if last or sizes.where(F.col("n") > REGION).isEmpty():
+        sizes = materialise(_sizes(rows, labelled), f"{name}-sizes")
+        fit = rows.join(sizes.where(F.col("n") <= REGION), "key").select("key", "node", "label")
+        out = fit if out is None else out.unionByName(fit)
+        large = sizes.where(F.col("n") > REGION)
+        if large.isEmpty():
+            break
+        blocks = F.ceil(F.col("n") / half)
+        few = F.col("n") - F.col("most") <= half
+        everywhere = (few & (F.col("label") != F.col("main"))) | (F.col("node") == F.col("first"))
+        one = F.array(F.pmod(F.xxhash64("node"), blocks))
+        block = F.explode(F.when(everywhere, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(one))
+        cut = rows.join(large, "key").select("key", "node", "label", block.alias("block"))
+        out = out.unionByName(cut.select(F.xxhash64("key", "block").alias("key"), "node", "label"))
+        if level + 1 == len(DEPTHS):
             break
-        deep = rows.join(sizes.where(F.col("n") > REGION), "key").select("node", "tree")
+        deep = rows.join(large.where(~few).select("key"), "key").select("node", "tree")
         run, ddl = _prefixes(DEPTHS[level + 1])
-        rows = deep.join(classes, "node").select("node", "signature", "tree").mapInArrow(run, ddl).join(classes.select("node", "label"), "node")
+        rows = deep.join(classes, "node").select("node", "signature", "tree").mapInArrow(run, ddl).join(labels, "node")
     return out
 
 
@@ -231,7 +251,7 @@ def _candidates(forest: bool, percent: int):
 
 
 def _pairs(classes: DataFrame, forest: bool, percent: int, name: str) -> DataFrame:
-    regions = _regions(classes, name)
+    regions = _regions(classes, not forest, name)
     rows = regions.join(classes.select("node", "n_shingles", "bytes"), "node").select("key", "node", "label", "n_shingles", "bytes")
     run, ddl = _candidates(forest, percent)
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, ddl).distinct()
