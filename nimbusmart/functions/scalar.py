@@ -24,12 +24,6 @@ def nan_to_null(c: Column | str) -> Column:
     return F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))
 
 
-def is_missing(c: Column | str) -> Column:
-    """NULL or NaN."""
-    c = _col(c).cast("double")
-    return c.isNull() | F.isnan(c)
-
-
 def compass_index(deg: Column | str) -> Column:
     """Sector 0..7 of an angle: half-even round of (deg mod 360)/45, mod 8.
 
@@ -86,9 +80,10 @@ def try_double(c: Column | str) -> Column:
 
 
 def tolerant_year(df: DataFrame, name: str) -> Column:
-    """``year`` of a date-like column; text that does not parse gives NULL."""
+    """``year`` of a date-like column (F6, N4). Of text the leading date counts,
+    whatever follows a space or ``T``; text without one gives NULL."""
     dtype = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dtype, T.StringType):
-        c = F.try_to_timestamp(c)
+        c = c.try_cast("date")
     return F.year(c).cast("int")

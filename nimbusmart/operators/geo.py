@@ -2,7 +2,7 @@
 
 The weather side is the large one and is never broadcast or collected. The geo
 side (cities joined to countries) is broadcast only after a bounded check of
-its row count; past the bound the join stays a shuffle join and AQE's skew-join
+its size in bytes; past the bound the join stays a shuffle join and AQE's skew-join
 handling splits hot city keys. The join of the two dimension tables needs no
 such check: no fact data takes part in it.
 """
@@ -11,38 +11,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nimbusmart.functions.metrics import TECHNICAL_COLUMNS
 from nimbusmart.functions.scalar import tolerant_year
 
-# A dimension is broadcast only when it has at most this many rows. At ~100 B a
-# row a million cities is ~100 MB on each executor, well under executor memory.
-BROADCAST_MAX_ROWS = 1_000_000
+# A dimension is broadcast only when its rows take at most this many bytes.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+_FIELD_BYTES = 8
 
 
-def broadcastable(frames: list[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> list[bool]:
-    """For each frame, whether it provably has at most ``max_rows`` rows.
+def broadcastable(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the rows of ``df`` provably take at most ``max_bytes``.
 
-    One job probes all frames; each probe reads at most ``max_rows + 1`` rows of
-    its frame (a LIMIT, pushed to JDBC sources), so the cost is bounded whatever
-    the size of the frames.
+    One job reads at most as many rows as could fit at 8 bytes a field, adds up
+    what they take (8 bytes a field and the length of every string), and stops.
     """
-    if max_rows <= 0 or not frames:
-        return [False] * len(frames)
-    probes = [
-        f.limit(max_rows + 1).select(F.lit(i).alias("frame")) for i, f in enumerate(frames)
-    ]
-    probe = probes[0]
-    for p in probes[1:]:
-        probe = probe.unionByName(p)
-    counts = {r["frame"]: r["n"] for r in probe.groupBy("frame").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(frames))]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows;
+    if max_bytes <= 0:
+        return False
+    fixed = _FIELD_BYTES * (len(df.columns) + 1)
+    most = max_bytes // fixed + 1
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    size = sum(texts, F.lit(fixed)).cast("long")
+    row = df.limit(most).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return row["n"] < most and row["bytes"] <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` provably takes at most ``max_bytes``;
     above the bound ``df`` is returned as is and Spark plans a shuffle join."""
-    return F.broadcast(df) if broadcastable([df], max_rows)[0] else df
+    return F.broadcast(df) if broadcastable(df, max_bytes) else df
 
 
 def geo_dimension(cities: DataFrame, countries: DataFrame) -> DataFrame:
@@ -61,17 +59,17 @@ def feed_bronze(
     weather: DataFrame,
     cities: DataFrame,
     countries: DataFrame,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Daily weather ⟕ geo on the bare city name, technical columns dropped,
     ``year`` derived from ``date`` (T2).
 
     Homonym cities fan out (one weather row per matching geo row, N5); unmatched
     cities keep NULL country/region (N6). The geo side is broadcast only after a
-    bounded probe proves its row count, so the weather side is never shuffled
+    bounded probe proves its size, so the weather side is never shuffled
     for this join; above the bound it is a shuffle join with AQE skew splitting.
     """
-    geo = bounded_broadcast(geo_dimension(cities, countries), max_broadcast_rows)
+    geo = bounded_broadcast(geo_dimension(cities, countries), max_broadcast_bytes)
     joined = weather.join(geo, on="city_name", how="left").drop(*TECHNICAL_COLUMNS)
     return joined.withColumn("year", tolerant_year(joined, "date"))
 

@@ -19,9 +19,9 @@ def rows_per_partition(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def preview(df: DataFrame, n: int = 20) -> DataFrame:
-    """First ``n`` rows, for display (L4)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:
+    """First ``n`` rows, for display (L4); with ``order_by`` always the same ones."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
 def schema_tree(df: DataFrame) -> str:

@@ -2,20 +2,14 @@
 (J2 fan-out at scale).
 
 AQE splits skewed partitions of a left outer join only on the left (preserved)
-side. When the right side can hold one key for a third of its rows, this
-join:
-
-1. pre-aggregates the right side to (distinct row, copies) — a partial
-   aggregate, so identical copies collapse on each task before any shuffle;
-2. spreads the distinct right rows of every key over ``buckets`` salts by a
-   hash of their content (deterministic, so a retried task makes the same
-   choice) and replicates each left row once per salt;
-3. joins on (key, salt), then re-expands each match to its number of copies;
-4. adds the left rows without any match through an anti join on the distinct
-   right keys, so unmatched rows appear exactly once.
-
-The left side is replicated ``buckets`` times, so it should be the smaller one.
-The result equals ``left.join(right, on, "left")`` as a bag.
+side. Here the right side's rows are first counted by key (pre-aggregated before
+the shuffle). Keys that hold more than ``share`` of them are hot; there are at
+most ``1 / share`` of those, so the list has a proven bound. All other keys go
+through one plain join. The right rows of a hot key are dealt over salts by
+their row number, so identical copies spread as well, and only the left rows of
+hot keys are repeated, once a salt. Every hot key has a match by definition, so
+its part is an inner join and unmatched left rows appear exactly once, in the
+plain part. The result equals ``left.join(right, on, "left")`` as a bag.
 """
 
 from __future__ import annotations
@@ -24,26 +18,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
-COPIES = "__copies"
-
-
-def skew_safe_left_join(left: DataFrame, right: DataFrame, on: str, buckets: int = 32) -> DataFrame:
-    if buckets < 1:
-        raise ValueError("buckets must be >= 1")
-    right_cols = [c for c in right.columns if c != on]
-    clash = set(right_cols) & set(left.columns)
+HOT_SHARE = 0.01
+
+
+def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE) -> list:
+    """Non-NULL keys that hold more than ``share`` of the rows: at most
+    ``1 / share`` values, found in one pre-aggregated pass."""
+    counts = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("n"))
+    # The largest 1 / share keys hold every key above the share.
+    top = counts.orderBy(F.desc("n")).limit(int(1 / share) + 1).collect()
+    total = df.count()
+    return [r[on] for r in top if r["n"] > share * total]
+
+
+def skew_safe_left_join(
+    left: DataFrame, right: DataFrame, on: str, hot: list | None = None, share: float = HOT_SHARE, salts: int = 64
+) -> DataFrame:
+    """``hot`` names the hot keys if the caller knows them; else they are counted."""
+    if salts < 1:
+        raise ValueError("salts must be >= 1")
+    clash = (set(right.columns) & set(left.columns)) - {on}
     if clash:
         raise ValueError(f"columns on both sides besides the key: {sorted(clash)}")
-
-    dedup = right.where(F.col(on).isNotNull()).groupBy(*right.columns).agg(F.count(F.lit(1)).alias(COPIES))
-    salted_right = dedup.withColumn(SALT, F.pmod(F.xxhash64(*right.columns), F.lit(buckets)))
-    salted_left = left.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    matched = (
-        salted_left.join(salted_right, [on, SALT], "inner")
-        .withColumn(COPIES, F.explode(F.sequence(F.lit(1), F.col(COPIES))))
-        .select(*left.columns, *right_cols)
-    )
-    keys = right.select(on).where(F.col(on).isNotNull()).distinct()
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name != on]
-    unmatched = left.join(keys, on, "left_anti").select(*left.columns, *nulls)
-    return matched.unionByName(unmatched)
+    hot = hot_keys(right, on, share) if hot is None else hot
+    if not hot:
+        return left.join(right, on, "left")
+    is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
+    plain = left.where(~is_hot).join(right.where(~is_hot), on, "left")
+    # Any salt gives the right result, so it need not depend on the row's content.
+    dealt = right.where(is_hot).withColumn(SALT, F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    repeated = left.where(is_hot).withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return plain.unionByName(repeated.join(dealt, [on, SALT]).drop(SALT))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,56 +9,14 @@ from nimbusmart.functions.metrics import AGGREGATES, MART_KEYS, MARTS, RISK_RULE
 
 Rule = tuple[str, str]
 
-# Exact mode rounds each value to cents as decimal(18,2) would (half-up of its
-# decimal form) and sums whole cents as 64-bit integers, so the result does not
-# depend on the order rows are added in (useful for reconciliation against
-# another engine). Integer sums stay in fixed-width aggregation buffers; a
-# decimal(28,2) buffer would allocate a BigDecimal per update. The cent total
-# goes back through decimal (decimal(20,0) x 0.01) so the double equals that of
-# the decimal sum.
-# A total past the 64-bit range raises under ANSI mode; it never wraps.
-EXACT_DECIMAL = "decimal(18,2)"
-CENT = Decimal("0.01")
-
-
-# A value whose hundredfold lies this close to an integer c (and that is below
-# FAST_CENTS_MAX in size) is within half a cent of c/100 in decimal, so
-# rounding it half-up to cents gives c; this skips a BigDecimal per value.
-FAST_CENTS_EPS = 1e-6
-FAST_CENTS_MAX = 1e10
-
-
-def cents(c: Column) -> Column:
-    """``c`` in whole cents as ``try_cast(c as decimal(18,2))`` rounds it (half
-    up from its decimal form), as a long; NULL where that cast gives NULL.
-
-    Most values take an arithmetic fast path. Values near a half cent (e.g.
-    0.285), large values, text and NaN go through the decimal cast.
-    """
-    x = c.try_cast("double")
-    scaled = x * 100.0
-    nearest = F.rint(scaled)
-    fast = (F.abs(x) < FAST_CENTS_MAX) & (F.abs(scaled - nearest) <= FAST_CENTS_EPS)
-    exact = (c.try_cast(EXACT_DECIMAL) * 100).cast("long")
-    return F.when(fast, nearest.cast("long")).otherwise(exact)
-
 
-def agg_expr(column: str, fn: str, exact: bool = False, alias: str | None = None) -> Column:
-    """One mart aggregate. NULLs are skipped; an all-NULL group gives NULL."""
+def agg_expr(column: str, fn: str, alias: str | None = None) -> Column:
+    """One mart aggregate. NULLs are skipped, NaN propagates (N7); an all-NULL
+    group gives NULL."""
     if fn not in AGGREGATES:
         raise ValueError(f"unknown aggregate {fn!r} for {column!r}; use one of {AGGREGATES}")
-    c = F.col(column)
-    if fn == "min":
-        out = F.min(c)
-    elif fn == "max":
-        out = F.max(c)
-    elif not exact:
-        out = F.avg(c) if fn == "avg" else F.sum(c)
-    else:
-        v = cents(c)
-        total = (F.sum(v).cast("decimal(20,0)") * F.lit(CENT)).cast("double")
-        out = F.try_divide(total, F.count(v)) if fn == "avg" else total
-    return out.alias(alias or column)
+    functions = {"avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
+    return functions[fn](F.col(column)).alias(alias or column)
 
 
 def usable_rules(df: DataFrame, rules: list[Rule]) -> list[Rule]:
@@ -71,19 +27,17 @@ def usable_rules(df: DataFrame, rules: list[Rule]) -> list[Rule]:
     return [(c, fn) for c, fn in rules if c in df.columns]
 
 
-def build_mart(df: DataFrame, rules: list[Rule] = RISK_RULES, exact: bool = False) -> DataFrame:
+def build_mart(df: DataFrame, rules: list[Rule] = RISK_RULES) -> DataFrame:
     """Group by whichever of year/country/region/city_name exist and apply the
     rules whose column is present (A1). Raises when no rule is usable."""
     rules = usable_rules(df, rules)
     if not rules:
         raise ValueError("no mart rule applies to the columns of this frame")
     keys = [k for k in MART_KEYS if k in df.columns]
-    return df.groupBy(*keys).agg(*[agg_expr(c, fn, exact) for c, fn in rules])
+    return df.groupBy(*keys).agg(*[agg_expr(c, fn) for c, fn in rules])
 
 
-def build_marts(
-    df: DataFrame, marts: dict[str, list[Rule]] = MARTS, exact: bool = False
-) -> dict[str, DataFrame]:
+def build_marts(df: DataFrame, marts: dict[str, list[Rule]] = MARTS) -> dict[str, DataFrame]:
     """All marts from ONE aggregate over the union of their rules.
 
     Silver is scanned and shuffled once; every mart is a projection of the
@@ -98,7 +52,7 @@ def build_marts(
         raise ValueError("no mart rule applies to the columns of this frame")
     keys = [k for k in MART_KEYS if k in df.columns]
     names = {rule: f"{rule[0]}__{rule[1]}" for rule in union}
-    shared = df.groupBy(*keys).agg(*[agg_expr(c, fn, exact, names[(c, fn)]) for c, fn in union])
+    shared = df.groupBy(*keys).agg(*[agg_expr(c, fn, names[(c, fn)]) for c, fn in union])
     out = {}
     for mart, rules in marts.items():
         cols = [F.col(names[r]).alias(r[0]) for r in usable_rules(df, rules)]

@@ -6,11 +6,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nimbusmart.functions.metrics import MART_KEYS
 
 DEFAULT_LIMIT = 100
-BULK_LIMIT = 150_000
 
 
 class MartNotFound(LookupError):
@@ -40,7 +40,8 @@ def filter_mart(df: DataFrame, year: int | None = None, country: str | None = No
 
 def capped(df: DataFrame, limit: int | None, order_by: list[str] | None = None) -> DataFrame:
     """At most ``limit`` rows. The rows are ordered by the mart key first so the
-    same call always returns the same rows (a top-k, not a full sort)."""
+    same call always returns the same rows (a top-k, not a full sort). ``None``
+    is the whole mart, unsorted: the bulk read has no cap."""
     if limit is None:
         return df
     keys = order_by if order_by is not None else [k for k in MART_KEYS if k in df.columns]
@@ -74,5 +75,11 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def as_json_records(df: DataFrame) -> DataFrame:
-    """One JSON object per row in a ``json`` column (K6); NULL fields are omitted."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("json"))
+    """One JSON object per row in a ``json`` column (K6); NULL fields stay as null."""
+    record = F.struct(*[F.col(c) for c in df.columns])
+    return df.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("json"))
+
+
+def parse_json_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of :func:`as_json_records` read back with their schema."""
+    return records.select(F.from_json("json", schema).alias("r")).select("r.*")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusmart.functions.scalar import composite_id, midpoint
+from nimbusmart.functions.scalar import midpoint
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -23,24 +23,6 @@ def drop_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
-def with_constant(df: DataFrame, name: str, value, dtype: str | None = None) -> DataFrame:
-    """Constant column; ``None`` becomes a typed NULL."""
-    c = F.lit(value)
-    if dtype is not None or value is None:
-        c = c.cast(dtype or "string")
-    return df.withColumn(name, c)
-
-
-def with_copy(df: DataFrame, source: str, target: str) -> DataFrame:
-    """Duplicate a column under a new name."""
-    return df.withColumn(target, F.col(source))
-
-
-def with_composite_id(df: DataFrame, parts: list[str], name: str = "id", sep: str = "_") -> DataFrame:
-    """``state_county_datasetId``-style key (F2)."""
-    return df.withColumn(name, composite_id(*parts, sep=sep))
-
-
 MODES = ("noop", "", "full")
 
 

@@ -95,7 +95,6 @@ def run_gold(
     spark: SparkSession,
     silver_path: str,
     out_base: str,
-    exact: bool = False,
     sink: MartSink | None = None,
 ) -> dict[str, int]:
     """Silver -> the three marts. An empty silver only logs a warning (N13);
@@ -105,7 +104,7 @@ def run_gold(
     if not has_rows(silver):
         log.warning("silver at %s is empty; marts will be empty", silver_path)
     risk_path = f"{out_base}/dm_risks"
-    rows = {"dm_risks": _write_counted(build_mart(silver, RISK_RULES, exact=exact), risk_path, "dm_risks")}
+    rows = {"dm_risks": _write_counted(build_mart(silver, RISK_RULES), risk_path, "dm_risks")}
     written = read_parquet(spark, risk_path)
     for name, rules in MARTS.items():
         if name != "dm_risks":
@@ -126,7 +125,6 @@ def run_pipeline(
     countries: DataFrame,
     base: str,
     silver_table: str | None = None,
-    exact: bool = False,
     sink: MartSink | None = None,
     size_shuffles: bool = True,
 ) -> PipelineResult:
@@ -143,12 +141,12 @@ def run_pipeline(
         bronze_bytes = res.rows["bronze"] * estimate_row_bytes(read_parquet(spark, res.paths["bronze"]).schema)
         with sized_shuffles(spark, bronze_bytes) as n:
             res.shuffle_partitions = n
-            _silver_and_gold(spark, res, silver_table, exact, sink)
+            _silver_and_gold(spark, res, silver_table, sink)
     else:
-        _silver_and_gold(spark, res, silver_table, exact, sink)
+        _silver_and_gold(spark, res, silver_table, sink)
     return res
 
 
-def _silver_and_gold(spark, res: PipelineResult, silver_table, exact, sink) -> None:
+def _silver_and_gold(spark, res: PipelineResult, silver_table, sink) -> None:
     res.rows["silver"] = run_silver(spark, res.paths["bronze"], res.paths["silver"], silver_table)
-    res.rows.update(run_gold(spark, res.paths["silver"], res.paths["gold"], exact, sink))
+    res.rows.update(run_gold(spark, res.paths["silver"], res.paths["gold"], sink))

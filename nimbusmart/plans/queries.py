@@ -45,16 +45,20 @@ def with_roles(select: str) -> str:
     return f"with {ROLE_CTES.strip()}\n{select}"
 
 
-def mart_sql(rules, source: str = "silver", keys: list[str] = MART_KEYS) -> str:
-    """DuckDB form of an exact-mode mart."""
-    exprs = []
-    for c, fn in rules:
-        if fn == "avg":
-            exprs.append(f"cast(sum(cast({c} as decimal(18,2))) as double) / nullif(count({c}), 0) as {c}")
-        elif fn == "sum":
-            exprs.append(f"cast(sum(cast({c} as decimal(18,2))) as double) as {c}")
-        else:
-            exprs.append(f"{fn}({c}) as {c}")
+# Averages and sums are rounded on both sides of the comparison only: their last
+# bits depend on the order in which rows are added.
+DIGITS = 6
+
+
+def rounded(mart: DataFrame, rules=RISK_RULES) -> DataFrame:
+    names = {c for c, fn in rules if fn in ("avg", "sum")}
+    return mart.select(*[F.round(c, DIGITS).alias(c) if c in names else F.col(c) for c in mart.columns])
+
+
+def mart_sql(rules, source: str = "silver", keys: list[str] = MART_KEYS, digits: int | None = DIGITS) -> str:
+    """DuckDB form of a mart."""
+    inexact = ("avg", "sum") if digits is not None else ()
+    exprs = [f"round({fn}({c}), {digits}) as {c}" if fn in inexact else f"{fn}({c}) as {c}" for c, fn in rules]
     k = ", ".join(keys)
     return f"select {k}, {', '.join(exprs)} from {source} group by {k}"
 
@@ -79,17 +83,17 @@ def q_curate_silver(spark, sf_dir):
 
 @register("dm_risks", "A1 A2 A5 P7 T4", with_roles(mart_sql(RISK_RULES)))
 def q_dm_risks(spark, sf_dir):
-    return stages.mart(spark, sf_dir, "dm_risks")
+    return rounded(stages.mart(spark, sf_dir, "dm_risks"), RISK_RULES)
 
 
 @register("dm_tourism", "A1 A3 A5 T4", with_roles(mart_sql(TOURISM_RULES)))
 def q_dm_tourism(spark, sf_dir):
-    return stages.mart(spark, sf_dir, "dm_tourism")
+    return rounded(stages.mart(spark, sf_dir, "dm_tourism"), TOURISM_RULES)
 
 
 @register("dm_agriculture", "A1 A4 A5 T4", with_roles(mart_sql(AGRI_RULES)))
 def q_dm_agriculture(spark, sf_dir):
-    return stages.mart(spark, sf_dir, "dm_agriculture")
+    return rounded(stages.mart(spark, sf_dir, "dm_agriculture"), AGRI_RULES)
 
 
 _DROPPED = ["snow_depth_mm", "peak_wind_gust_kmh", "region"]
@@ -106,7 +110,7 @@ _DROPPED = ["snow_depth_mm", "peak_wind_gust_kmh", "region"]
     ),
 )
 def q_mart_missing_column(spark, sf_dir):
-    return build_mart(stages.silver(spark, sf_dir).drop(*_DROPPED), RISK_RULES, exact=True)
+    return rounded(build_mart(stages.silver(spark, sf_dir).drop(*_DROPPED), RISK_RULES))
 
 
 def queries() -> dict[str, QueryFn]:
@@ -125,12 +129,19 @@ from nimbusmart.operators import serving, views  # noqa: E402
 
 SERVE_YEAR = 1998
 SERVE_COUNTRY = "NATION_5"
+
+
+def served(spark, sf_dir, name: str = "dm_risks", rules=RISK_RULES) -> DataFrame:
+    """A written mart, opened by name, as the views read it here."""
+    return rounded(stages.served_mart(spark, sf_dir, name), rules)
+
+
 _KEY_ORDER = ", ".join(f"{k} nulls last" for k in MART_KEYS)
 
 
-def with_mart(select: str, rules=RISK_RULES) -> str:
+def with_mart(select: str, rules=RISK_RULES, digits: int | None = DIGITS) -> str:
     return with_roles(f"select * from ({select}) q").replace(
-        "\nselect * from (", f",\nm as ({mart_sql(rules)})\nselect * from (", 1
+        "\nselect * from (", f",\nm as ({mart_sql(rules, digits=digits)})\nselect * from (", 1
     )
 
 
@@ -157,38 +168,41 @@ def _nan_null(x: str) -> str:
 def q_serve_mart_year(spark, sf_dir):
     """The API's read: the mart opened by name (a missing one raises
     ``MartNotFound``), optional year filter, default cap of 100 rows."""
-    stages.served_mart(spark, sf_dir).createOrReplaceTempView("dm_risks")
-    return serving.read_mart(spark, "dm_risks", year=SERVE_YEAR)
+    registry = stages.gold_registry(spark, sf_dir)
+    return rounded(serving.read_mart(spark, "dm_risks", year=SERVE_YEAR, registry=registry))
 
 
 @register("serve_mart_country_year", "T5 P12 L1", with_mart(
     f"select * from m where year = {SERVE_YEAR} and country = '{SERVE_COUNTRY}' "
     f"order by {_KEY_ORDER} limit 100", TOURISM_RULES))
 def q_serve_mart_country_year(spark, sf_dir):
-    mart = stages.served_mart(spark, sf_dir, "dm_tourism")
+    mart = served(spark, sf_dir, "dm_tourism", TOURISM_RULES)
     return serving.serve(mart, year=SERVE_YEAR, country=SERVE_COUNTRY)
 
 
-@register("serve_mart_limit", "S10 L1", with_mart(
-    f"select * from m order by {_KEY_ORDER} limit {serving.BULK_LIMIT}", AGRI_RULES))
-def q_serve_mart_limit(spark, sf_dir):
-    return serving.serve(stages.served_mart(spark, sf_dir, "dm_agriculture"), limit=serving.BULK_LIMIT)
+@register("serve_mart_bulk", "S10", with_mart("select * from m", AGRI_RULES))
+def q_serve_mart_bulk(spark, sf_dir):
+    """The dashboard's read: the whole mart, without a cap."""
+    registry = stages.gold_registry(spark, sf_dir)
+    return rounded(serving.read_mart(spark, "dm_agriculture", limit=None, registry=registry), AGRI_RULES)
 
 
-@register("serve_mart_json", "K6")
+@register("serve_mart_json", "K6", with_mart(f"select * from m where year = {SERVE_YEAR}"))
 def q_serve_mart_json(spark, sf_dir):
-    return serving.as_json_records(serving.serve(stages.served_mart(spark, sf_dir), year=SERVE_YEAR))
+    """JSON records of one year, parsed back with the mart's schema."""
+    mart = serving.serve(served(spark, sf_dir), year=SERVE_YEAR, limit=None)
+    return serving.parse_json_records(serving.as_json_records(mart), mart.schema)
 
 
 @register("year_slice", "P13 T10", with_mart(f"select * from m where year = {_latest()}"))
 def q_year_slice(spark, sf_dir):
-    return views.year_slice(stages.served_mart(spark, sf_dir))
+    return views.year_slice(served(spark, sf_dir))
 
 
 @register("mart_year_bounds", "A7 P17", with_mart(
     "select cast(min(year) as integer) as min_year, cast(max(year) as integer) as max_year from m"))
 def q_mart_year_bounds(spark, sf_dir):
-    return views.year_bounds(stages.served_mart(spark, sf_dir))
+    return views.year_bounds(served(spark, sf_dir))
 
 
 def _catalog_sql() -> str:
@@ -202,7 +216,7 @@ def _catalog_sql() -> str:
 
 @register("metric_catalog", "P15 P16", with_mart(_catalog_sql()))
 def q_metric_catalog(spark, sf_dir):
-    return views.metric_catalog(stages.served_mart(spark, sf_dir))
+    return views.metric_catalog(served(spark, sf_dir))
 
 
 NATIONAL_METRIC = "avg_temp_c"
@@ -210,7 +224,7 @@ NATIONAL_METRIC = "avg_temp_c"
 
 @register("national_mean", "A6 T6 P16", with_mart(
     f'select country, round(avg({_nan_null(NATIONAL_METRIC)}), 6) as "{label_of(NATIONAL_METRIC)}" '
-    f"from m where year = {_latest()} and country is not null group by country"))
+    f"from m where year = {_latest()} and country is not null group by country", digits=None))
 def q_national_mean(spark, sf_dir):
     return views.national_mean(stages.served_mart(spark, sf_dir), NATIONAL_METRIC, digits=6)
 
@@ -221,7 +235,7 @@ _WIND_LABEL = METRIC_LABELS["avg_wind_dir_deg"]
 @register("national_compass", "T7 F10", with_mart(
     f'select country, round(mean_dir, 6) as "{_WIND_LABEL}", {compass_sql("mean_dir", COMPASS_GLYPHS)} as "Arrow" '
     f"from (select country, avg({_nan_null('avg_wind_dir_deg')}) as mean_dir from m "
-    f"where year = {_latest()} and country is not null group by country) n"))
+    f"where year = {_latest()} and country is not null group by country) n", digits=None))
 def q_national_compass(spark, sf_dir):
     return views.national_compass(stages.served_mart(spark, sf_dir), digits=6)
 
@@ -232,7 +246,7 @@ def q_national_compass(spark, sf_dir):
     f'{compass_sql("avg_wind_dir_deg", COMPASS_LABELS)} as "Direction", '
     f'{compass_sql("avg_wind_dir_deg", COMPASS_GLYPHS)} as "Arrow" from m'))
 def q_compass_sector(spark, sf_dir):
-    mart = stages.served_mart(spark, sf_dir).select(*MART_KEYS, "avg_wind_dir_deg")
+    mart = served(spark, sf_dir).select(*MART_KEYS, "avg_wind_dir_deg")
     return views.with_compass(mart)
 
 
@@ -243,7 +257,7 @@ def q_compass_sector(spark, sf_dir):
     f"and not isnan(avg_wind_dir_deg) "
     f"order by country nulls last, region nulls last, city_name nulls last limit 30) s"))
 def q_compass_sample(spark, sf_dir):
-    return views.compass_view(stages.served_mart(spark, sf_dir))
+    return views.compass_view(served(spark, sf_dir))
 
 
 TOP_METRIC = "precipitation_mm"
@@ -254,7 +268,7 @@ TOP_METRIC = "precipitation_mm"
     f"order by {_nan_null(TOP_METRIC)} desc nulls last, country nulls last, region nulls last, "
     f"city_name nulls last limit 15"))
 def q_top_cities(spark, sf_dir):
-    return views.top_cities(stages.served_mart(spark, sf_dir), TOP_METRIC)
+    return views.top_cities(served(spark, sf_dir), TOP_METRIC)
 
 
 # --- exercise-sheet operators over whole driver tables -------------------------
@@ -266,10 +280,32 @@ from nimbusmart.operators.geo import fanout_report  # noqa: E402
 from nimbusmart.plans.roles import table  # noqa: E402
 
 
-@register("scan_parquet", "S1 L4",
-          "select event_id, ts, user_id, event_type, value from events")
+@register("scan_parquet", "S1", "select * from events")
 def q_scan_parquet(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return table(spark, sf_dir, "events")
+
+
+@register("preview", "L4", "select * from orders order by o_orderkey limit 20")
+def q_preview(spark, sf_dir):
+    from nimbusmart.operators.inspect import preview
+
+    return preview(table(spark, sf_dir, "orders"), 20, order_by=["o_orderkey"])
+
+
+@register("text_dates", "F6 N4",
+          "select o_orderkey, case when o_orderkey % 4 = 3 then null else cast(year(o_orderdate) as integer) end as year "
+          "from orders")
+def q_text_dates(spark, sf_dir):
+    """The year of dates that arrive as text: plain, with a suffix, with a time
+    and an offset, and text that holds no date."""
+    from nimbusmart.functions.scalar import tolerant_year
+
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    late = F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-12-31T23:30:00-05:00"))
+    kind = F.col("o_orderkey") % 4
+    text = F.when(kind == 0, day).when(kind == 1, F.concat(day, F.lit("Tgarbage"))).when(kind == 2, late)
+    dated = table(spark, sf_dir, "orders").select("o_orderkey", text.otherwise("no date").alias("date"))
+    return dated.select("o_orderkey", tolerant_year(dated, "date").alias("year"))
 
 
 @register("row_count", "A8", "select count(*) as n from lineitem")
@@ -376,33 +412,51 @@ def q_union_replicate(spark, sf_dir):
     return replicate.replicate(table(spark, sf_dir, "nation"), REPLICAS)
 
 
-def _restaurant_sql(county: str, src: str, key: str, name: str, state: str, typ: str, geox: str, geoy: str) -> str:
+def _restaurant_sql(county: str, src: str, key: str, parts: dict[str, str]) -> str:
+    """DuckDB form of one harmonised feed; columns left out are NULL."""
+    cols = []
+    for f in harmonize.RESTAURANT_SCHEMA.fields[1:-1]:
+        kind = "double" if f.name in ("geoX", "geoY") else "varchar"
+        cols.append(f"cast({parts.get(f.name, 'null')} as {kind}) as {f.name}")
     return (
-        f"select '{county}' as county, cast({key} as varchar) as datasetId, {name} as name, "
-        "cast(null as varchar) as address1, cast(null as varchar) as address2, cast(null as varchar) as city, "
-        f"cast({state} as varchar) as state, cast(null as varchar) as zip, cast(null as varchar) as tel, "
-        "cast(null as varchar) as dateStart, cast(null as varchar) as dateEnd, "
-        f"{typ} as type, cast({geox} as double) as geoX, cast({geoy} as double) as geoY, "
-        f"cast({state} as varchar) || '_{county}_' || cast({key} as varchar) as id from {src}"
+        f"select '{county}' as county, {', '.join(cols)}, "
+        f"cast({parts['state']} as varchar) || '_{county}_' || cast({key} as varchar) as id from {src}"
     )
 
 
-@register("union_by_name", "U2 U3 P2 P3 N2", (
-    _restaurant_sql("Wake", "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal", "null")
-    + " union all "
-    + _restaurant_sql("Durham", "supplier", "s_suppkey", "s_name", "s_nationkey", "cast(null as varchar)",
-                      "s_acctbal", "s_nationkey")))
+# The first feed's zip is a number, the second's a text such as "27701-1" (N2).
+_WAKE_SQL = {
+    "datasetId": "o_orderkey", "name": "o_orderpriority", "address1": "o_orderpriority", "address2": "o_orderstatus", "city": "'Raleigh'",
+    "state": "o_orderstatus", "zip": "o_custkey", "tel": "'919-' || o_custkey", "dateStart": "strftime(o_orderdate, '%Y-%m-%d')",
+    "type": "o_orderpriority", "geoX": "o_totalprice", "geoY": "o_custkey",
+}
+_DURHAM_SQL = {
+    "datasetId": "c_custkey", "name": "c_name", "address1": "c_mktsegment", "address2": "c_name", "city": "'Durham'", "state": "c_nationkey",
+    "zip": "c_custkey || '-' || c_nationkey", "tel": "'919-' || c_custkey", "dateStart": "'2011-02-02'", "dateEnd": "'2020-12-31'", "type": "c_mktsegment",
+    "geoX": "c_acctbal", "geoY": "c_nationkey",
+}
+
+
+@register("union_by_name", "U2 U3 P2 P3 N2",
+          _restaurant_sql("Wake", "orders", "o_orderkey", _WAKE_SQL) + " union all "
+          + _restaurant_sql("Durham", "customer", "c_custkey", _DURHAM_SQL))
 def q_union_by_name(spark, sf_dir):
     wake = harmonize.harmonize_restaurants(
-        table(spark, sf_dir, "customer"),
-        {"datasetId": "c_custkey", "name": "c_name", "state": "c_nationkey",
-         "type": "c_mktsegment", "geoX": "c_acctbal", "dateEnd": None},
+        table(spark, sf_dir, "orders"),
+        {"datasetId": "o_orderkey", "name": "o_orderpriority", "address1": "o_orderpriority", "address2": "o_orderstatus",
+         "city": F.lit("Raleigh"), "state": "o_orderstatus", "zip": "o_custkey",
+         "tel": F.concat(F.lit("919-"), F.col("o_custkey").cast("string")),
+         "dateStart": F.date_format("o_orderdate", "yyyy-MM-dd"), "dateEnd": None, "type": "o_orderpriority",
+         "geoX": "o_totalprice", "geoY": "o_custkey"},
         "Wake",
     )
     durham = harmonize.harmonize_restaurants(
-        table(spark, sf_dir, "supplier"),
-        {"datasetId": "s_suppkey", "name": "s_name", "state": "s_nationkey",
-         "geoX": "s_acctbal", "geoY": "s_nationkey"},
+        table(spark, sf_dir, "customer"),
+        {"datasetId": "c_custkey", "name": "c_name", "address1": "c_mktsegment", "address2": "c_name",
+         "city": F.lit("Durham"), "state": "c_nationkey",
+         "zip": F.concat(F.col("c_custkey").cast("string"), F.lit("-"), F.col("c_nationkey").cast("string")),
+         "tel": F.concat(F.lit("919-"), F.col("c_custkey").cast("string")), "dateStart": F.lit("2011-02-02"), "dateEnd": F.lit("2020-12-31"), "type": "c_mktsegment",
+         "geoX": "c_acctbal", "geoY": "c_nationkey"},
         "Durham",
     )
     return harmonize.union_all_by_name([wake, durham])
@@ -449,33 +503,36 @@ def _scratch_db(spark) -> None:
         catalog.create_database(spark, "nimbus_scratch", location=scratch_path(spark, "db"))
 
 
-def _nation_csv(spark, sf_dir, header: bool = True) -> str:
-    """nation as one CSV file (a fixed 25-row dimension, so one file is bounded)."""
-    path = scratch_path(spark, "nation-csv")
-    return sinks.write_csv(table(spark, sf_dir, "nation").coalesce(1), path, header=header)
+def _customer_csv(spark, sf_dir, header: bool = True) -> str:
+    """customer as a folder of CSV files."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    return sinks.write_csv(rows.repartition(4, "c_custkey"), scratch_path(spark, "customer-csv"), header=header)
 
 
-@register("csv_header_infer", "S2 T1", "select * from nation")
+@register("csv_header_infer", "S2 T1",
+          "select cast(c_custkey as integer) as c_custkey, c_name, cast(c_nationkey as integer) as c_nationkey, c_acctbal from customer")
 def q_csv_header_infer(spark, sf_dir):
-    return sources.read_csv(spark, _nation_csv(spark, sf_dir))
+    return sources.read_csv(spark, _customer_csv(spark, sf_dir))
 
 
-@register("csv_positional", "S3",
-          "select 'n_nationkey' as _c0, 'n_name' as _c1, 'n_regionkey' as _c2 union all "
-          "select cast(n_nationkey as varchar), n_name, cast(n_regionkey as varchar) from nation")
+_POSITIONAL = "cast(c_custkey as varchar) as _c0, c_name as _c1, cast(c_nationkey as varchar) as _c2 from customer"
+
+
+@register("csv_positional", "S3", f"select {_POSITIONAL}")
 def q_csv_positional(spark, sf_dir):
-    return sources.read_csv_positional(spark, _nation_csv(spark, sf_dir))
+    path = _customer_csv(spark, sf_dir, header=False)
+    return sources.read_csv_positional(spark, path).select("_c0", "_c1", "_c2")
 
 
 @register("external_delimited", "S7 P8 C2",
-          "select cast(null as integer) as NUM, rpad('n_name', 100, ' ') as NAME, "
-          "cast(null as integer) as REGION union all "
-          "select n_nationkey, rpad(n_name, 100, ' '), n_regionkey from nation")
+          "select cast(c_custkey as integer) as NUM, rpad(c_name, 100, ' ') as NAME, cast(c_nationkey as integer) as NATION "
+          "from customer")
 def q_external_delimited(spark, sf_dir):
     _scratch_db(spark)
     return catalog.create_delimited_table(
-        spark, "nimbus_scratch.nation_text", "NUM INT, NAME CHAR(100), REGION INT", _nation_csv(spark, sf_dir)
-    ).select("NUM", "NAME", "REGION")
+        spark, "nimbus_scratch.customer_text", "NUM INT, NAME CHAR(100), NATION INT, BALANCE DOUBLE",
+        _customer_csv(spark, sf_dir, header=False)
+    ).select("NUM", "NAME", "NATION")
 
 
 def _nested_customers(spark, sf_dir) -> str:
@@ -526,19 +583,28 @@ def q_partitioned_roundtrip(spark, sf_dir):
     return sources.read_parquet(spark, path)
 
 
-ROUNDTRIP_YEAR = 1996
-
-
-@register("saved_table_roundtrip", "K2 C2",
-          "select *, cast(year(o_orderdate) as integer) as year from orders "
-          f"where year(o_orderdate) = {ROUNDTRIP_YEAR}")
-def q_saved_table_roundtrip(spark, sf_dir):
+def _saved_orders(spark, sf_dir):
     _scratch_db(spark)
     name = "nimbus_scratch.orders_by_year"
     sinks.save_partitioned_table(
         _orders_by_year(spark, sf_dir), name, path=scratch_path(spark, "orders-table")
     )
-    return spark.table(name).where(F.col("year") == ROUNDTRIP_YEAR)
+    return spark.table(name)
+
+
+@register("saved_table_roundtrip", "K2 C2", "select *, cast(year(o_orderdate) as integer) as year from orders")
+def q_saved_table_roundtrip(spark, sf_dir):
+    return _saved_orders(spark, sf_dir)
+
+
+PRUNED_YEAR = 1996
+
+
+@register("saved_table_pruned", "K2 P12",
+          f"select *, cast(year(o_orderdate) as integer) as year from orders where year(o_orderdate) = {PRUNED_YEAR}")
+def q_saved_table_pruned(spark, sf_dir):
+    """One partition of the saved table: the filter never opens the others."""
+    return _saved_orders(spark, sf_dir).where(F.col("year") == PRUNED_YEAR)
 
 
 @register("reference_load", "T1 S2", with_roles("select city_name, country, iso3, iso2 from cities"))
@@ -550,21 +616,10 @@ def q_reference_load(spark, sf_dir):
     return load_reference(spark, path)
 
 
-@register("bronze_stream", "T2 (Structured Streaming)", with_roles("select * from bronze"))
-def q_bronze_stream(spark, sf_dir):
-    """The bronze feed run as a stream over a folder of weather files."""
+@register("reference_load_countries", "T1 S2", with_roles("select country, iso2, iso3, region from countries"))
+def q_reference_load_countries(spark, sf_dir):
     from nimbusmart.plans import roles
-    from nimbusmart.streaming.incremental import start_bronze_stream
-
-    weather = roles.weather(spark, sf_dir)
-    folder = scratch_path(spark, "weather-incoming")
-    weather.write.parquet(folder)
-    out = scratch_path(spark, "bronze-stream")
-    query = start_bronze_stream(
-        spark, folder, weather.schema, roles.cities(spark, sf_dir), roles.countries(spark, sf_dir), out,
-        checkpoint=scratch_path(spark, "bronze-stream-checkpoint"),
-    )
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(f"bronze stream failed: {query.exception()}")
-    return sources.read_parquet(spark, out)
+    from nimbusmart.plans.pipeline import load_reference
+
+    path = sinks.write_csv(roles.countries(spark, sf_dir), scratch_path(spark, "countries-csv"))
+    return load_reference(spark, path)

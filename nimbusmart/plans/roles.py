@@ -17,18 +17,9 @@ from pyspark.sql import functions as F
 from nimbusmart.operators.inspect import ensure_parallelism
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, defined once per session (the inputs are read-only, so
-    the same lazy DataFrame can back every query)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbusmart.functions.metrics import MART_KEYS, MARTS, RISK_RULES
+from nimbusmart.functions.metrics import MART_KEYS, MARTS
 from nimbusmart.operators.curate import cast_metrics, curate, is_complete
 from nimbusmart.operators.geo import feed_bronze, geo_dimension
-from nimbusmart.operators.marts import build_mart, build_marts
+from nimbusmart.operators.marts import build_mart
+from nimbusmart.operators.serving import open_mart
 from nimbusmart.plans import roles
-from nimbusmart.session import checkpoint_dir
+from nimbusmart.plans.pipeline import run_pipeline
+from nimbusmart.session import checkpoint_dir, exists
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,33 +31,31 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate(bronze(spark, sf_dir))
 
 
-def mart(spark: SparkSession, sf_dir: str, name: str = "dm_risks", exact: bool = True) -> DataFrame:
-    """One mart. ``exact`` sums at two decimals so results are bit-identical to
-    the SQL oracle whatever the addition order."""
-    if name == "dm_risks":
-        return build_mart(silver(spark, sf_dir), RISK_RULES, exact=exact)
-    return build_marts(silver(spark, sf_dir), exact=exact)[name]
-
+def mart(spark: SparkSession, sf_dir: str, name: str = "dm_risks") -> DataFrame:
+    """One mart, from the weather tables on."""
+    return build_mart(silver(spark, sf_dir), MARTS[name])
 
-def risk_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mart(spark, sf_dir, "dm_risks")
 
+def gold_registry(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Where the written marts of ``sf_dir`` are: name -> Parquet path.
 
-def marts(spark: SparkSession, sf_dir: str, exact: bool = True) -> dict[str, DataFrame]:
-    return build_marts(silver(spark, sf_dir), MARTS, exact=exact)
+    The ETL writes bronze, silver and the marts once per session and input
+    folder, under the shared folder of ``spark.checkpoint.dir``; every later
+    call only looks the paths up. The last thing a write makes is its
+    ``_SUCCESS`` file, so a run that broke off is done again.
+    """
+    base = f"{checkpoint_dir(spark)}/marts/{hashlib.md5(sf_dir.rstrip('/').encode()).hexdigest()}"
+    paths = {name: f"{base}/gold/{name}" for name in MARTS}
+    if not all(exists(spark, f"{path}/_SUCCESS") for path in paths.values()):
+        run_pipeline(
+            spark, roles.weather(spark, sf_dir), roles.cities(spark, sf_dir), roles.countries(spark, sf_dir), base
+        )
+    return paths
 
 
 def served_mart(spark: SparkSession, sf_dir: str, name: str = "dm_risks") -> DataFrame:
-    """A mart as the serving layer and the views read it: materialised once.
-
-    ``checkpoint()`` writes the (small: years x cities) mart to the shared
-    folder in ``spark.checkpoint.dir`` and cuts its lineage. Views that take
-    two passes over a mart (the latest year, then that year's rows) then read
-    it twice instead of re-running the weather -> bronze -> silver lineage for
-    the second pass, and a lost executor never sends them back to silver.
-    """
-    checkpoint_dir(spark)  # make sure the session has its shared folder
-    return mart(spark, sf_dir, name).checkpoint()
+    """A written mart, opened by name as the serving layer and the views do."""
+    return open_mart(spark, name, gold_registry(spark, sf_dir))
 
 
 def stage_counts(weather: DataFrame, cities: DataFrame, countries: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -52,10 +54,12 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none and runs on a local master (local runs,
-    tests) do we create one of our own and register it, so
-    ``DataFrame.checkpoint()`` works too. On a cluster a missing setting is an
-    error: a machine-local folder would not survive a lost executor.
+    The setting is taken as it is: whether a path is shared is for the cluster
+    to say (``file:`` may be a network mount). Only when the session has none
+    and runs in one JVM (local runs, tests) do we create one of our own and
+    register it, so ``DataFrame.checkpoint()`` works too. On a cluster, and
+    ``local-cluster`` is one, a missing setting is an error: a machine-local
+    folder would not survive a lost executor.
     """
     try:
         sc = spark.sparkContext
@@ -68,7 +72,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
-        if not master.startswith("local"):
+        if not re.match(r"local(\[|$)", master):
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder shared by the cluster; "
                 "a machine-local temporary folder would not survive a lost executor"
@@ -115,31 +119,40 @@ def check_output(out: str, *inputs: str) -> None:
             raise ValueError(f"output {out!r} overlaps input {i!r}; write somewhere else")
 
 
-# Target bytes of shuffle data per reduce task before AQE merges small ones.
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+# Bytes of shuffle data a reduce task should have before AQE merges small ones,
+# and the most blocks (map tasks x reduce tasks) a shuffle may have. At 100 TB
+# the second bound holds: about 65 000 maps and as many reducers of 1.6 GB each,
+# blocks of about 25 KB. A cluster at that size should also use push-based or
+# remote shuffle, which merges them.
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_BLOCKS = 1 << 32
+MAP_SPLIT_BYTES = 128 * 1024 * 1024
 
 
 def shuffle_partitions_for(
-    shuffle_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES, minimum: int = 8, maximum: int = 500_000
+    shuffle_bytes: int,
+    target_bytes: int = SHUFFLE_TARGET_BYTES,
+    minimum: int = 8,
+    max_blocks: int = MAX_SHUFFLE_BLOCKS,
 ) -> int:
-    """Reduce-side partitions so each holds about ``target_bytes``."""
+    """Reduce tasks of about ``target_bytes``, or fewer and larger ones where
+    maps x reducers would pass ``max_blocks``; maps are split alike then (see
+    :func:`map_split_bytes_for`)."""
     n = -(-int(shuffle_bytes) // int(target_bytes))
-    return max(minimum, min(maximum, n))
+    return max(minimum, min(n, math.isqrt(max_blocks)))
 
 
-def size_shuffles(spark: SparkSession, shuffle_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES) -> int:
-    """Size the shuffles of the next jobs for about ``shuffle_bytes`` of data.
-
-    The widest shuffle of the pipeline is the silver dedupe, about the size of
-    bronze. Starting from enough partitions that none of them spills, AQE then
-    merges the ones that turn out small (e.g. after the partial aggregates of
-    the marts), so overshooting costs little and undershooting spills.
-    """
-    n = shuffle_partitions_for(shuffle_bytes, target_bytes)
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 2))
-    return n
+def map_split_bytes_for(
+    input_bytes: int, split_bytes: int = MAP_SPLIT_BYTES, max_blocks: int = MAX_SHUFFLE_BLOCKS
+) -> int:
+    """Input bytes a map task reads, so that there are at most sqrt(max_blocks) maps."""
+    return max(split_bytes, -(-int(input_bytes) // math.isqrt(max_blocks)))
 
 
 # Bytes a shuffled row takes per field (an UnsafeRow slot), plus a guess at the
@@ -161,29 +174,29 @@ def estimate_row_bytes(schema: T.StructType) -> int:
     return size
 
 
-_SHUFFLE_KEYS = (
-    "spark.sql.shuffle.partitions",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-)
-
-
 @contextmanager
 def sized_shuffles(
     spark: SparkSession, shuffle_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES
 ) -> Iterator[int]:
-    """Run the enclosed jobs with shuffles sized for ``shuffle_bytes`` (see
-    :func:`size_shuffles`), never below the session's parallelism; the previous
-    settings come back afterwards. Yields the partition count."""
-    old = {k: spark.conf.get(k, None) for k in _SHUFFLE_KEYS}
+    """Run the enclosed jobs with shuffles and map splits sized for
+    ``shuffle_bytes``, with no fewer reduce tasks than the session has cores;
+    the previous settings come back afterwards. Yields the partition count."""
     try:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # Spark Connect
         cores = 8
     n = shuffle_partitions_for(shuffle_bytes, target_bytes, minimum=max(8, cores))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 2))
+    new = {
+        "spark.sql.shuffle.partitions": n,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": n,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes // 2,
+    }
+    split = map_split_bytes_for(shuffle_bytes)
+    if split > MAP_SPLIT_BYTES:
+        new["spark.sql.files.maxPartitionBytes"] = split
+    old = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, str(v))
     try:
         yield n
     finally:

@@ -3,7 +3,7 @@
 The batch feed re-reads every weather file on each run. When daily files keep
 arriving in a folder, the same bronze transformation can run as a stream over
 that folder: each trigger processes only new files, the geo dimension is a
-static (broadcast-checked) side of a stream-static left join, and the
+static side whose size is checked for each batch, and the
 checkpoint under the shared checkpoint folder makes restarts and lost executors
 resume exactly where the last committed batch ended. ``available_now`` drains
 what is there and stops, so it can run from a scheduler like a batch job.
@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from nimbusmart.operators.geo import feed_bronze
 from nimbusmart.session import checkpoint_dir
+from nimbusmart.sinks.files import write_partitioned_parquet
 
 
 # Files per micro-batch: at ~128 MB a file, about 128 GB per batch.
@@ -44,20 +45,26 @@ def start_bronze_stream(
     processing_time: str = "1 minute",
     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> StreamingQuery:
-    """Start the stream: new weather files -> bronze rows appended to ``out``
-    partitioned by year. Returns the running query.
+    """Start the stream: new weather files -> bronze rows under ``out``, a folder
+    per batch, partitioned by year. Returns the running query.
 
     ``max_files_per_trigger`` bounds each micro-batch, also under
     ``availableNow``, which then drains a backlog as several committed batches:
     a failure re-runs one batch, not the whole backlog."""
     source = weather_stream(spark, weather_folder, weather_schema, max_files_per_trigger)
-    bronze = feed_bronze(source, cities, countries)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # The batch writer's layout, in a folder per batch: a batch that is run
+        # again replaces what its first attempt left. The size of the static
+        # side is checked anew for each batch.
+        write_partitioned_parquet(feed_bronze(batch, cities, countries), f"{out}/batch={batch_id}", "year")
+
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/bronze"
-    writer = (
-        bronze.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", ckpt)
-        .partitionBy("year")
-    )
+    writer = source.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    return writer.start(out)
+    return writer.start()
+
+
+def read_bronze_stream(spark: SparkSession, out: str) -> DataFrame:
+    """What the stream has written so far."""
+    return spark.read.parquet(out).drop("batch")

@@ -6,18 +6,20 @@ import pytest
 import __spark_entry__ as entry_module
 from conftest import SF_SMALL
 from helpers import canonical
+from nimbusmart.plans import queries as registry
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-def test_rows_only_queries_are_few():
-    assert set(QUERIES) - set(ORACLES) == {"serve_mart_json"}
-    assert len(QUERIES) >= 42
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert len(QUERIES) >= 44
+    assert QUERIES.keys() <= entry_module.queries().keys()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -38,24 +40,22 @@ def test_entry_smoke(spark):
     assert entry_module.entry(spark).schema == first
 
 
-def test_serve_mart_json_rows(spark):
+def test_json_records_keep_null_fields(spark):
     import json
 
-    rows = QUERIES["serve_mart_json"](spark, SF_SMALL).collect()
-    assert rows
-    for r in rows:
-        rec = json.loads(r["json"])
-        assert rec["year"] == 1998 and "city_name" in rec
+    from nimbusmart.operators.serving import as_json_records, parse_json_records
 
+    mart = spark.createDataFrame([(2020, None, 1.0), (2021, "France", None)], "year int, country string, v double")
+    records = as_json_records(mart)
+    assert [json.loads(r["json"]) for r in records.collect()] == [
+        {"year": 2020, "country": None, "v": 1.0}, {"year": 2021, "country": "France", "v": None}]
+    assert parse_json_records(records, mart.schema).collect() == mart.collect()
 
-def test_serve_mart_json_records_are_the_served_rows(spark, duck):
-    """The JSON records parse back to exactly the rows of the plain mart read
-    (NULL fields are omitted from a record, so they come back as None)."""
-    import json
 
-    rel = duck.sql(ORACLES["serve_mart_year"])
-    cols = rel.columns
-    want = canonical(cols, rel.fetchall())
-    recs = [json.loads(r["json"]) for r in QUERIES["serve_mart_json"](spark, SF_SMALL).collect()]
-    got = canonical(cols, [tuple(rec.get(c) for c in cols) for rec in recs])
-    assert got == want
+def test_bulk_read_has_no_cap(spark, tmp_path):
+    from nimbusmart.operators.serving import read_mart
+
+    n = 200_000
+    spark.range(n).selectExpr("cast(2000 + id % 20 as int) as year", "cast(id as string) as city_name").write.parquet(f"{tmp_path}/m")
+    assert read_mart(spark, "m", limit=None, registry={"m": f"{tmp_path}/m"}).count() == n
+    assert read_mart(spark, "m", registry={"m": f"{tmp_path}/m"}).count() == 100

@@ -1,5 +1,7 @@
 """The written pipeline and the streaming bronze feed."""
 
+import os
+
 from conftest import SF_SMALL
 from helpers import canonical
 from nimbusmart.functions.metrics import AGRI_RULES, TOURISM_RULES
@@ -7,9 +9,17 @@ from nimbusmart.operators.marts import project_mart
 from nimbusmart.operators.serving import read_mart
 from nimbusmart.plans import roles, stages
 from nimbusmart.plans.pipeline import run_pipeline
+from nimbusmart.plans.queries import rounded
 from nimbusmart.sources.files import read_parquet
 
 
+TB = 1024 ** 4
+
+
+def files(folder):
+    return sum(n.endswith(".parquet") for _, _, names in os.walk(folder) for n in names)
+
+
 def same(a, b):
     assert canonical(a.columns, a.collect()) == canonical(b.columns, b.collect())
 
@@ -17,14 +27,15 @@ def same(a, b):
 def test_pipeline_writes_all_layers(spark, tmp_path):
     base = str(tmp_path / "lake")
     w, c, k = roles.weather(spark, SF_SMALL), roles.cities(spark, SF_SMALL), roles.countries(spark, SF_SMALL)
-    res = run_pipeline(spark, w, c, k, base, silver_table="default.weather_silver_test", exact=True)
+    res = run_pipeline(spark, w, c, k, base, silver_table="default.weather_silver_test")
     bronze = read_parquet(spark, res.paths["bronze"])
     silver = read_parquet(spark, res.paths["silver"])
     assert res.rows["bronze"] == bronze.count() == stages.bronze(spark, SF_SMALL).count()
     assert res.rows["silver"] == silver.count() == stages.silver(spark, SF_SMALL).count()
     same(silver, stages.silver(spark, SF_SMALL).select(*silver.columns))
     risk = read_parquet(spark, f"{res.paths['gold']}/dm_risks")
-    same(risk, stages.risk_mart(spark, SF_SMALL).select(*risk.columns))
+    want = stages.mart(spark, SF_SMALL).select(*risk.columns)
+    same(rounded(risk), rounded(want))          # the last bits depend on the order of addition
     tourism = read_parquet(spark, f"{res.paths['gold']}/dm_tourism")
     same(tourism, project_mart(risk, TOURISM_RULES).select(*tourism.columns))
     agri = read_parquet(spark, f"{res.paths['gold']}/dm_agriculture")
@@ -35,7 +46,7 @@ def test_pipeline_writes_all_layers(spark, tmp_path):
 
 
 def test_streaming_bronze_equals_batch(spark, tmp_path):
-    from nimbusmart.streaming.incremental import start_bronze_stream
+    from nimbusmart.streaming.incremental import read_bronze_stream, start_bronze_stream
 
     weather = roles.weather(spark, SF_SMALL)
     src = str(tmp_path / "incoming")
@@ -44,7 +55,7 @@ def test_streaming_bronze_equals_batch(spark, tmp_path):
     q = start_bronze_stream(spark, src, weather.schema, roles.cities(spark, SF_SMALL),
                             roles.countries(spark, SF_SMALL), out, checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(300)
-    streamed = read_parquet(spark, out)
+    streamed = read_bronze_stream(spark, out)
     batch = stages.bronze(spark, SF_SMALL)
     same(streamed, batch.select(*streamed.columns))
 
@@ -85,11 +96,33 @@ def test_checkpoint_dir_is_reused(spark):
 
 
 def test_shuffle_sizing():
-    from nimbusmart.session import shuffle_partitions_for
+    from nimbusmart.session import MAX_SHUFFLE_BLOCKS, map_split_bytes_for, shuffle_partitions_for
+
+    assert shuffle_partitions_for(100 * TB) == 65_536                     # 1.6 GB each
+    assert shuffle_partitions_for(TB) == 4096 and shuffle_partitions_for(10) == 8
+    for size in (10, TB, 100 * TB, 1000 * TB):
+        maps = -(-size // map_split_bytes_for(size))
+        assert maps * shuffle_partitions_for(size) <= MAX_SHUFFLE_BLOCKS
+    assert map_split_bytes_for(TB) == 128 * 1024 ** 2 and map_split_bytes_for(100 * TB) > 1024 ** 3
+
+
+def test_checkpoint_folder_has_to_be_set_on_a_cluster(spark):
+    import types
+
+    import pytest
+
+    from nimbusmart.session import checkpoint_dir
+
+    def fake(master, configured=None):
+        conf = types.SimpleNamespace(get=lambda k, d=None: configured)
+        sc = types.SimpleNamespace(getCheckpointDir=lambda: None, master=master, getConf=lambda: conf, setCheckpointDir=lambda p: None)
+        return types.SimpleNamespace(sparkContext=sc, conf=conf)
 
-    tb = 1024 ** 4
-    assert shuffle_partitions_for(100 * tb) == 409_600
-    assert shuffle_partitions_for(10) == 8
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            checkpoint_dir(fake(master))
+        assert checkpoint_dir(fake(master, "hdfs://nn/ckpt/")) == "hdfs://nn/ckpt"
+    assert "nimbusmart-ckpt-" in checkpoint_dir(fake("local[4]"))
 
 
 def naive_counts(weather, cities, countries):
@@ -170,9 +203,11 @@ def test_shuffles_sized_for_bronze_and_settings_restored(spark):
     from nimbusmart.session import estimate_row_bytes, sized_shuffles
 
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    tb = 1024 ** 4
-    with sized_shuffles(spark, 100 * tb) as n:
-        assert n == 409_600 and spark.conf.get("spark.sql.shuffle.partitions") == "409600"
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with sized_shuffles(spark, 100 * TB) as n:
+        assert n == 65_536 and spark.conf.get("spark.sql.shuffle.partitions") == "65536"
+        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) > 1024 ** 3
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     with sized_shuffles(spark, 10) as n:
         assert n >= 8                                  # small data: never below the cores
@@ -181,7 +216,7 @@ def test_shuffles_sized_for_bronze_and_settings_restored(spark):
 
 
 def test_stream_drains_a_backlog_in_bounded_batches(spark, tmp_path):
-    from nimbusmart.streaming.incremental import start_bronze_stream
+    from nimbusmart.streaming.incremental import read_bronze_stream, start_bronze_stream
 
     weather = roles.weather(spark, SF_SMALL)
     src = str(tmp_path / "incoming")
@@ -193,4 +228,6 @@ def test_stream_drains_a_backlog_in_bounded_batches(spark, tmp_path):
     q.awaitTermination(300)
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 3
-    same(read_parquet(spark, out), stages.bronze(spark, SF_SMALL).select(*read_parquet(spark, out).columns))
+    streamed = read_bronze_stream(spark, out)
+    same(streamed, stages.bronze(spark, SF_SMALL).select(*streamed.columns))
+    assert files(out) <= 3 * len({r.year for r in streamed.select("year").distinct().collect()})  # a file a batch and year

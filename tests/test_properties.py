@@ -1,11 +1,11 @@
 """Property checks against a pure-Python brute force on random small inputs:
 bronze fan-out, silver completeness and dedupe (NaN equal to NaN), mart groups,
-and the exact-mode average and sum of a metric."""
+and the average and sum of a metric."""
 
 import datetime as dt
 import math
-from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
@@ -37,10 +37,6 @@ def key(v):
     return "NaN" if isinstance(v, float) and math.isnan(v) else v
 
 
-def cents(v):
-    return Decimal(repr(v)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
-
-
 def brute(weather, cities):
     geo = []
     for city, country, iso3 in cities:
@@ -58,10 +54,9 @@ def brute(weather, cities):
         groups.setdefault((r[6], r[4], r[5], r[0]), []).append(r)
     marts = {}
     for g, rows in groups.items():
-        temps = [cents(r[2]) for r in rows if r[2] is not None and not math.isnan(r[2])]
-        rains = [cents(r[3]) for r in rows if r[3] is not None and not math.isnan(r[3])]
-        avg = float(sum(temps)) / len(temps) if temps else None
-        marts[g] = (avg, float(sum(rains)) if rains else None)
+        temps = [r[2] for r in rows if r[2] is not None]  # NaN propagates
+        rains = [r[3] for r in rows if r[3] is not None]
+        marts[g] = (sum(temps) / len(temps) if temps else None, sum(rains) if rains else None)
     counts = {"weather": len(weather), "bronze": len(bronze), "silver": len(silver), "dm_risks": len(groups)}
     return counts, marts
 
@@ -86,6 +81,9 @@ def test_chain_matches_brute_force(spark, weather, cities):
     got_counts = {r.stage: r.n for r in stages.stage_counts(w, c, k).collect()}
     assert got_counts == want_counts
 
-    mart = build_mart(curate(feed_bronze(w, c, k)), [("avg_temp_c", "avg"), ("precipitation_mm", "sum")], exact=True)
+    mart = build_mart(curate(feed_bronze(w, c, k)), [("avg_temp_c", "avg"), ("precipitation_mm", "sum")])
     got = {(r.year, r.country, r.region, r.city_name): (r.avg_temp_c, r.precipitation_mm) for r in mart.collect()}
-    assert got == want_marts
+    assert got.keys() == want_marts.keys()
+    for g, values in want_marts.items():
+        for a, b in zip(got[g], values, strict=True):
+            assert a == b if b is None else a == pytest.approx(b, rel=1e-12, abs=1e-9, nan_ok=True)
