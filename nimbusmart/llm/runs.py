@@ -6,11 +6,11 @@ fingerprint that holds a third of all rows spreads over many partitions, and
 each partition is read as a stream: memory holds one Arrow batch and the open
 run, never a whole group.
 
-A run that ends inside its partition is decided on the spot. Of the runs that
-touch a partition's border, the undecided rows are kept as pending; their
-fingerprints, at most two a partition, are summed up afterwards, so the table
-that is broadcast has a proven bound. The stream's output is written to the
-shared folder once.
+A run that ends inside its partition is decided on the spot, and so are most
+rows of the runs that touch a partition's border. What is left open there, the
+run's head or a run too short to tell, is kept as pending; the fingerprints, at
+most two a partition, are summed up afterwards, so the table that is broadcast
+has a proven bound. The stream's output is written to the shared folder once.
 """
 
 from __future__ import annotations
@@ -31,9 +31,10 @@ _SCHEMA = pa.schema([*[(c, pa.int64()) for c in ("high", "low", "doc", "pos")],
 
 
 def _block(rows: np.ndarray, state: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [*[pa.array(rows[:, i]) for i in range(4)], pa.array(np.full(len(rows), state, dtype=np.int32))], schema=_SCHEMA
-    )
+    """Rows of one state; those that are sure need no fingerprint any more."""
+    key = [np.zeros(len(rows), dtype=np.int64)] * 2 if state == SURE else [rows[:, 0], rows[:, 1]]
+    arrays = [*key, rows[:, 2], rows[:, 3], np.full(len(rows), state, dtype=np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=_SCHEMA)
 
 
 def _spared(rows: np.ndarray, head: np.ndarray, spare: str) -> np.ndarray:
@@ -46,82 +47,89 @@ def _spared(rows: np.ndarray, head: np.ndarray, spare: str) -> np.ndarray:
 
 
 class _Stream:
-    """Decides the runs of one sorted partition."""
+    """Decides the runs of one sorted partition.
+
+    The partition's first run may have begun in an earlier one. If it is long
+    enough here, its rows come out all the same; only whether its head here is
+    the head of the whole run is open, so the head's rows are pending.
+    """
 
     def __init__(self, at_least: int, unit: str, spare: str):
         self.at_least, self.unit, self.spare = at_least, unit, spare
         self.open: np.ndarray | None = None  # undecided rows of the open run
         self.head: np.ndarray | None = None  # head of the open run, once it is decided
-        self.first: np.ndarray | None = None  # key of the partition's first run, while it goes on
-        self.began = False
+        self.first: np.ndarray | None = None  # a row of the partition's first run
 
     def _units(self, rows: np.ndarray) -> np.ndarray:
         """1 where a row counts as one more document or place than the row before."""
         new = np.ones(len(rows), dtype=np.int64)
         cols = [0, 1, 2] if self.unit == "doc" else [0, 1, 2, 3]
-        new[1:] = (rows[1:, cols] != rows[:-1, cols]).any(axis=1)
+        new[1:] = (rows[1:][:, cols] != rows[:-1][:, cols]).any(axis=1)
         return new
 
-    def _decide(self, rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Of whole runs, the rows that come out."""
-        sums = np.concatenate([[0], np.cumsum(self._units(rows))])
-        big = (sums[ends] - sums[starts]) >= self.at_least
-        run = np.repeat(np.arange(len(starts)), ends - starts)
-        return rows[big[run] & ~_spared(rows, rows[starts[run]], self.spare)]
+    def _is_first(self, row: np.ndarray) -> bool:
+        return bool((row[:2] == self.first[:2]).all())
 
-    @staticmethod
-    def _leading(rows: np.ndarray, key: np.ndarray) -> int:
-        """How many rows at the start have this fingerprint."""
-        same = (rows[:, :2] == key[:2]).all(axis=1)
-        return len(rows) if same.all() else int(np.argmin(same))
+    def _out(self, rows: np.ndarray, head: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows of one decided run."""
+        saved = _spared(rows, head, self.spare)
+        if not saved.all():
+            yield _block(rows[~saved], SURE)
+        if saved.any() and self._is_first(head):
+            yield _block(rows[saved], PENDING)
+
+    def _close_run(self) -> Iterator[pa.RecordBatch]:
+        """The open run ends here; said only where a border is near."""
+        if self.head is not None:
+            yield _block(self.head[None, :], RESOLVED)
+        elif self.open is not None:
+            yield _block(self.open, PENDING)
+        self.head = self.open = None
 
     def feed(self, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not self.began:
-            self.began, self.first = True, rows[0].copy()
-        if self.first is not None:  # may have begun in an earlier partition
-            n = self._leading(rows, self.first)
-            if n:
-                yield _block(rows[:n], PENDING)
-                rows = rows[n:]
-            if not len(rows):
-                return
-            self.first = None
+        if self.first is None:
+            self.first = rows[0].copy()
         if self.head is not None:  # a decided run goes on
-            n = self._leading(rows, self.head)
+            same = (rows[:, :2] == self.head[:2]).all(axis=1)
+            n = len(rows) if same.all() else int(np.argmin(same))
             if n:
-                part = rows[:n]
-                yield _block(part[~_spared(part, self.head, self.spare)], SURE)
+                yield from self._out(rows[:n], self.head)
                 rows = rows[n:]
             if not len(rows):
                 return
-            yield _block(self.head[None, :], RESOLVED)
+            if self._is_first(self.head):
+                yield from self._close_run()
             self.head = None
         if self.open is not None:
             rows = np.concatenate([self.open, rows])
             self.open = None
-        cut = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
-        starts = np.concatenate([[0], cut])
+        starts = np.concatenate([[0], np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1])
+        if len(starts) > 1 and self._is_first(rows[0]):  # the first run ends here
+            yield from self._last(rows[: starts[1]])
+            yield from self._close_run()
+            rows, starts = rows[starts[1] :], starts[1:] - starts[1]
         last = starts[-1]
-        whole = starts[:-1]
-        if len(whole):
-            lo = whole[0]
-            out = self._decide(rows[lo:last], whole - lo, starts[1:] - lo)
-            if len(out):
-                yield _block(out, SURE)
-        tail = rows[last:]
-        if self._units(tail).sum() >= self.at_least:
-            self.head = tail[0].copy()
-            out = tail[~_spared(tail, self.head, self.spare)]
+        if last:  # whole runs inside the partition
+            sums = np.concatenate([[0], np.cumsum(self._units(rows[:last]))])
+            ends = starts[1:]
+            big = (sums[ends] - sums[starts[:-1]]) >= self.at_least
+            run = np.repeat(np.arange(len(ends)), ends - starts[:-1])
+            part = rows[:last]
+            out = part[big[run] & ~_spared(part, part[starts[run]], self.spare)]
             if len(out):
                 yield _block(out, SURE)
+        yield from self._last(rows[last:])
+
+    def _last(self, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The run that goes on behind these rows, perhaps."""
+        if self._units(rows).sum() >= self.at_least:
+            self.head = rows[0].copy()
+            yield from self._out(rows, self.head)
         else:
-            self.open = tail.copy()
+            self.open = rows.copy()
 
     def close(self) -> Iterator[pa.RecordBatch]:
-        if self.head is not None:
-            yield _block(self.head[None, :], RESOLVED)
-        elif self.open is not None and len(self.open):
-            yield _block(self.open, PENDING)
+        yield from self._close_run()
 
 
 def repeats(occurrences: DataFrame, at_least: int, unit: str, spare: str, name: str) -> DataFrame:
