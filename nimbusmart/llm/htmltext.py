@@ -36,7 +36,7 @@ from nimbusmart.llm import dom
 from nimbusmart.llm.sample_pages import sample_pages
 
 SAMPLE_PAGES = 400
-ROUNDS, DEPTH = 20, 4
+ROUNDS, DEPTH = 30, 5
 
 
 def labels(page: dom.Page) -> np.ndarray:

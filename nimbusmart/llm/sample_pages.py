@@ -47,7 +47,8 @@ class _Maker:
         mark = ' data-y="0"' if inside else ""
         a = self.pick('class="ad"', 'class="ad"', 'id="ad-1"', 'class="sponsored"', 'class="promo banner"', 'class="advertisement"')
         body = self.pick(self.words(3, 30), f"<p>{self.words(3, 30)}</p>", self.link(3, 8))
-        return f"<{self.pick('div', 'section', 'aside')} {a}{mark}>{body}</div>".replace("</div>", "") + "</div></section></aside>"
+        tag = self.pick("div", "div", "section", "aside")
+        return f"<{tag} {a}{mark}>{body}</{tag}>"
 
     def notice(self, inside: bool = False) -> str:
         mark = ' data-y="0"' if inside else ""
@@ -76,14 +77,16 @@ class _Maker:
         size = r.choice(((2, 12), (15, 60), (30, 120), (30, 120)))
         text = self.words(*size)
         if r.random() < 0.2:
-            text += f" {self.pick('<b>', '<em>', '<span>')}{self.words(1, 5)}</b></em></span> {self.words(2, 10)}"
+            tag = self.pick("b", "em", "span")
+            text += f" <{tag}>{self.words(1, 5)}</{tag}> {self.words(2, 10)}"
         if r.random() < 0.15:
             text += f" {self.link()} {self.words(1, 10)}"
         kind = r.random()
         if kind < 0.08:
             return f"<ul>{''.join(f'<li>{self.words(2, 20)}</li>' for _ in range(r.randint(2, 5)))}</ul>"
         if kind < 0.14:
-            return f"<{self.pick('h2', 'h3')}>{self.words(2, 8)}</h2></h3>"
+            tag = self.pick("h2", "h3")
+            return f"<{tag}>{self.words(2, 8)}</{tag}>"
         if kind < 0.18:
             return f"<blockquote><p>{text}</p></blockquote>"
         if kind < 0.21:
@@ -99,9 +102,9 @@ class _Maker:
         parts = [f"<h1>{self.words(2, 12)}</h1>"] if r.random() < 0.8 else []
         parts += [self.paragraph() for _ in range(r.choice((1, 1, 2, 3, 4, 6, 10, 18)))]
         for part in (self.advert, self.side, self.notice, self.form):
-            if r.random() < 0.12:
+            for _ in range(r.choice((0, 0, 0, 1, 1, 2))):
                 parts.insert(r.randint(0, len(parts)), part(True))
-        if r.random() < 0.2:
+        if r.random() < 0.35:
             parts.append(self.comments(True))
         tag, a = self.pick(
             "article ", "article ", "article ", "main ", 'article class="post"', 'div class="content"', 'div id="article-body"', 'div class="post-content"', 'section class="entry"', 'div class="story"', "div "
