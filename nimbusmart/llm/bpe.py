@@ -22,6 +22,7 @@ results; other columns of the input are not returned.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
 CACHED_WORDS = 300_000
+LONG_WORD = 64
 # Separators that str.split knows and the word pattern doesn't count as space.
 _ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 _NEVER = np.iinfo(np.int64).max
@@ -137,26 +139,78 @@ class Vocabulary:
             i = j
         return out
 
+    def _symbols(self, word: str) -> list[int]:
+        return [self.ids[c] for c in word[:-1]] + [self.ids[word[-1] + END]]
+
     def merge(self, word: str) -> list[int]:
-        """Exact BPE of one word."""
-        parts = [self.ids[c] for c in word[:-1]] + [self.ids[word[-1] + END]]
-        while len(parts) > 1:
-            ranks = [self.pair_rank.get(p, _NEVER) for p in zip(parts, parts[1:], strict=False)]
-            r = min(ranks)
-            if r == _NEVER:
+        """Exact BPE of one word of any length, by a heap of possible merges."""
+        ids = self._symbols(word)
+        after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
+        get = self.pair_rank.get
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(len(ids) - 1) if (r := get((ids[i], ids[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i, x, y = heapq.heappop(heap)
+            j = after[i]
+            if j < 0 or ids[i] != x or ids[j] != y:
+                continue
+            ids[i], ids[j] = self.merged[r], -1
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            after[j] = -1
+            for k in (before[i], i):
+                if k >= 0 and after[k] >= 0 and (q := get((ids[k], ids[after[k]]))) is not None:
+                    heapq.heappush(heap, (q, k, ids[k], ids[after[k]]))
+        return [t for t in ids if t >= 0]
+
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """Exact BPE of many words of similar length at once: every step does
+        each word's first merge of lowest rank."""
+        lists = [self._symbols(w) for w in words]
+        sizes = np.array([len(x) for x in lists])
+        width = int(sizes.max())
+        ids = np.full((len(words), width + 1), -1, dtype=np.int64)
+        for i, x in enumerate(lists):
+            ids[i, : len(x)] = x
+        ranks = self._pair_ranks(ids[:, :-1], ids[:, 1:])
+        merged, columns = np.array(self.merged), np.arange(width)
+        live = np.arange(len(words))
+        while len(live):
+            at = ranks[live].argmin(axis=1)
+            lowest = ranks[live, at]
+            live, at, lowest = (x[lowest != _NEVER] for x in (live, at, lowest))
+            if not len(live):
                 break
-            out, i = [], 0
-            while i < len(parts):
-                if i < len(ranks) and ranks[i] == r:
-                    out.append(self.merged[r])
-                    i += 2
-                    if i - 1 < len(ranks):  # the neighbour was used up
-                        ranks[i - 1] = _NEVER
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return parts
+            # Move what stands after the pair one place to the left.
+            ids[live, at] = merged[lowest]
+            take = columns + (columns > at[:, None])
+            ids[live, :width] = np.take_along_axis(ids[live], take, axis=1)
+            ranks[live, : width - 1] = np.take_along_axis(ranks[live], take[:, : width - 1], axis=1)
+            ids[live, width], ranks[live, width - 1] = -1, _NEVER
+            ranks[live, at] = self._pair_ranks(ids[live, at], ids[live, at + 1])
+            left = at > 0
+            i, j = live[left], at[left]
+            ranks[i, j - 1] = self._pair_ranks(ids[i, j - 1], ids[i, j])
+            sizes[live] -= 1
+        return [row[:n].tolist() for row, n in zip(ids, sizes, strict=True)]
+
+    def _pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where((a < 0) | (b < 0), _NEVER, self._rank_of(np.maximum(a, 0), np.maximum(b, 0)))
+
+    def mend(self, words: list[str]) -> list[list[int]]:
+        """Exact BPE of the words whose proposals failed, by length."""
+        out: list[list[int]] = [[]] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        for lo in range(0, len(order), 2048):
+            part = order[lo : lo + 2048]
+            short = [i for i in part if len(words[i]) <= LONG_WORD]
+            if short:
+                for i, x in zip(short, self.merge_all([words[i] for i in short]), strict=True):
+                    out[i] = x
+            for i in part[len(short) :]:
+                out[i] = self.merge(words[i])
+        return out
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Token ids of words: speculate, verify all at once, mend the failures."""
@@ -170,8 +224,9 @@ class Vocabulary:
         pair, back = np.unique(flat[inner] * len(self.tokens) + flat[inner + 1], return_inverse=True)
         fits = self.compatible(pair // len(self.tokens), pair % len(self.tokens))
         bad[owner[inner[~fits[back]]]] = True
-        for i in np.flatnonzero(bad):
-            proposals[i] = self.merge(words[i])
+        failed = np.flatnonzero(bad).tolist()
+        for i, ids in zip(failed, self.mend([words[i] for i in failed]), strict=True):
+            proposals[i] = ids
         return proposals
 
     def split(self, chunk: str) -> list[str]:
