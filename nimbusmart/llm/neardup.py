@@ -8,12 +8,13 @@ classes that share a prefix. Depth adapts to the region: it starts at
 tree but for 3 cases in 10^8, and a region of more than ``REGION`` classes is
 looked at through longer prefixes.
 
-Candidates come in two rounds, so that no group of copies is turned into all its
-pairs. First each region gives a maximum spanning forest over the signatures'
-agreement, and these links are confirmed on the full sets. Then only regions
-that still hold several components give their remaining pairs, those between
-different components. Agreement below ``J - 4.5 sigma`` is the only reason not
-to compare a pair; confirmed links are exact. Components are found by
+There are two rounds, so that no group of copies is turned into all its pairs.
+First each region gives a maximum spanning forest over the signatures' agreement;
+these candidates are joined with the full sets and confirmed. Then only regions
+that still hold several components are looked at again: the full sets come to the
+region, and what comes out are confirmed links between different components, not
+pairs. Agreement below ``J - 4.5 sigma`` is the only guess that keeps a pair from
+being compared; confirmed links are exact. Components are found by
 ``components``.
 
 A large region of which all but a few classes are in one component already, such
@@ -192,52 +193,95 @@ def _forest(agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
 
 
-def _candidates(forest: bool, percent: int):
-    """Pairs of a region, by streaming sorted rows (key, node, label, n, bytes)."""
+def _agreement(values: np.ndarray, size: np.ndarray, label: np.ndarray, percent: int) -> np.ndarray:
+    """Signature values in which classes agree; -1 for pairs that can't reach the
+    similarity, or are in one component already."""
+    agree = np.zeros((len(size), len(size)), dtype=np.int16)
+    for c in values.T:
+        agree += c[:, None] == c[None, :]
+    small, large = np.minimum(size[:, None], size[None, :]), np.maximum(size[:, None], size[None, :])
+    agree[(agree < _least(percent)) | (100 * small < percent * large) | (label[:, None] == label[None, :])] = -1
+    np.fill_diagonal(agree, -1)
+    return agree
+
+
+def _least(percent: int) -> int:
+    """The similarity less 4.5 standard deviations, in signature values."""
     j = percent / 100
-    least = math.floor(VALUES * (j - 4.5 * math.sqrt(j * (1 - j) / VALUES)))
+    return math.floor(VALUES * (j - 4.5 * math.sqrt(j * (1 - j) / VALUES)))
+
+
+def _confirmed(x: np.ndarray, y: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the pairs (x[i], y[i]) of a region reach the similarity on their
+    full sets. Only shingles that two sets share can count, so the sets become
+    rows of bits over those."""
+    shingles, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(shingles, return_inverse=True, return_counts=True)
+    shared = count > 1
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    width = int(shared.sum())
+    bits = np.zeros((len(sets), -(-width // 64)), dtype=np.uint64)
+    at = place[column[keep]]
+    np.bitwise_or.at(bits, (owner[keep], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+    common = np.zeros(len(x), dtype=np.int64)
+    step = max(1, (1 << 21) // max(bits.shape[1], 1))
+    for lo in range(0, len(x), step):
+        both = bits[x[lo : lo + step]] & bits[y[lo : lo + step]]
+        common[lo : lo + step] = np.bitwise_count(both).sum(axis=1)
+    sizes = np.array([len(s) for s in sets])
+    return 100 * common >= percent * (sizes[x] + sizes[y] - common)
+
+
+def _links_of_regions(forest: bool, percent: int):
+    """Pairs of each region, by streaming sorted rows (key, node, label, n,
+    bytes, set). With ``forest``, a spanning forest of candidates; else all links
+    between different labels, confirmed on the sets that came along."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(node, label, size, values) -> tuple[np.ndarray, np.ndarray]:
-        if len(node) == 2:
-            agree = np.array([[0, (values[0] == values[1]).sum()]] * 2, dtype=np.int16)
-            agree[1] = agree[0, ::-1]
+    def pairs(node, label, size, values, sets) -> tuple[np.ndarray, np.ndarray]:
+        agree = _agreement(values, size, label, percent)
+        if forest:
+            x, y = _forest(agree)
         else:
-            agree = np.zeros((len(node), len(node)), dtype=np.int16)
-            for c in values.T:
-                agree += c[:, None] == c[None, :]
-        small, large = np.minimum(size[:, None], size[None, :]), np.maximum(size[:, None], size[None, :])
-        agree[(agree < least) | (100 * small < percent * large) | (label[:, None] == label[None, :])] = -1
-        np.fill_diagonal(agree, -1)
-        x, y = _forest(agree) if forest else np.nonzero(np.triu(agree >= 0))
+            x, y = np.nonzero(np.triu(agree >= 0))
+            if len(x):
+                # Only the sets that some pair asks for.
+                asked, back = np.unique(np.concatenate([x, y]), return_inverse=True)
+                linked = _confirmed(back[: len(x)], back[len(x) :], [_unpack(sets[i]) for i in asked], percent)
+                x, y = x[linked], y[linked]
         return np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
 
     def regions(rows) -> Iterator[pa.RecordBatch]:
-        key, node, label, size, values = rows
-        cut = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-        starts, lengths = cut[:-1], np.diff(cut)
+        key, node, label, size, values, sets = rows
+        bounds = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+        starts, lengths = bounds[:-1], np.diff(bounds)
         found = []
         two = starts[lengths == 2]  # most regions: all at once
         if len(two):
             agree = (values[two] == values[two + 1]).sum(axis=1)
             small, large = np.minimum(size[two], size[two + 1]), np.maximum(size[two], size[two + 1])
-            two = two[(agree >= least) & (100 * small >= percent * large) & (label[two] != label[two + 1])]
-            found.append((np.minimum(node[two], node[two + 1]), np.maximum(node[two], node[two + 1])))
-        for s, n in zip(starts[lengths > 2], lengths[lengths > 2], strict=True):
+            two = two[(agree >= _least(percent)) & (100 * small >= percent * large) & (label[two] != label[two + 1])]
+            if forest:
+                found.append((np.minimum(node[two], node[two + 1]), np.maximum(node[two], node[two + 1])))
+            else:
+                lengths[np.isin(starts, two)] = 3  # looked at one by one below
+        for s, n in zip(starts[lengths > 2], np.diff(bounds)[lengths > 2], strict=True):
             e = s + n
-            found.append(pairs(node[s:e], label[s:e], size[s:e], values[s:e]))
+            found.append(pairs(node[s:e], label[s:e], size[s:e], values[s:e], sets[s:e]))
         if found:
             a, b = (np.concatenate(x) for x in zip(*found, strict=True))
             if len(a):
                 once = np.unique(np.stack([a, b]), axis=1)
-                yield _frame(schema, once[0], once[1])
+                yield _frame(schema, once[0].astype(np.int64), once[1].astype(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)] + [_signature_matrix(batch.column(4), np.uint8)]
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            rows += [_signature_matrix(batch.column(4), np.uint8), np.array(batch.column(5).to_pylist(), dtype=object)]
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
             start = int(np.searchsorted(rows[0], rows[0][-1]))
@@ -250,13 +294,25 @@ def _candidates(forest: bool, percent: int):
     return run, "a long, b long"
 
 
-def _pairs(classes: DataFrame, forest: bool, percent: int, name: str) -> DataFrame:
-    regions = _regions(classes, not forest, name)
-    rows = regions.join(classes.select("node", "n_shingles", "bytes"), "node").select("key", "node", "label", "n_shingles", "bytes")
-    run, ddl = _candidates(forest, percent)
+def _pairs(classes: DataFrame, sets: DataFrame | None, percent: int, name: str) -> DataFrame:
+    """Candidate forests of the regions; with ``sets``, all confirmed links
+    between the different labels that regions hold."""
+    regions = _regions(classes, sets is not None, name)
+    rows = regions.join(classes.select("node", "n_shingles", "bytes"), "node")
+    if sets is None:
+        rows = rows.withColumn("shingles", F.lit(None).cast("binary"))
+    else:
+        rows = rows.join(sets, "node")
+    rows = rows.select("key", "node", "label", "n_shingles", "bytes", "shingles")
+    run, ddl = _links_of_regions(sets is None, percent)
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, ddl).distinct()
 
 
+def _pack(s: np.ndarray) -> bytes:
+    """Sorted shingles by their high bytes, so that order stays."""
+    return s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES].tobytes()
+
+
 def _packed_sets(n: int):
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
@@ -265,9 +321,7 @@ def _packed_sets(n: int):
             for lo in range(0, batch.num_rows, BATCH):
                 part = batch.slice(lo, BATCH)
                 sets = _sets(part.column(1).to_pylist(), n)
-                # The high bytes, so that order stays.
-                packed = [s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES].tobytes() for s in sets]
-                yield _frame(schema, part.column(0).to_pylist(), packed)
+                yield _frame(schema, part.column(0).to_pylist(), [_pack(s) for s in sets])
 
     return run, "node long, shingles binary"
 
@@ -298,8 +352,9 @@ def _confirm(percent: int):
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     run, ddl = _confirm(percent)
-    left = pairs.join(sets.toDF("a", "x"), "a")
-    both = left.join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    # Both sides grow with the corpus: a shuffle at every size, never a broadcast.
+    left = pairs.join(sets.toDF("a", "x").hint("merge"), "a")
+    both = left.join(sets.toDF("b", "y").hint("merge"), "b").select("a", "b", "x", "y")
     return both.mapInArrow(run, ddl)
 
 
@@ -316,18 +371,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     nodes = classes.select("node", "n_shingles", "signature").mapInArrow(run, ddl)
     nodes = materialise(nodes.withColumn("label", F.col("node")), "class-nodes")
 
-    first = materialise(_pairs(nodes, True, percent, "forest"), "forest-pairs")
+    first = materialise(_pairs(nodes, None, percent, "forest"), "forest-pairs")
     involved = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
     run, ddl = _packed_sets(shingle_words)
-    texts = base.where("text is not null").join(involved, F.col("doc_id") == F.col("node"), "left_semi")
+    texts = base.where("text is not null").join(involved.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi")
     sets = materialise(texts.mapInArrow(run, ddl), "shingle-sets")
     links = materialise(_links(first, sets, percent), "forest-links")
     roots = components(links, "forest-components")
 
     labelled = nodes.drop("label").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
     labelled = materialise(labelled.join(involved, "node", "left_semi"), "labelled-classes")
-    second = materialise(_pairs(labelled, False, percent, "rest").join(first, ["a", "b"], "left_anti"), "rest-pairs")
-    more = materialise(_links(second, sets, percent), "rest-links")
+    more = materialise(_pairs(labelled, sets, percent, "rest").toDF("u", "v"), "rest-links")
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more), "components")
 
