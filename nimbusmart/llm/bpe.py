@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 # Fixed values of the vocabulary's word pattern and end-of-word mark.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 END = "</w>"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 LONG_WORD = 64
 # Separators that str.split knows and the word pattern doesn't count as space.
 _ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")

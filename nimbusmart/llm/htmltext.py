@@ -60,6 +60,16 @@ def fit(spark: SparkSession, n_pages: int = SAMPLE_PAGES, seed: int = 5) -> list
     return [_arrays(t, w) for t, w in zip(model.trees, model.treeWeights, strict=True)]
 
 
+_fitted: dict[tuple[int, int], list[tuple[np.ndarray, ...]]] = {}
+
+
+def fitted(spark: SparkSession, n_pages: int = SAMPLE_PAGES, seed: int = 5) -> list[tuple[np.ndarray, ...]]:
+    """The trees for a sample, fitted once: they depend on nothing else."""
+    if (n_pages, seed) not in _fitted:
+        _fitted[n_pages, seed] = fit(spark, n_pages, seed)
+    return _fitted[n_pages, seed]
+
+
 def _arrays(tree, weight: float) -> tuple[np.ndarray, ...]:
     feature, threshold, left, right, value = [], [], [], [], []
 
@@ -131,7 +141,7 @@ def extract_page(source: str | None, trees: list[tuple[np.ndarray, ...]]) -> str
 
 def extract(pages: DataFrame, n_pages: int = SAMPLE_PAGES) -> DataFrame:
     """page_id, url and the main text of every page."""
-    trees = fit(pages.sparkSession, n_pages)
+    trees = fitted(pages.sparkSession, n_pages)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
