@@ -1,26 +1 @@
 """Column builders (all JVM-side built-ins, no Python UDFs)."""
-
-from nimbusmart.functions.metrics import (  # noqa: F401
-    AGRI_RULES,
-    MART_KEYS,
-    MARTS,
-    METRIC_COLUMNS,
-    METRIC_LABELS,
-    RISK_RULES,
-    TOURISM_RULES,
-    label_of,
-    metric_of,
-    metrics_of,
-)
-from nimbusmart.functions.scalar import (  # noqa: F401
-    compass_glyph,
-    compass_index,
-    compass_name,
-    composite_id,
-    array_item,
-    midpoint,
-    nan_to_null,
-    split_item,
-    tolerant_year,
-    try_double,
-)

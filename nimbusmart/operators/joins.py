@@ -4,12 +4,13 @@
 AQE splits skewed partitions of a left outer join only on the left (preserved)
 side. Here the right side's rows are first counted by key (pre-aggregated before
 the shuffle). Keys that hold more than ``share`` of them are hot; there are at
-most ``1 / share`` of those, so the list has a proven bound. All other keys go
-through one plain join. The right rows of a hot key are dealt over salts by
-their row number, so identical copies spread as well, and only the left rows of
-hot keys are repeated, once a salt. Every hot key has a match by definition, so
-its part is an inner join and unmatched left rows appear exactly once, in the
-plain part. The result equals ``left.join(right, on, "left")`` as a bag.
+most ``1 / share`` of those, so the list has a proven bound. All other keys
+keep one salt. The right rows of a hot key are dealt over salts by their row
+number, so identical copies spread as well, and only the left rows of hot keys
+are repeated, once a salt. A hot key has a match by definition, so of its
+repeated left rows those without one are dropped; all other unmatched left rows
+appear exactly once. Both sides are read once, besides the count. The result
+equals ``left.join(right, on, "left")`` as a bag.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALT = "__salt"
+SALT, HIT = "__salt", "__hit"
 HOT_SHARE = 0.01
 
 
@@ -44,8 +45,12 @@ def skew_safe_left_join(
     if not hot:
         return left.join(right, on, "left")
     is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
-    plain = left.where(~is_hot).join(right.where(~is_hot), on, "left")
+    zero = F.lit(0).cast("long")
     # Any salt gives the right result, so it need not depend on the row's content.
-    dealt = right.where(is_hot).withColumn(SALT, F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
-    repeated = left.where(is_hot).withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return plain.unionByName(repeated.join(dealt, [on, SALT]).drop(SALT))
+    dealt = right.withColumns(
+        {SALT: F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(zero), HIT: F.lit(True)}
+    )
+    every = F.sequence(zero, F.lit(salts - 1).cast("long"))
+    repeated = left.withColumn(SALT, F.explode(F.when(is_hot, every).otherwise(F.array(zero))))
+    joined = repeated.join(dealt, [on, SALT], "left").where(~is_hot | F.col(HIT))
+    return joined.select(on, *[c for c in left.columns if c != on], *[c for c in right.columns if c != on])

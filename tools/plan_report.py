@@ -4,8 +4,10 @@ usage: python tools/plan_report.py [sf_dir]
 
 Per query: base tables scanned (and how often), shuffle exchanges, broadcast
 exchanges, partial aggregates, top-k nodes, and whether any Python runs.
-Only plans are built; queries that write or checkpoint on the way (round
-trips, served marts) run those steps while being defined.
+Only plans are built. Round trips write their files while being defined and are
+listed as scans of ``scratch/...``. Views scan a written mart (``gold/...``): the
+ETL that writes it (bronze, silver, gold) runs once before, and is not part of
+their plans.
 """
 
 from __future__ import annotations
@@ -31,11 +33,11 @@ def shape(text: str) -> dict[str, str]:
     tree = text.split("\n\n")[0]
     scans = Counter(
         m.group(1)
-        for m in re.finditer(r"^Location: \w+ \[file:[^\]]*/(\w+)\.parquet\]", text, re.M)
+        for m in re.finditer(r"^Location: \w+ \[file:[^\]]*/(\w+\.parquet|gold/\w+|scratch/[a-z-]+?)(?:-[0-9a-f]{12})?\]", text, re.M)
     )
     shuffles = len(re.findall(r"[-+] Exchange \(", tree)) + len(re.findall(r"^Exchange \(", tree, re.M))
     return {
-        "scans": ", ".join(f"{t}×{n}" if n > 1 else t for t, n in sorted(scans.items())) or "–",
+        "scans": ", ".join(f"{t}×{n}" if n > 1 else t for t, n in sorted((t.removesuffix(".parquet"), n) for t, n in scans.items())) or "–",
         "shuffles": str(shuffles),
         "broadcasts": str(tree.count("BroadcastExchange")),
         "partial agg": "yes" if "partial_" in text else "–",
