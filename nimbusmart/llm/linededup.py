@@ -136,6 +136,18 @@ def with_kept_text(bitmaps: DataFrame) -> DataFrame:
     return bitmaps.withColumn("text", F.when(F.col("keep").isNull(), F.col("text")).otherwise(cut))
 
 
+@F.pandas_udf(T.StringType())
+def _cut(text: pd.Series, lines: pd.Series) -> pd.Series:
+    """Bitmap and text in one step, so a task needs one Python worker for both."""
+    cut = [None if t is None else apply_bitmap(t, _bitmap(t.count("\n") + 1, x)) for t, x in zip(text, lines, strict=True)]
+    return pd.Series(cut, dtype=object)
+
+
 def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` without the repeated lines; the columns stay as they are."""
-    return with_kept_text(keep_bitmaps(docs, min_chars, min_docs)).select(docs.columns)
+    keyed = docs.withColumns({"__key": text_key(F.col("text")), "__id": F.col("doc_id").cast("long")})
+    lost = dropped_lines(docs, min_chars, min_docs).toDF("__id", "__key", "__lines")
+    has = F.col("__lines").isNotNull()
+    cut = _cut(F.when(has, F.col("text")), F.col("__lines"))
+    joined = keyed.join(lost, ["__id", "__key"], "left")
+    return joined.withColumn("text", F.when(has, cut).otherwise(F.col("text"))).select(docs.columns)
