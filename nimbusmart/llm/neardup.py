@@ -5,8 +5,8 @@ Documents whose shingle sets are equal form a class; only classes go on. Each of
 classes with a long common prefix stand next to each other. A region is a run of
 classes that share a prefix. Depth adapts to the region: it starts at
 ``DEPTHS[0]`` values, at which two sets of similarity 0.8 meet in at least one
-tree but for 3 cases in 10^8, and a region of more than ``REGION`` classes is
-looked at through longer prefixes.
+tree but for 3 cases in 10^8. In the first round a region of more than ``REGION``
+classes is looked at in blocks and through longer prefixes.
 
 There are two rounds, so that no group of copies is turned into all its pairs.
 First each region gives a maximum spanning forest over the signatures' agreement;
@@ -17,9 +17,11 @@ pairs. Agreement below ``J - 4.5 sigma`` is the only guess that keeps a pair fro
 being compared; confirmed links are exact. Components are found by
 ``components``.
 
-A large region of which all but a few classes are in one component already, such
-as a group of very many near copies, is not deepened but cut into blocks with the
-few in each, so its remaining pairs are compared in full as well.
+In the second round a large region of which all but a few classes are in one
+component already, such as a group of very many near copies, is cut into blocks
+with the few in each; any other large region is dealt to a grid of block pairs.
+Either way all its remaining pairs are compared in full. The grid is quadratic:
+a region of n classes of similar size makes about n^2 / 1024 rows.
 
 Defined cases: a document without words or text has an empty set, links with
 nothing and stays. With fewer words than a shingle, the whole sequence is the
@@ -48,6 +50,8 @@ VALUES, TREES = 128, 24
 DEPTHS = (3, 6, 10, 16)
 REGION = 2048
 BATCH = 256
+# The side of classes in a cell of a grid: 0, 1, or all of them with each other.
+WHOLE = 2
 # Shingles are compared by 40 bits on the full sets.
 _KEPT_BYTES = 5
 
@@ -138,37 +142,72 @@ def _sizes(rows: DataFrame, labelled: bool) -> DataFrame:
     return sizes.where("labels > 1").select("key", "n", "first", F.col("top.label").alias("main"), F.col("top.n").alias("most"))
 
 
-def _regions(classes: DataFrame, labelled: bool, name: str) -> DataFrame:
-    """(key, node, label): classes that share a region with a different label.
+def _grid(region: DataFrame, percent: int) -> DataFrame:
+    """(key, node, label, side): the classes of large regions, dealt to cells
+    that together hold every pair which can reach the similarity.
+
+    A class stands in the band of its size; sizes whose ratio can reach the
+    similarity are in the same band or in neighbouring ones. A band is cut into
+    blocks, and each two blocks of such bands are a cell of their own, with one
+    block on side 0 and one on side 1. A block by itself is on side ``WHOLE``.
+    """
+    # A little wider than the ratio, so that rounding can't part two sizes by two bands.
+    width = math.log(100 / percent) + 1e-9
+    banded = region.withColumn("band", F.floor(F.log(F.col("n_shingles")) / width))
+    counts = banded.groupBy("key", "band").agg(F.ceil(F.count("*") / (REGION // 2)).alias("blocks"))
+    blocks = counts.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks"))
+    rows = banded.join(blocks, "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "node"), F.col("blocks")[F.col("band")]))
+
+    def cells(step: int, cell):
+        there = F.col("blocks")[F.col("band") + step]
+        return F.when(there.isNull(), F.array()).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), there - 1), cell))
+
+    band, block = F.col("band"), F.col("block")
+    made = lambda lo, i, hi, j, side: F.struct(F.xxhash64("key", lo, i, hi, j).alias("cell"), side.alias("side"))
+    side = lambda j: F.when(block < j, 0).when(block > j, 1).otherwise(WHOLE)
+    own = cells(0, lambda j: made(band, F.least(block, j), band, F.greatest(block, j), side(j)))
+    above = cells(1, lambda j: made(band, block, band + 1, j, F.lit(0)))
+    below = cells(-1, lambda j: made(band - 1, j, band, block, F.lit(1)))
+    dealt = rows.select("node", "label", F.explode(F.concat(own, above, below)).alias("c"))
+    return dealt.select(F.col("c.cell").alias("key"), "node", "label", F.col("c.side").alias("side"))
+
+
+def _regions(classes: DataFrame, labelled: bool, percent: int, name: str) -> DataFrame:
+    """(key, node, label, side): classes that share a region with a different label.
 
     A region that is too large is cut into blocks by a hash of the node. If all
     but a few of its classes belong to one component, the few are in every block
-    and no pair is lost. If not, the blocks link what is alike for the most
-    part, and the region is looked at again through longer prefixes.
+    and no pair is lost. If not, round one only looks for what is alike for the
+    most part: in blocks that differ from tree to tree, and through longer
+    prefixes. Round two deals the region to a grid that loses no pair either.
     """
     half = REGION // 2
     run, ddl = _prefixes(DEPTHS[0])
-    labels = classes.select("node", "label")
+    labels = classes.select("node", "label", "n_shingles")
     rows = classes.select("node", "signature").mapInArrow(run, ddl).join(labels, "node")
     out = None
     for level in range(len(DEPTHS)):
         rows = materialise(rows, f"{name}-rows")
         sizes = materialise(_sizes(rows, labelled), f"{name}-sizes")
-        fit = rows.join(sizes.where(F.col("n") <= REGION), "key").select("key", "node", "label")
+        fit = rows.join(sizes.where(F.col("n") <= REGION), "key").select("key", "node", "label", F.lit(WHOLE).alias("side"))
         out = fit if out is None else out.unionByName(fit)
         large = sizes.where(F.col("n") > REGION)
         if large.isEmpty():
             break
-        blocks = F.ceil(F.col("n") / half)
         few = F.col("n") - F.col("most") <= half
+        if labelled:
+            out = out.unionByName(_grid(rows.join(large.where(~few).select("key"), "key"), percent))
+            large = large.where(few)
+        blocks = F.ceil(F.col("n") / half)
         everywhere = (few & (F.col("label") != F.col("main"))) | (F.col("node") == F.col("first"))
-        one = F.array(F.pmod(F.xxhash64("node"), blocks))
+        one = F.array(F.pmod(F.xxhash64("key", "node"), blocks))
         block = F.explode(F.when(everywhere, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(one))
         cut = rows.join(large, "key").select("key", "node", "label", block.alias("block"))
-        out = out.unionByName(cut.select(F.xxhash64("key", "block").alias("key"), "node", "label"))
-        if level + 1 == len(DEPTHS):
+        out = out.unionByName(cut.select(F.xxhash64("key", "block").alias("key"), "node", "label", F.lit(WHOLE).alias("side")))
+        if labelled or level + 1 == len(DEPTHS):
             break
-        deep = rows.join(large.where(~few).select("key"), "key").select("node", "tree")
+        deep = rows.join(large.select("key"), "key").select("node", "tree")
         run, ddl = _prefixes(DEPTHS[level + 1])
         rows = deep.join(classes, "node").select("node", "signature", "tree").mapInArrow(run, ddl).join(labels, "node")
     return out
@@ -193,15 +232,16 @@ def _forest(agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
 
 
-def _agreement(values: np.ndarray, size: np.ndarray, label: np.ndarray, percent: int) -> np.ndarray:
-    """Signature values in which classes agree; -1 for pairs that can't reach the
+def _agreement(x: tuple, y: tuple, percent: int) -> np.ndarray:
+    """Signature values in which the classes ``x`` agree with the classes ``y``,
+    each given as (values, sizes, labels); -1 for pairs that can't reach the
     similarity, or are in one component already."""
-    agree = np.zeros((len(size), len(size)), dtype=np.int16)
-    for c in values.T:
-        agree += c[:, None] == c[None, :]
-    small, large = np.minimum(size[:, None], size[None, :]), np.maximum(size[:, None], size[None, :])
-    agree[(agree < _least(percent)) | (100 * small < percent * large) | (label[:, None] == label[None, :])] = -1
-    np.fill_diagonal(agree, -1)
+    agree = np.zeros((len(x[1]), len(y[1])), dtype=np.uint8)
+    for c, d in zip(x[0].T, y[0].T, strict=True):
+        agree += c[:, None] == d[None, :]
+    agree = agree.astype(np.int16)
+    small, large = np.minimum(x[1][:, None], y[1][None, :]), np.maximum(x[1][:, None], y[1][None, :])
+    agree[(agree < _least(percent)) | (100 * small < percent * large) | (x[2][:, None] == y[2][None, :])] = -1
     return agree
 
 
@@ -234,17 +274,22 @@ def _confirmed(x: np.ndarray, y: np.ndarray, sets: list[np.ndarray], percent: in
 
 
 def _links_of_regions(forest: bool, percent: int):
-    """Pairs of each region, by streaming sorted rows (key, node, label, n,
+    """Pairs of each region, by streaming sorted rows (key, node, label, n, side,
     bytes, set). With ``forest``, a spanning forest of candidates; else all links
     between different labels, confirmed on the sets that came along."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(node, label, size, values, sets) -> tuple[np.ndarray, np.ndarray]:
-        agree = _agreement(values, size, label, percent)
+    def pairs(node, label, size, side, values, sets) -> tuple[np.ndarray, np.ndarray]:
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        agree = _agreement((values[left], size[left], label[left]), (values[right], size[right], label[right]), percent)
         if forest:
+            np.fill_diagonal(agree, -1)
             x, y = _forest(agree)
         else:
-            x, y = np.nonzero(np.triu(agree >= 0))
+            x, y = np.nonzero(agree >= 0)
+            x, y = left[x], right[y]
+            once = (side[x] != WHOLE) | (x < y)
+            x, y = x[once], y[once]
             if len(x):
                 # Only the sets that some pair asks for.
                 asked, back = np.unique(np.concatenate([x, y]), return_inverse=True)
@@ -253,7 +298,7 @@ def _links_of_regions(forest: bool, percent: int):
         return np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
 
     def regions(rows) -> Iterator[pa.RecordBatch]:
-        key, node, label, size, values, sets = rows
+        key, node, label, size, side, values, sets = rows
         bounds = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
         starts, lengths = bounds[:-1], np.diff(bounds)
         found = []
@@ -268,7 +313,7 @@ def _links_of_regions(forest: bool, percent: int):
                 lengths[np.isin(starts, two)] = 3  # looked at one by one below
         for s, n in zip(starts[lengths > 2], np.diff(bounds)[lengths > 2], strict=True):
             e = s + n
-            found.append(pairs(node[s:e], label[s:e], size[s:e], values[s:e], sets[s:e]))
+            found.append(pairs(node[s:e], label[s:e], size[s:e], side[s:e], values[s:e], sets[s:e]))
         if found:
             a, b = (np.concatenate(x) for x in zip(*found, strict=True))
             if len(a):
@@ -280,8 +325,8 @@ def _links_of_regions(forest: bool, percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            rows += [_signature_matrix(batch.column(4), np.uint8), np.array(batch.column(5).to_pylist(), dtype=object)]
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            rows += [_signature_matrix(batch.column(5), np.uint8), np.array(batch.column(6).to_pylist(), dtype=object)]
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
             start = int(np.searchsorted(rows[0], rows[0][-1]))
@@ -297,13 +342,13 @@ def _links_of_regions(forest: bool, percent: int):
 def _pairs(classes: DataFrame, sets: DataFrame | None, percent: int, name: str) -> DataFrame:
     """Candidate forests of the regions; with ``sets``, all confirmed links
     between the different labels that regions hold."""
-    regions = _regions(classes, sets is not None, name)
+    regions = _regions(classes, sets is not None, percent, name)
     rows = regions.join(classes.select("node", "n_shingles", "bytes"), "node")
     if sets is None:
         rows = rows.withColumn("shingles", F.lit(None).cast("binary"))
     else:
         rows = rows.join(sets, "node")
-    rows = rows.select("key", "node", "label", "n_shingles", "bytes", "shingles")
+    rows = rows.select("key", "node", "label", "n_shingles", "side", "bytes", "shingles")
     run, ddl = _links_of_regions(sets is None, percent)
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, ddl).distinct()
 

@@ -90,6 +90,55 @@ def test_regions_that_are_too_large_go_deeper_and_are_cut(spark, monkeypatch):
     assert got == near(texts, neardup.SHINGLE_WORDS)
 
 
+def template_groups(groups: int, usual: float):
+    """Pairs of near copies (similarity 0.82) of fillings of one template; in each
+    place stands the usual word with that probability, or one of three others."""
+    r, rows = random.Random(12), []
+    for g in range(groups):
+        filled = ["s%d_%d" % (i, 0 if r.random() < usual else r.randint(1, 3)) for i in range(200)]
+        for d in (2 * g, 2 * g + 1):
+            words = list(filled)
+            for i in range(d % 2 * 10, d % 2 * 10 + 10):
+                words[i] = "d%d_%d" % (d, i)
+            r.shuffle(words)
+            rows.append((d, " ".join(words)))
+    return rows
+
+
+def near_in_small_regions(spark, monkeypatch, rows):
+    """Prefixes of 3 values only, and small regions: what longer prefixes can't
+    part in a large table is one region here."""
+    monkeypatch.setattr(neardup, "REGION", 4)
+    monkeypatch.setattr(neardup, "DEPTHS", (3,))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    return {x.doc_id: (x.n_shingles, x.component_id) for x in neardup.near_duplicates(df, shingle_words=1).collect()}
+
+
+def test_many_small_groups_in_large_regions_are_all_found(spark, monkeypatch):
+    """Similarity about 0.7 between groups, of which none dominates a region."""
+    rows = template_groups(110, 0.96)
+    assert near_in_small_regions(spark, monkeypatch, rows) == near(rows, 1)
+
+
+def test_grid_holds_every_pair_whose_sizes_fit(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "REGION", 6)
+    r = random.Random(5)
+    sizes = [r.choice([1, 4, 5, 20, 25, 26, 31, 32, 40, 50, 500]) for _ in range(60)]
+    region = spark.createDataFrame([(k, i, i, n) for k in (7, 8) for i, n in enumerate(sizes)], "key long, node long, label long, n_shingles long")
+    cells = {}
+    for x in neardup._grid(region, 80).collect():
+        cells.setdefault(x.key, []).append((x.node, x.side))
+    met = {}
+    for members in cells.values():
+        for a, side in members:
+            for b, other in members:
+                if a < b and (side != other or side == neardup.WHOLE):
+                    met[a, b] = met.get((a, b), 0) + 1
+    fits = {(a, b) for b in range(60) for a in range(b) if 100 * min(sizes[a], sizes[b]) >= 80 * max(sizes[a], sizes[b])}
+    assert fits <= set(met) and set(met.values()) == {2}  # once in each region
+    assert not any(sizes[a] == 500 and sizes[b] < 100 for a, b in met)
+
+
 def test_trees_meet_similar_sets_almost_surely():
     columns = neardup.tree_columns()
     first = columns[:, : neardup.DEPTHS[0]]
