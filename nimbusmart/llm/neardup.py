@@ -11,7 +11,8 @@ classes is looked at in blocks and through longer prefixes.
 There are two rounds, so that no group of copies is turned into all its pairs.
 First each region gives a maximum spanning forest over the signatures' agreement;
 these candidates are joined with the full sets and confirmed. Then only regions
-that still hold several components are looked at again: the full sets come to the
+that still hold several components are looked at again, without the classes that
+have no candidate and were in no region too large: the full sets come to the
 region, and what comes out are confirmed links between different components, not
 pairs. Agreement below ``J - 4.5 sigma`` is the only guess that keeps a pair from
 being compared; confirmed links are exact. Components are found by
@@ -173,8 +174,9 @@ def _grid(region: DataFrame, percent: int) -> DataFrame:
     return dealt.select(F.col("c.cell").alias("key"), "node", "label", F.col("c.side").alias("side"))
 
 
-def _regions(classes: DataFrame, labelled: bool, percent: int, name: str) -> DataFrame:
-    """(key, node, label, side): classes that share a region with a different label.
+def _regions(classes: DataFrame, labelled: bool, percent: int, name: str) -> tuple[DataFrame, DataFrame | None]:
+    """(key, node, label, side): classes that share a region with a different label;
+    and (node) those that stand in a region too large, if there is any.
 
     A region that is too large is cut into blocks by a hash of the node. If all
     but a few of its classes belong to one component, the few are in every block
@@ -186,7 +188,7 @@ def _regions(classes: DataFrame, labelled: bool, percent: int, name: str) -> Dat
     run, ddl = _prefixes(DEPTHS[0])
     labels = classes.select("node", "label", "n_shingles")
     rows = classes.select("node", "signature").mapInArrow(run, ddl).join(labels, "node")
-    out = None
+    out = crowded = None
     for level in range(len(DEPTHS)):
         rows = materialise(rows, f"{name}-rows")
         sizes = materialise(_sizes(rows, labelled), f"{name}-sizes")
@@ -195,6 +197,8 @@ def _regions(classes: DataFrame, labelled: bool, percent: int, name: str) -> Dat
         large = sizes.where(F.col("n") > REGION)
         if large.isEmpty():
             break
+        if level == 0:
+            crowded = rows.join(large.select("key"), "key").select("node").distinct()
         few = F.col("n") - F.col("most") <= half
         if labelled:
             out = out.unionByName(_grid(rows.join(large.where(~few).select("key"), "key"), percent))
@@ -210,7 +214,7 @@ def _regions(classes: DataFrame, labelled: bool, percent: int, name: str) -> Dat
         deep = rows.join(large.select("key"), "key").select("node", "tree")
         run, ddl = _prefixes(DEPTHS[level + 1])
         rows = deep.join(classes, "node").select("node", "signature", "tree").mapInArrow(run, ddl).join(labels, "node")
-    return out
+    return out, crowded
 
 
 def _forest(agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -339,10 +343,11 @@ def _links_of_regions(forest: bool, percent: int):
     return run, "a long, b long"
 
 
-def _pairs(classes: DataFrame, sets: DataFrame | None, percent: int, name: str) -> DataFrame:
+def _pairs(classes: DataFrame, sets: DataFrame | None, percent: int, name: str) -> tuple[DataFrame, DataFrame | None]:
     """Candidate forests of the regions; with ``sets``, all confirmed links
-    between the different labels that regions hold."""
-    regions = _regions(classes, sets is not None, percent, name)
+    between the different labels that regions hold. And the classes in regions
+    that are too large, as of ``_regions``."""
+    regions, crowded = _regions(classes, sets is not None, percent, name)
     rows = regions.join(classes.select("node", "n_shingles", "bytes"), "node")
     if sets is None:
         rows = rows.withColumn("shingles", F.lit(None).cast("binary"))
@@ -350,7 +355,7 @@ def _pairs(classes: DataFrame, sets: DataFrame | None, percent: int, name: str)
         rows = rows.join(sets, "node")
     rows = rows.select("key", "node", "label", "n_shingles", "side", "bytes", "shingles")
     run, ddl = _links_of_regions(sets is None, percent)
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, ddl).distinct()
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, ddl).distinct(), crowded
 
 
 def _pack(s: np.ndarray) -> bytes:
@@ -416,8 +421,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     nodes = classes.select("node", "n_shingles", "signature").mapInArrow(run, ddl)
     nodes = materialise(nodes.withColumn("label", F.col("node")), "class-nodes")
 
-    first = materialise(_pairs(nodes, None, percent, "forest"), "forest-pairs")
-    involved = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
+    first, crowded = _pairs(nodes, None, percent, "forest")
+    first = materialise(first, "forest-pairs")
+    # In regions of full size a class without a candidate has been compared with
+    # all others; in a cut one it has not.
+    involved = first.select(F.col("a").alias("node")).union(first.select("b"))
+    if crowded is not None:
+        involved = involved.union(crowded)
+    involved = materialise(involved.distinct(), "involved")
     run, ddl = _packed_sets(shingle_words)
     texts = base.where("text is not null").join(involved.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi")
     sets = materialise(texts.mapInArrow(run, ddl), "shingle-sets")
@@ -426,7 +437,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 
     labelled = nodes.drop("label").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
     labelled = materialise(labelled.join(involved, "node", "left_semi"), "labelled-classes")
-    more = materialise(_pairs(labelled, sets, percent, "rest").toDF("u", "v"), "rest-links")
+    more, _ = _pairs(labelled, sets, percent, "rest")
+    more = materialise(more.toDF("u", "v"), "rest-links")
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more), "components")
 

@@ -120,6 +120,13 @@ def test_many_small_groups_in_large_regions_are_all_found(spark, monkeypatch):
     assert near_in_small_regions(spark, monkeypatch, rows) == near(rows, 1)
 
 
+def test_classes_without_a_candidate_in_cut_regions_stay_in(spark, monkeypatch):
+    """Similarity about 0.5 between groups: hardly a class has a candidate but
+    its partner, which the blocks of round one often part from it."""
+    rows = template_groups(110, 0.85)
+    assert near_in_small_regions(spark, monkeypatch, rows) == near(rows, 1)
+
+
 def test_grid_holds_every_pair_whose_sizes_fit(spark, monkeypatch):
     monkeypatch.setattr(neardup, "REGION", 6)
     r = random.Random(5)
