@@ -3,10 +3,13 @@
 The base patterns find assignments, access keys and long hexadecimal strings.
 The method adds strings that a public tokenizer can hardly compress: ordinary
 words and names take few tokens for their length, random strings many. A
-candidate is a run of at least ``MIN_RANDOM`` key characters that has both
-letters and digits; known digests, UUIDs and identifiers built from words are
-left out, and of the others those with at most ``MAX_CHARS_PER_TOKEN``
-characters a token are secrets of kind ``random``.
+candidate is a run of at least ``MIN_RANDOM`` key characters; known digests,
+UUIDs, numbers and identifiers built from words are left out, and of the others
+those with at most ``MAX_CHARS_PER_TOKEN`` characters a token are secrets of kind
+``random``. So that words joined to a key don't hide it, a run that is none as a
+whole is looked at in parts: what is left between its ordinary words, and its
+alphanumeric pieces, which are secrets if any ``MIN_RANDOM`` characters of
+theirs are. Letters alone are judged like any other string.
 
 One ``mapInArrow`` pass over whole texts, no shuffle; positions are code
 points, ends exclusive.
@@ -19,6 +22,7 @@ are not looked at.
 from __future__ import annotations
 
 import base64
+import math
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -45,7 +49,12 @@ LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.IGNORECASE)
 UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.IGNORECASE)
 # Words and numbers joined by separators, or capitalised words run together.
-IDENTIFIER = re.compile(r"(?:(?:[a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+)(?:[_/=+-]+|$))+|(?:[A-Z]?[a-z]{2,})+[0-9]{0,4}")
+_PART = r"(?:[a-z]+|[A-Z]+|[A-Z][a-z]+|[0-9]+)"
+IDENTIFIER = re.compile(
+    rf"[0-9]+|(.)\1+|(?=[A-Za-z0-9]*[_/=+-])[_/=+-]*+(?:{_PART}(?:[_/=+-]++|$))*+|(?:[a-z]{{2,}})?(?:[A-Z][a-z]{{2,}})+[0-9]{{0,4}}"
+)
+PIECE = re.compile(r"[A-Za-z0-9]+")
+WORD = re.compile(_PART)
 
 SPANS = "array<struct<kind: string, start: long, end: long>>"
 _SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -72,20 +81,61 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def looks_random(s: str, enc: tiktoken.Encoding, most: float = MAX_CHARS_PER_TOKEN) -> bool:
-    if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)):
-        return False
     if DIGEST.fullmatch(s) or UUID.fullmatch(s) or IDENTIFIER.fullmatch(s):
         return False
     return len(s) <= most * len(enc.encode_ordinary(s))
 
 
+def holds_random(s: str, enc: tiktoken.Encoding, most: float = MAX_CHARS_PER_TOKEN) -> bool:
+    """Whether some tokens in a row of a piece have ``MIN_RANDOM`` characters or
+    more, and at most ``most`` characters each on average."""
+    if DIGEST.fullmatch(s) or IDENTIFIER.fullmatch(s):
+        return False
+    ends, spare = [0], [0.0]
+    for t in enc.encode_ordinary(s):
+        n = len(enc.decode_single_token_bytes(t))
+        ends.append(ends[-1] + n)
+        spare.append(spare[-1] + most - n)
+    least, k = math.inf, 0
+    for end, value in zip(ends, spare, strict=True):
+        while ends[k] <= end - MIN_RANDOM:
+            least = min(least, spare[k])
+            k += 1
+        if value >= least:
+            return True
+    return False
+
+
+def random_parts(s: str, enc: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """(start, end) of the secrets in a run of key characters."""
+    if looks_random(s, enc):
+        return [(0, len(s))]
+    if DIGEST.fullmatch(s) or UUID.fullmatch(s):
+        return []
+    pieces = [(m.start(), m.end()) for m in PIECE.finditer(s)]
+    found: list[tuple[int, int]] = []
+    core: list[tuple[int, int]] = []
+    for a, b in [*pieces, (len(s), len(s))]:
+        # A number or an ordinary word ends what may be one key.
+        if b > a and not (WORD.fullmatch(s, a, b) and (s[a:b].isdigit() or b - a > MAX_CHARS_PER_TOKEN * len(enc.encode_ordinary(s[a:b])))):
+            core.append((a, b))
+            continue
+        if core and len(core) < len(pieces) and (whole := (core[0][0], core[-1][1]))[1] - whole[0] >= MIN_RANDOM and looks_random(s[slice(*whole)], enc):
+            found.append(whole)
+        core = []
+    for a, b in pieces:
+        if b - a >= MIN_RANDOM and not any(x <= a and b <= y for x, y in found) and holds_random(s[a:b], enc):
+            found.append((a, b))
+    return sorted(found)
+
+
 def spans_of(text: str, enc: tiktoken.Encoding) -> list[tuple[int, int, int]]:
     found = base_spans(text)
     if any(len(w) >= MIN_RANDOM for w in text.split()):
         held = [(a, b) for a, _, b in found]
         for m in CANDIDATE.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b in held) and looks_random(m[0], enc):
-                found.append((m.start(), 3, m.end()))
+            if not any(a < m.end() and m.start() < b for a, b in held):
+                found += [(m.start() + a, 3, m.start() + b) for a, b in random_parts(m[0], enc)]
     return sorted(found)
 
 

@@ -151,6 +151,26 @@ def test_random_strings_are_found_and_names_are_not(spark):
     assert got[8] == [] and got[9] == []
 
 
+def test_random_strings_behind_words_and_of_letters_only(spark):
+    r = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(r.choices(kind, k=24)) for kind in (letters, letters.upper(), letters + "0123456789") for _ in range(40)]
+    prefixes = ["", "connection_string_production=", "/home/user/projects/config/", "prod", "a-b/"]
+    texts = [f"see {p}{k} there" for k in keys for p in prefixes]
+    got = scan(spark, texts)
+    for i, t in enumerate(texts):
+        at = t.index(keys[i // len(prefixes)])
+        assert any(kind == "random" and a <= at and at + 24 <= e for a, kind, e in got[i]), t
+        assert not any(a < 4 or e > len(t) - 6 for a, _, e in got[i]), t
+
+
+def test_long_names_numbers_and_rulers_are_no_secrets(spark):
+    names = "antidisestablishmentarianism Donaudampfschifffahrtsgesellschaft getHTTPResponseCodeForXMLParser MAX_NUMBER_OF_CONNECTIONS_PER_HOST"
+    plain = "2024-01-01-12-30-45-999 12345678901234567890 ==================== zzzzzzzzzzzzzzzzzzzzzzzzzz a-b-c-d-e-f-g-h-i-j-k-l /usr/lib/python3/dist-packages/numpy/core"
+    assert scan(spark, [names, plain, "-" * 30000 + "a1"])[0] == []
+    assert scan(spark, [plain])[0] == []
+
+
 def test_redact_keeps_everything_else(spark, docs, none):
     df = spark.createDataFrame([(i, t, ["a"], i) for i, t in enumerate(SECRET_TEXTS)], "doc_id long, text string, tags array<string>, spans int")
     out = {r.doc_id: r for r in secrets.redact(df, PATH, public_tokenizers.PATTERN).collect()}
