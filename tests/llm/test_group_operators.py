@@ -331,6 +331,26 @@ def test_license_scan_matches_brute_force(spark, docs):
     assert licenses.license_scan(docs).columns == ["doc_id", "license", "n_found", "n_shingles", "first_word"]
 
 
+def test_licenses_are_told_apart(spark):
+    header = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    clauses = "Redistributions in binary form must reproduce the above copyright notice in the documentation and/or other materials provided with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"
+    third = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+    texts = {
+        header.format("", 2): {"GPL-2.0-header"}, header.format("", 3): {"GPL-3.0-header"}, header.format("Lesser ", "2.1"): {"LGPL-2.1-header"},
+        header.format("Lesser ", 3): {"LGPL-3.0-header"}, header.format("Affero ", 3): {"AGPL-3.0-header"},
+        clauses.format(""): {"BSD-2-Clause"}, clauses.format(third): {"BSD-3-Clause"},
+        "This project is licensed under the MIT License.": {"MIT-licensed"}, "Licensed under CC BY-SA 4.0": {"CC-BY-SA-4.0-short"}, "Licensed under CC BY 4.0": {"CC-BY-4.0-short"},
+        "This text is licensed under a Creative Commons Attribution 4.0 International License": {"CC-BY-4.0-notice"},
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for x in licenses.license_scan(df).collect():
+        got.setdefault(x.doc_id, set()).add(x.license)
+    assert got == dict(enumerate(texts.values()))
+    names = [k for k, _ in licenses.TEMPLATES]
+    assert len(set(names)) == len(names) and {"EPL-2.0", "CC0-1.0", "Unlicense", "MIT-body", "GPL-2.0-body"} <= set(names)
+
+
 def test_license_bands_and_bounds(spark):
     least = 0.8 / 4.2
     assert 1 - (1 - least) ** licenses.n_bands() >= 1 - 1e-6
