@@ -27,6 +27,8 @@ SCOPES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td":
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+# Looked for in the page itself: lowering it may change its length (U+0130).
+_ENDS = {t: re.compile("</head|<body" if t == "head" else f"</{t}", re.IGNORECASE | re.ASCII) for t in RAW | UNREAD}
 _ATTRIBUTE = re.compile(r"""(class|id|role|data-y)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
 _NAME = re.compile(r"[a-z]+")
 
@@ -81,7 +83,6 @@ def parse(source: str) -> Page:
     page = Page()
     open_ = [0]
     at, n = 0, len(source)
-    lower = None
 
     def close_to(names: set[str], scope: set[str]) -> None:
         for k in range(len(open_) - 1, 0, -1):
@@ -134,15 +135,12 @@ def parse(source: str) -> Page:
                     break
             continue
         if tag in RAW or tag in UNREAD:
-            if lower is None:
-                lower = source.lower()
+            end = _ENDS[tag].search(source, at)
             if tag == "head":
-                end = min((i for i in (lower.find("</head", at), lower.find("<body", at)) if i >= 0), default=-1)
-                at = at if end < 0 else end
+                at = end.start() if end else at
                 continue
-            end = lower.find("</" + tag, at)
-            if end >= 0:
-                gt = source.find(">", end)
+            if end:
+                gt = source.find(">", end.start())
                 at = n if gt < 0 else gt + 1
             elif tag in RAW:
                 at = n

@@ -34,6 +34,13 @@ def test_parser_reads_broken_markup():
     assert text(dom.parse("")) == [] and text(dom.parse("<")) == [] and text(dom.parse("<div")) == []
 
 
+def test_letters_that_grow_when_lowered_lose_no_text():
+    many = "\u0130" * 40
+    for tag in ("script", "STYLE", "svg", "select", "Button", "iframe"):
+        assert text(dom.parse(f"<p>{many}</p><{tag}>no</{tag.swapcase()}><p>one <b>two</b></p><p>three</p>")) == [many, "one two", "three"]
+    assert text(dom.parse(f"<title>{many}</title><HEAD><meta></Head><body>{many}<p>one</p>")) == [many, "one"]
+
+
 def test_decoding_has_no_contradictions_and_is_best():
     import itertools
     import random
