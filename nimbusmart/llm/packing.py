@@ -1,11 +1,14 @@
-"""Packing: length buckets that are optimal for the corpus, and batches in them.
+"""Packing: length buckets that are nearly optimal for the corpus, and batches in them.
 
 A document's length is its number of words. The lengths' histogram over the
 whole corpus is taken on a grid that is exact up to 256 and then has 128 steps
 for every doubling, so it has a few thousand entries at most whatever the
 corpus, and is the only thing that reaches the driver. Dynamic programming over
-it picks at most ``BUCKETS`` upper bounds that minimise the padded total: each
-document is padded to its bucket's bound.
+it picks at most ``BUCKETS`` upper bounds that minimise the padded total of the
+lengths so rounded up; then each bound goes down to the largest length in its
+bucket, to which the bucket's documents are padded. If all lengths are 256 or
+less the bounds are optimal. Above, a grid value is less than 1/128 over its
+lengths, so the padded total is less than 0.8 % over the least possible one.
 
 Batches hold as many documents of one bucket as fit the token budget at the
 padded length, at least one. A document's place in its bucket is by (shard,
@@ -78,7 +81,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, sh
     batch (from 0 in each bucket) and place (from 0 in each batch)."""
     spark = docs.sparkSession
     sized = materialise(lengths(docs), "lengths")
-    histogram = sized.groupBy("grid").count().orderBy("grid").collect()
+    histogram = sized.groupBy("grid").agg(F.count("*").alias("count"), F.max("n_tokens").alias("longest")).orderBy("grid").collect()
     values = np.array([r["grid"] for r in histogram], dtype=np.int64)
     counts = np.array([r["count"] for r in histogram], dtype=np.int64)
     bounds = optimal_bounds(values, counts, buckets)
@@ -100,7 +103,9 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, sh
     high = high.withColumn("high", F.coalesce(F.sum("count").over(before("bucket", "upper")), F.lit(0))).drop("count")
     offsets = low.join(high, ["bucket", "upper"]).select("bucket", "shard", (F.col("low") + F.col("high")).alias("offset"))
 
-    bound = F.element_at(F.array(*[F.lit(b) for b in bounds]), F.col("bucket") + 1).cast("long")
+    # The longest document of the bucket: that of its last grid value.
+    longest = {r["grid"]: r["longest"] for r in histogram}
+    bound = F.element_at(F.array(*[F.lit(longest[b]) for b in bounds]), F.col("bucket") + 1).cast("long")
     at = (F.col("offset") + F.col("nth")).cast("long")
     size = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest("bucket_tokens", F.lit(1)))).cast("long")
     out = nth.join(offsets, ["bucket", "shard"]).withColumn("bucket_tokens", bound)

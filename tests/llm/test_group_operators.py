@@ -290,6 +290,22 @@ def test_batches_keep_the_budget_and_every_document(docs, rows, none):
     assert packing.pack(none).count() == 0
 
 
+def test_bounds_are_lengths_that_occur(spark):
+    r = random.Random(10)
+    lengths = [r.choice([3, 200, 257, 259, 700, 1001, 1003, 5001, 5003, 9999]) for _ in range(80)]
+    df = spark.createDataFrame([(i, "w " * n) for i, n in enumerate(lengths)], "doc_id long, text string")
+    for buckets in (1, 3, 16):
+        longest = {}
+        out = packing.pack(df, buckets=buckets).collect()
+        for x in out:
+            longest[x.bucket] = max(longest.get(x.bucket, 0), x.n_tokens)
+        assert all(x.bucket_tokens == longest[x.bucket] for x in out)
+        values, counts = np.unique(lengths, return_counts=True)
+        best = packing.optimal_bounds(values, counts, buckets)
+        least = sum(min(b for b in best if b >= n) for n in lengths)
+        assert least <= sum(x.bucket_tokens for x in out) <= least * (1 + 1 / 128)
+
+
 # --- license scans ---
 
 
