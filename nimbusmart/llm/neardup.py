@@ -1,9 +1,9 @@
-"""Near-duplicate documents by an LSH forest over MinHash signatures.
+"""Near-duplicate documents by prefix buckets over MinHash signatures.
 
 Documents whose shingle sets are equal form a class; only classes go on. Each of
-``TREES`` trees orders the classes by its own sequence of signature values, and
-classes with a long common prefix stand next to each other. A region is a run of
-classes that share a prefix. Depth adapts to the region: it starts at
+``TREES`` trees has its own sequence of signature values, and puts the classes
+that share its first values into one bucket, by a hash of them; nothing is sorted
+by signature. A region is such a bucket. Depth adapts to the region: it starts at
 ``DEPTHS[0]`` values, at which two sets of similarity 0.8 meet in at least one
 tree but for 3 cases in 10^8. In the first round a region of more than ``REGION``
 classes is looked at in blocks and through longer prefixes.
