@@ -1,19 +1,20 @@
 """Substring dedup: words in repeated 20-word windows go, the first stays.
 
-The suffixes of all documents, as word sequences, are dealt out by their
-prefixes: first by a short prefix, and where many suffixes share it, by longer
-ones, so that every partition fits in memory. Within a partition the suffixes
-are in tree order; neighbours that agree on ``WINDOW`` words hang under one deep
-internal node, and that node's suffixes, all but the first by document and
-place, are repeats. Range partitioning on (fingerprint of the first ``SEED``
-words, fingerprint of all ``WINDOW`` words, document, place) picks prefix
-lengths by itself: a boundary falls inside a group only if the group is larger
-than a partition, and then even the place may split it (see ``runs``).
-
-Most suffixes share no prefix with any other. To keep them out of the large
+The places of all documents are grouped by fingerprints of the words that start
+there: the first ``SEED`` words, then all ``WINDOW`` of them. Equal windows form a
+group, and all but its first place by document and position are repeats. No
+suffix tree is built: prefixes have these two fixed lengths, and there are no
+maximal repeats. Words go if any repeated window covers them, so windows give the
+same words as maximal repeats of ``WINDOW`` words or more. Range partitioning on
+(fingerprint of the first ``SEED`` words, fingerprint of all ``WINDOW`` words,
+document, place) spreads the groups: a boundary falls inside a group only if the
+group is larger than a partition, and then even the place may split it (see
+``runs``).
+
+Most places share no prefix with any other. To keep them out of the large
 shuffle, each window names one of its own SEED-word prefixes, the one with the
-smallest fingerprint; equal windows name the same one. One suffix a name goes
-through the tree first; only the windows whose name has a second occurrence can
+smallest fingerprint; equal windows name the same one. One place a name is
+grouped first; only the windows whose name has a second occurrence can
 repeat, and only those are then compared in full. Texts that are exact copies
 of an earlier document are settled beforehand from their digest.
 
@@ -110,7 +111,7 @@ def _windows(window: int, seed: int):
                     continue
                 at, owner = w.starts[pick], w.owner[pick]
                 doc, key = (part.column(i).to_numpy(zero_copy_only=False)[owner] for i in (0, 1))
-                high = w.seeds[at] >> np.uint64(32)  # tree order: the short prefix, then all words
+                high = w.seeds[at] >> np.uint64(32)  # order: the short prefix, then all words
                 yield _columns(high, ngram_hashes(w.hashes, window)[at], doc, key, w.place[pick])
 
     return run
