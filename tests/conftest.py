@@ -7,9 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -34,6 +31,7 @@ def spark():
 @pytest.fixture(scope="session")
 def duck():
     import duckdb
+    from helpers import SF_SMALL
 
     con = duckdb.connect()
     tables = ("region nation customer supplier part orders lineitem events documents "

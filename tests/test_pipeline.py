@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from helpers import canonical
 from nimbusmart.functions.metrics import AGRI_RULES, TOURISM_RULES
 from nimbusmart.operators.marts import project_mart

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from nimbusmart.operators import replicate, views
 from nimbusmart.plans import roles, stages
 from nimbusmart.plans.profile import explain_text
