@@ -4,8 +4,7 @@ driver and tools/check_oracle.py run the same pairs at sf0.01)."""
 import pytest
 
 import __spark_entry__ as entry_module
-from helpers import SF_SMALL
-from helpers import canonical
+from helpers import SF_SMALL, canonical
 from nimbusmart.plans import queries as registry
 
 QUERIES = registry.queries()

@@ -2,8 +2,7 @@
 
 import os
 
-from helpers import SF_SMALL
-from helpers import canonical
+from helpers import SF_SMALL, canonical
 from nimbusmart.functions.metrics import AGRI_RULES, TOURISM_RULES
 from nimbusmart.operators.marts import project_mart
 from nimbusmart.operators.serving import read_mart
