@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusmart.llm import bpe, htmltext, licenses, linededup, neardup, packing, quality, secrets, substrings, topk
+from nimbusmart.llm import bpe, decontaminate, htmltext, licenses, linededup, neardup, packing, quality, secrets, substrings, topk
 from nimbusmart.llm.registry import ORACLES, QUERIES, register
 from nimbusmart.llm.tables import table
 
@@ -203,3 +203,48 @@ from f group by doc_id, license, n
 @register("op1_license_scan", _licenses_sql())
 def op1_license_scan(spark, sf_dir) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_LEAKS_SQL = f"""
+with d as (
+  select row_number() over () as rid, doc_id,
+         regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), b as (
+  select cast(item_id as varchar) as item, w, least(len(w), {decontaminate.WINDOW}) as k
+  from (select item_id, regexp_extract_all({LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+        from benchmark where item_id is not null and text is not null)
+  where len(w) > 0
+), g as (
+  select distinct item, k, array_to_string(w[i:i + k - 1], ' ') as g from (select *, unnest(range(1, len(w) - k + 2)) as i from b)
+), o as (
+  select rid, i, ks.k, array_to_string(w[i:i + ks.k - 1], ' ') as g
+  from (select distinct k from g) as ks, (select rid, w, unnest(range(1, len(w) + 1)) as i from d) as p where i + ks.k - 1 <= len(w)
+), hit as (
+  select o.rid, o.i, o.k, g.item from o join g on o.k = g.k and o.g = g.g
+), n as (
+  select rid, count(distinct place) as n from (select rid, unnest(range(i, i + k)) as place from hit) group by rid
+), its as (
+  select rid, count(*) as n, string_agg(item, ',' order by item) as items from (select distinct rid, item from hit) group by rid
+)
+select doc_id, len(w) as n_words, coalesce(n.n, 0) as n_hit, coalesce(its.n, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n.n, 0) > 0 as contaminated
+from d left join n using (rid) left join its using (rid)
+"""
+
+
+@register("op12_decontamination", _LEAKS_SQL)
+def op12_decontamination(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    hit = decontaminate.n_hit(F.col("hits.spans"))
+    return found.select(
+        "doc.doc_id",
+        "hits.n_words",
+        hit.alias("n_hit"),
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
