@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusmart.llm import bpe, decontaminate, htmltext, licenses, linededup, neardup, packing, quality, secrets, substrings, topk
+from nimbusmart.llm import bpe, decontaminate, htmltext, lexical, licenses, linededup, neardup, packing, quality, secrets, substrings, topk
 from nimbusmart.llm.registry import ORACLES, QUERIES, register
 from nimbusmart.llm.tables import table
 
@@ -248,3 +248,34 @@ def op12_decontamination(spark, sf_dir) -> DataFrame:
         F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+_LEXICAL_SQL = f"""
+with d as (
+  select row_number() over () as rid, doc_id,
+         regexp_extract_all({LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w
+  from documents where text is not null
+), s as (
+  select count(*) as n_docs, cast(sum(len(w)) as bigint) as n_words from d where len(w) > 0
+), p as (
+  select rid, doc_id, t, count(*) as tf, n from (select rid, doc_id, len(w) as n, unnest(w) as t from d) group by rid, doc_id, t, n
+), q as (
+  select row_number() over () as qid, item_id, list_distinct(
+         regexp_extract_all({LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as w
+  from benchmark where text is not null
+), t as (
+  select t, cast(floor(1000 * ln((2 * cast(n_docs as double) + 2) / (2 * count(*) + 1))) as bigint) as w from p, s group by t, n_docs
+), r as (
+  select qid, item_id, doc_id, cast(sum(t.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_words)))) as bigint) as score
+  from (select qid, item_id, unnest(w) as t from q) as x join p using (t) join t using (t), s group by qid, item_id, rid, doc_id
+), k as (
+  select *, row_number() over (partition by qid order by score desc, doc_id) as rank from r where score > 0
+)
+select item_id, cast(rank as integer) as rank, doc_id, score from k where rank <= {lexical.K}
+"""
+
+
+@register("op13_lexical_search", _LEXICAL_SQL)
+def op13_lexical_search(spark, sf_dir) -> DataFrame:
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"))
