@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusmart.llm import bpe, decontaminate, htmltext, lexical, licenses, linededup, neardup, packing, quality, secrets, substrings, topk
+from nimbusmart.llm import bpe, decontaminate, htmltext, lexical, licenses, linededup, neardup, packing, quality, secrets, substrings, topk, variants
 from nimbusmart.llm.registry import ORACLES, QUERIES, register
 from nimbusmart.llm.tables import table
 
@@ -279,3 +279,47 @@ select item_id, cast(rank as integer) as rank, doc_id, score from k where rank <
 def op13_lexical_search(spark, sf_dir) -> DataFrame:
     index = lexical.build_index(table(spark, sf_dir, "documents"))
     return lexical.search(index, table(spark, sf_dir, "benchmark"))
+
+
+_VARIANTS_SQL = f"""
+with recursive crc as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+         lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end)) as steps
+), r as (
+  select doc_id, {LOWER.format("x")} as run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) as x from documents) group by all
+), h as (
+  select run, n, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as hx from r where length(run) >= {variants.MIN_LETTERS}
+), c as (
+  select run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(hx) // 2), lambda i: cast('0x' || substr(hx, 2 * i + 1, 2) as bigint))),
+         lambda a, b: xor(a // 256, steps[xor(a % 256, b) + 1])), 4294967295) as h from h, crc
+), w as (
+  select word, cast(sum(n) as bigint) as n
+  from (select n, case when h % {variants.EVERY} = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from c)
+  where length(word) >= {variants.MIN_LETTERS} group by word having sum(n) >= {variants.MIN_COUNT}
+), v as (
+  select word, i, length(word) as m, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+  from (select word, unnest(range(1, length(word) + 1)) as i from w)
+), l as (
+  select a.word, b.word as near from v a join v b on a.rest = b.rest and a.i = b.i and a.m = b.m where a.word <> b.word
+  union select v.word, w.word from v join w on v.rest = w.word
+  union select w.word, v.word from v join w on v.rest = w.word
+), b as (
+  select l.word, near, w.n, count(*) over (partition by l.word) as n_near,
+         row_number() over (partition by l.word order by w.n desc, near) as place
+  from l join w on w.word = l.near
+), f as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when b.n >= 2 * w.n then near end as form,
+         case when b.n >= 2 * w.n then b.n end as form_n
+  from w left join (select * from b where place = 1) b using (word)
+), t as (
+  select word, word as root, form as ahead from f
+  union all select t.word, t.ahead, f.form from t join f on f.word = t.ahead
+)
+select f.word, f.form, t.root, f.n, f.n_near, f.form_n from f join t on t.word = f.word and t.ahead is null
+"""
+
+
+@register("op11_spelling_variants", _VARIANTS_SQL)
+def op11_spelling_variants(spark, sf_dir) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
