@@ -282,9 +282,10 @@ def _search_shard(query: list[tuple[int, _List]], ids: np.ndarray, top: _Top) ->
     seen = np.zeros(len(ids), dtype=bool)
     i = 0
     while i < len(query) and rest[i] >= top.least:  # the lists from i on are essential still
-        # Essential lists are met together until they hold enough documents.
-        j, held = i, 0
-        while j < len(query) and held < CHUNK and (j == i or rest[j] >= top.least):
+        # Essential lists are met together until they hold enough documents; before
+        # there is a k-th score, only as many as may give one.
+        j, held, enough = i, 0, CHUNK if len(top.score) == top.k else top.k
+        while j < len(query) and held < enough and (j == i or rest[j] >= top.least):
             held += query[j][1].df
             j += 1
         whole = [query[x][1].whole() for x in range(i, j)]
