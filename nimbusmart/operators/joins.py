@@ -7,7 +7,8 @@ the shuffle). Keys that hold more than ``share`` of them are hot; there are at
 most ``1 / share`` of those, so the list has a proven bound. All other keys
 keep one salt. The right rows of a hot key are dealt over salts by their row
 number, so identical copies spread as well, and only the left rows of hot keys
-are repeated, once a salt. A hot key has a match by definition, so of its
+are repeated, once a salt. There are no more salts than a hot key has right rows,
+so the repeated left rows are never more than the rows that the join returns. A hot key has a match by definition, so of its
 repeated left rows those without one are dropped; all other unmatched left rows
 appear exactly once. Both sides are read once, besides the count. The result
 equals ``left.join(right, on, "left")`` as a bag.
@@ -15,6 +16,8 @@ equals ``left.join(right, on, "left")`` as a bag.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,18 +25,25 @@ SALT, HIT = "__salt", "__hit"
 HOT_SHARE = 0.01
 
 
+def _counted_hot_keys(df: DataFrame, on: str, share: float) -> dict:
+    """Hot keys and their rows. The rollup counts the keys and, in its total, all
+    rows that have one, in the same pass."""
+    rows = df.where(F.col(on).isNotNull()).rollup(on)
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.grouping(on).alias("all"))
+    # The largest 1 / share keys hold every key above the share; the total is larger still.
+    top = counts.orderBy(F.desc("all"), F.desc("n")).limit(int(1 / share) + 2).collect()
+    total = sum(r["n"] for r in top if r["all"])
+    return {r[on]: r["n"] for r in top if not r["all"] and r["n"] > share * total}
+
+
 def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE) -> list:
-    """Non-NULL keys that hold more than ``share`` of the rows: at most
+    """Keys that hold more than ``share`` of the rows that have a key: at most
     ``1 / share`` values, found in one pre-aggregated pass."""
-    counts = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("n"))
-    # The largest 1 / share keys hold every key above the share.
-    top = counts.orderBy(F.desc("n")).limit(int(1 / share) + 1).collect()
-    total = df.count()
-    return [r[on] for r in top if r["n"] > share * total]
+    return list(_counted_hot_keys(df, on, share))
 
 
 def skew_safe_left_join(
-    left: DataFrame, right: DataFrame, on: str, hot: list | None = None, share: float = HOT_SHARE, salts: int = 64
+    left: DataFrame, right: DataFrame, on: str, hot: Iterable | None = None, share: float = HOT_SHARE, salts: int = 64
 ) -> DataFrame:
     """``hot`` names the hot keys if the caller knows them; else they are counted."""
     if salts < 1:
@@ -41,9 +51,12 @@ def skew_safe_left_join(
     clash = (set(right.columns) & set(left.columns)) - {on}
     if clash:
         raise ValueError(f"columns on both sides besides the key: {sorted(clash)}")
-    hot = hot_keys(right, on, share) if hot is None else hot
+    counted = _counted_hot_keys(right, on, share) if hot is None else None
+    hot = list(hot if counted is None else counted)
     if not hot:
         return left.join(right, on, "left")
+    if counted:
+        salts = min(salts, *counted.values())
     is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
     zero = F.lit(0).cast("long")
     # Any salt gives the right result, so it need not depend on the row's content.

@@ -12,20 +12,21 @@ mart.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from nimbusmart.functions.metrics import MARTS, RISK_RULES
-from nimbusmart.operators.curate import curate
+from nimbusmart.operators.curate import HOT_COPIES, copies_sketch, curate_by_year, hot_hashes
 from nimbusmart.operators.geo import feed_bronze
 from nimbusmart.operators.marts import build_mart, project_mart
 from nimbusmart.operators.serving import has_rows
 from nimbusmart.session import check_output, estimate_row_bytes, sized_shuffles
 from nimbusmart.sinks.files import save_partitioned_table, write_partitioned_parquet
 from nimbusmart.sources.catalog import register_parquet_table
-from nimbusmart.sources.files import read_parquet
+from nimbusmart.sources.files import partition_bytes, read_parquet
 
 log = logging.getLogger(__name__)
 
@@ -39,11 +40,18 @@ class PipelineResult:
     shuffle_partitions: int | None = None
 
 
-def _write_counted(df: DataFrame, path: str, name: str) -> int:
+def _write_counted(df: DataFrame, path: str, name: str, **options) -> int:
     """Write year-partitioned Parquet and return the rows written, counted in
     the write job itself (no extra count job)."""
+    return _write_observed(df, path, name, **options)[0]
+
+
+def _write_observed(
+    df: DataFrame, path: str, name: str, observed: Mapping[str, Column] | None = None, laid_out: bool = False
+) -> tuple[int, dict]:
+    """The rows written, and all that was observed on them."""
     obs = Observation(name)
-    write_partitioned_parquet(df, path, "year", observation=obs)
+    write_partitioned_parquet(df, path, "year", observation=obs, observed=observed, laid_out=laid_out)
     rows = int(obs.get["rows"])
     if rows == 0:
         # A partitioned write of no rows leaves no data file, so the next stage
@@ -51,7 +59,7 @@ def _write_counted(df: DataFrame, path: str, name: str) -> int:
         # flow on). One empty file carries it; ``limit(0)`` reads nothing.
         cols = [c for c in df.columns if c != "year"] + ["year"]
         df.select(*cols).limit(0).write.mode("append").parquet(path)
-    return rows
+    return rows, obs.get
 
 
 def load_reference(
@@ -68,21 +76,60 @@ def load_reference(
 
 def run_bronze(weather: DataFrame, cities: DataFrame, countries: DataFrame, out: str) -> int:
     """Weather ⟕ geo -> year-partitioned Parquet; returns the rows written."""
-    return _write_counted(feed_bronze(weather, cities, countries), out, "bronze")
+    return write_bronze(weather, cities, countries, out)[0]
+
+
+def write_bronze(weather: DataFrame, cities: DataFrame, countries: DataFrame, out: str) -> tuple[int, list[int]]:
+    """:func:`run_bronze`, which also returns the hashes of the rows that have very
+    many copies, sketched during the write, for the layout of silver."""
+    df = feed_bronze(weather, cities, countries)
+    rows, seen = _write_observed(df, out, "bronze", {"copies": copies_sketch(df)})
+    return rows, hot_hashes(seen["copies"], rows)
+
+
+# Parquet bytes of a year that one silver task takes.
+SILVER_PART_BYTES = 128 * 1024 * 1024
+
+
+def silver_layout(spark: SparkSession, bronze_path: str, target_bytes: int = SILVER_PART_BYTES) -> dict[int, int]:
+    """year -> number of parts, by the size of the year's bronze folder."""
+    sizes = partition_bytes(spark, bronze_path, "year")
+    return {int(y): -(-n // target_bytes) for y, n in sizes.items() if y.lstrip("-").isdigit() and n}
+
+
+def find_hot_rows(bronze: DataFrame) -> list[int]:
+    """:func:`write_bronze`'s hashes, for a bronze that someone else wrote: one scan
+    without a shuffle, and none if the footers say that there are too few rows."""
+    if bronze.count() <= HOT_COPIES:
+        return []
+    seen = bronze.agg(F.count(F.lit(1)).alias("rows"), copies_sketch(bronze).alias("copies")).first()
+    return hot_hashes(seen["copies"], seen["rows"])
 
 
 def run_silver(
-    spark: SparkSession, bronze_path: str, out: str, table: str | None = None, copy_table: bool = False
+    spark: SparkSession,
+    bronze_path: str,
+    out: str,
+    table: str | None = None,
+    copy_table: bool = False,
+    hot: Iterable[int] | None = None,
 ) -> int:
     """Bronze -> curated silver Parquet; returns the rows written.
 
+    The rows move once: the exchange of the distinct is also the layout by year
+    (see ``curate_by_year``). ``hot`` names rows with very many copies by their
+    hash, if the caller knows them; else one pass over bronze looks for them.
+
     With ``table`` the written folder is also a partitioned catalog table. By
     default the table is registered over the written files (metadata only);
     ``copy_table`` instead saves a managed copy from the written files, as the
     reference job does, which doubles the silver I/O and storage.
     """
     check_output(out, bronze_path)
-    rows = _write_counted(curate(read_parquet(spark, bronze_path)), out, "silver")
+    bronze = read_parquet(spark, bronze_path)
+    hot = find_hot_rows(bronze) if hot is None else hot
+    silver = curate_by_year(bronze, silver_layout(spark, bronze_path), hot)
+    rows = _write_counted(silver, out, "silver", laid_out=True)
     if table is not None:
         if copy_table:
             save_partitioned_table(read_parquet(spark, out), table, "year")
@@ -134,19 +181,19 @@ def run_pipeline(
     res.paths["bronze"] = f"{base}/bronze/weather_daily"
     res.paths["silver"] = f"{base}/silver/weather_curated"
     res.paths["gold"] = f"{base}/gold"
-    res.rows["bronze"] = run_bronze(weather, cities, countries, res.paths["bronze"])
+    res.rows["bronze"], hot = write_bronze(weather, cities, countries, res.paths["bronze"])
     if size_shuffles:
         # The silver dedupe shuffles about all of bronze; size its partitions
         # from the rows just written so that none of them spills.
         bronze_bytes = res.rows["bronze"] * estimate_row_bytes(read_parquet(spark, res.paths["bronze"]).schema)
         with sized_shuffles(spark, bronze_bytes) as n:
             res.shuffle_partitions = n
-            _silver_and_gold(spark, res, silver_table, sink)
+            _silver_and_gold(spark, res, silver_table, sink, hot)
     else:
-        _silver_and_gold(spark, res, silver_table, sink)
+        _silver_and_gold(spark, res, silver_table, sink, hot)
     return res
 
 
-def _silver_and_gold(spark, res: PipelineResult, silver_table, sink) -> None:
-    res.rows["silver"] = run_silver(spark, res.paths["bronze"], res.paths["silver"], silver_table)
+def _silver_and_gold(spark, res: PipelineResult, silver_table, sink, hot) -> None:
+    res.rows["silver"] = run_silver(spark, res.paths["bronze"], res.paths["silver"], silver_table, hot=hot)
     res.rows.update(run_gold(spark, res.paths["silver"], res.paths["gold"], sink))

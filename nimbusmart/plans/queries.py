@@ -623,3 +623,139 @@ def q_reference_load_countries(spark, sf_dir):
 
     path = sinks.write_csv(roles.countries(spark, sf_dir), scratch_path(spark, "countries-csv"))
     return load_reference(spark, path)
+
+
+_UNDATED = 4  # every fourth order has no date
+
+
+def _dated_orders(spark, sf_dir) -> DataFrame:
+    """orders with the year of their date; some have none."""
+    o = table(spark, sf_dir, "orders")
+    dated = F.when(F.col("o_orderkey") % _UNDATED != _UNDATED - 1, F.col("o_orderdate"))
+    return o.select("o_orderkey", "o_custkey", "o_totalprice", F.year(dated).cast("int").alias("year"))
+
+
+_DATED_SQL = (
+    f"select o_orderkey, o_custkey, o_totalprice, case when o_orderkey % {_UNDATED} <> {_UNDATED - 1} "
+    "then cast(year(o_orderdate) as integer) end as year from orders"
+)
+GONE_YEAR, AGAIN_YEAR = 1995, 1997
+
+
+@register("partitioned_overwrite", "K1 N15",
+          f"select o_orderkey, o_custkey, o_totalprice * 2 as o_totalprice, year from ({_DATED_SQL}) o "
+          f"where year is distinct from {GONE_YEAR}")
+def q_partitioned_overwrite(spark, sf_dir):
+    """A second write replaces the whole dataset: its NULL partition, and a year
+    that the second one lacks."""
+    path = scratch_path(spark, "orders-overwritten")
+    orders = _dated_orders(spark, sf_dir)
+    sinks.write_partitioned_parquet(orders, path)
+    second = orders.where(~F.col("year").eqNullSafe(GONE_YEAR)).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    sinks.write_partitioned_parquet(second, path)
+    return sources.read_parquet(spark, path)
+
+
+@register("partitioned_replace", "K1",
+          "select o_orderkey, o_custkey, case when year is null or year = " + str(AGAIN_YEAR) +
+          f" then -o_totalprice else o_totalprice end as o_totalprice, year from ({_DATED_SQL}) o")
+def q_partitioned_replace(spark, sf_dir):
+    """A dynamic overwrite replaces the partitions it writes, here one year and the
+    NULL partition, and leaves the others."""
+    path = scratch_path(spark, "orders-replaced")
+    orders = _dated_orders(spark, sf_dir)
+    sinks.write_partitioned_parquet(orders, path)
+    again = orders.where(F.col("year").isNull() | (F.col("year") == AGAIN_YEAR))
+    again = again.withColumn("o_totalprice", -F.col("o_totalprice"))
+    sinks.write_partitioned_parquet(again, path, dynamic_overwrite=True)
+    return sources.read_parquet(spark, path)
+
+
+@register("table_partitions", "K2 C1", f"select distinct year from ({_DATED_SQL}) o")
+def q_table_partitions(spark, sf_dir):
+    """The partitions of a saved table, from the catalog; no file is opened."""
+    _scratch_db(spark)
+    name = "nimbus_scratch.orders_dated"
+    sinks.save_partitioned_table(_dated_orders(spark, sf_dir), name, path=scratch_path(spark, "orders-dated"))
+    return catalog.list_partitions(spark, name)
+
+
+def _messy_customers(spark, sf_dir) -> str:
+    """customer as delimited text with its header line among the rows, cells that
+    are no numbers, empty cells and rows that end early."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    num = F.when(key % 7 == 0, F.lit("n/a")).otherwise(key.cast("string"))
+    balance = F.when(key % 11 == 0, F.lit("")).otherwise(F.col("c_nationkey").cast("string"))
+    line = F.concat_ws(",", num, "c_name", F.when(key % 13 != 0, balance))
+    header = spark.createDataFrame([("NUM,NAME,NATION",)], "value string")
+    path = scratch_path(spark, "customer-text")
+    c.select(line.alias("value")).unionAll(header).write.text(path)
+    return path
+
+
+_NUM_CELL = "case when c_custkey % 7 = 0 then {} else {} end"
+_NATION_CELL = "case when c_custkey % 13 = 0 or c_custkey % 11 = 0 then null else {} end"
+
+
+@register("external_bad_cells", "S7 N1",
+          f"select {_NUM_CELL.format('null', 'cast(c_custkey as integer)')} as NUM, rpad(c_name, 100, ' ') as NAME, "
+          f"{_NATION_CELL.format('cast(c_nationkey as integer)')} as NATION from customer "
+          "union all select null, rpad('NAME', 100, ' '), null")
+def q_external_bad_cells(spark, sf_dir):
+    """Text typed by DDL: what does not parse is NULL, the header line's cells too."""
+    _scratch_db(spark)
+    return catalog.create_delimited_table(
+        spark, "nimbus_scratch.customer_messy", "NUM INT, NAME CHAR(100), NATION INT", _messy_customers(spark, sf_dir)
+    )
+
+
+@register("csv_positional_header", "S3",
+          f"select {_NUM_CELL.format(chr(39) + 'n/a' + chr(39), 'cast(c_custkey as varchar)')} as _c0, c_name as _c1, "
+          f"{_NATION_CELL.format('cast(c_nationkey as varchar)')} as _c2 from customer union all select 'NUM', 'NAME', 'NATION'")
+def q_csv_positional_header(spark, sf_dir):
+    """By position, the header line is a row like the others."""
+    return sources.read_csv_positional(spark, _messy_customers(spark, sf_dir), n_columns=3)
+
+
+@register("write_counts", "A8 T2 T3 T4", with_roles(
+    "select 'bronze' as stage, count(*) as n from bronze union all select 'silver', count(*) from silver union all "
+    + " union all ".join(f"select '{name}', count(*) from ({mart_sql(rules)}) {name}" for name, rules in
+                         (("dm_risks", RISK_RULES), ("dm_tourism", TOURISM_RULES), ("dm_agriculture", AGRI_RULES)))))
+def q_write_counts(spark, sf_dir):
+    """What the writes of the pipeline counted themselves, a row a stage."""
+    return stages.written_counts(spark, sf_dir)
+
+
+def _mode_sql(mode: str, bounds: bool) -> str:
+    more = "(l_discount + l_tax) / 2 as avg, l_discount as lcl2, l_tax as ucl2" if bounds else "null as avg, null as lcl2, null as ucl2"
+    return f"select '{mode}' as mode, l_orderkey, l_linenumber, l_discount as lcl, l_tax as ucl, {more} from lineitem"
+
+
+@register("interval_midpoint_modes", "P18 P5 P6 F8",
+          " union all ".join([_mode_sql("", True), _mode_sql("noop", False), _mode_sql("full", False)]))
+def q_interval_midpoint_modes(spark, sf_dir):
+    """The chain in its three modes; a mode that leaves columns out has NULL there."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_tax")
+    made = [transforms.interval_midpoint(li, "l_discount", "l_tax", m).withColumn("mode", F.lit(m)) for m in ("", "noop", "full")]
+    return harmonize.union_all_by_name(made, allow_missing=True)
+
+
+_SPARK_TYPES = "case {} when 'BIGINT' then 'long' when 'INTEGER' then 'integer' when 'DOUBLE' then 'double' " \
+               "when 'VARCHAR' then 'string' when 'DATE' then 'date' when 'TIMESTAMP' then 'timestamp_ntz' else {} end"
+_LINEITEM = ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag "
+             "l_linestatus l_shipdate").split()
+
+
+def _schema_sql() -> str:
+    kind = lambda c: _SPARK_TYPES.format(f"typeof(any_value({c}))", f"typeof(any_value({c}))")
+    return " union all ".join(
+        f"select {i} as position, '{c}' as name, {kind(c)} as type, true as nullable, count(*) as n_rows, "
+        f"count({c}) as n_values from lineitem" for i, c in enumerate(_LINEITEM)
+    )
+
+
+@register("schema_export", "K4 C7", _schema_sql())
+def q_schema_export(spark, sf_dir):
+    """A table's schema JSON as rows, with the values that each column holds."""
+    return sinks.schema_rows(table(spark, sf_dir, "lineitem").select(*_LINEITEM))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from nimbusmart.operators.marts import build_mart
 from nimbusmart.operators.serving import open_mart
 from nimbusmart.plans import roles
 from nimbusmart.plans.pipeline import run_pipeline
-from nimbusmart.session import checkpoint_dir, exists
+from nimbusmart.plans.reuse import reused
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,21 +34,36 @@ def mart(spark: SparkSession, sf_dir: str, name: str = "dm_risks") -> DataFrame:
     return build_mart(silver(spark, sf_dir), MARTS[name])
 
 
-def gold_registry(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Where the written marts of ``sf_dir`` are: name -> Parquet path.
+INPUTS = ("lineitem", "supplier", "nation", "region")
+
+
+def written_layers(spark: SparkSession, sf_dir: str, max_age: float | None = None) -> str:
+    """The folder of the written pipeline over ``sf_dir``: bronze, silver, gold and,
+    in ``counts``, the rows that each write counted.
 
-    The ETL writes bronze, silver and the marts once per session and input
-    folder, under the shared folder of ``spark.checkpoint.dir``; every later
-    call only looks the paths up. The last thing a write makes is its
-    ``_SUCCESS`` file, so a run that broke off is done again.
+    It is written under the shared folder of ``spark.checkpoint.dir`` and used again
+    as long as the input files stay the same, and for ``max_age`` seconds at most.
     """
-    base = f"{checkpoint_dir(spark)}/marts/{hashlib.md5(sf_dir.rstrip('/').encode()).hexdigest()}"
-    paths = {name: f"{base}/gold/{name}" for name in MARTS}
-    if not all(exists(spark, f"{path}/_SUCCESS") for path in paths.values()):
-        run_pipeline(
+
+    def build(base: str) -> None:
+        res = run_pipeline(
             spark, roles.weather(spark, sf_dir), roles.cities(spark, sf_dir), roles.countries(spark, sf_dir), base
         )
-    return paths
+        spark.createDataFrame(list(res.rows.items()), "stage string, n long").write.parquet(f"{base}/counts")
+
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in INPUTS]
+    return reused(spark, "layers", inputs, build, max_age)
+
+
+def gold_registry(spark: SparkSession, sf_dir: str, max_age: float | None = None) -> dict[str, str]:
+    """Where the written marts of ``sf_dir`` are: name -> Parquet path."""
+    base = written_layers(spark, sf_dir, max_age)
+    return {name: f"{base}/gold/{name}" for name in MARTS}
+
+
+def written_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(stage, n): the rows of every layer and mart, as counted by its write."""
+    return spark.read.parquet(f"{written_layers(spark, sf_dir)}/counts")
 
 
 def served_mart(spark: SparkSession, sf_dir: str, name: str = "dm_risks") -> DataFrame:

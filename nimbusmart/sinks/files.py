@@ -10,8 +10,9 @@ path that the same plan reads (N15).
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,19 +33,23 @@ def write_partitioned_parquet(
     dynamic_overwrite: bool = False,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
     observation: Observation | None = None,
+    observed: Mapping[str, Column] | None = None,
+    laid_out: bool = False,
 ) -> str:
     """Hive-style ``key=value`` Parquet dataset (K1). ``overwrite`` replaces the
     whole dataset unless ``dynamic_overwrite`` limits it to the partitions being
     written. Rows with a NULL key go to ``__HIVE_DEFAULT_PARTITION__``.
 
-    ``observation`` receives ``rows`` = rows written. It is attached above the
-    rebalance exchange, i.e. in the write's result stage, whose task updates are
+    ``laid_out`` says that the rows already stand by partition, so they are not
+    moved again. ``observation`` receives ``rows`` = rows written and what
+    ``observed`` adds. It is attached above the rebalance exchange, i.e. in the write's result stage, whose task updates are
     applied once even when a lost executor makes Spark re-run map stages.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    balanced = _balanced(df, cols)
+    balanced = df if laid_out else _balanced(df, cols)
     if observation is not None:
-        balanced = balanced.observe(observation, F.count(F.lit(1)).alias("rows"))
+        more = [c.alias(name) for name, c in (observed or {}).items()]
+        balanced = balanced.observe(observation, F.count(F.lit(1)).alias("rows"), *more)
     writer = (
         balanced
         .write.mode(mode)
@@ -94,5 +99,20 @@ def schema_json(df: DataFrame, indent: int | None = 2) -> str:
     return json.dumps(json.loads(df.schema.json()), indent=indent)
 
 
+def schema_rows(df: DataFrame) -> DataFrame:
+    """The schema JSON as rows, next to what the table holds (K4, C7): position,
+    name, type (JSON text for nested types), nullable, and the rows and values of
+    each column, counted in one pass without a shuffle of the table."""
+    spark = df.sparkSession
+    fields = "struct<fields:array<struct<name:string,type:string,nullable:boolean>>>"
+    text = spark.createDataFrame([(schema_json(df, None),)], "json string")
+    schema = text.select(F.posexplode(F.from_json("json", fields)["fields"]).alias("position", "f"))
+    counted = [F.struct(F.lit(i).alias("at"), F.count(F.col(f"`{c}`")).alias("n_values")) for i, c in enumerate(df.columns)]
+    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*counted).alias("counts"))
+    counts = counts.select("n_rows", F.explode("counts").alias("c")).select("n_rows", "c.*")
+    joined = schema.join(counts, F.col("position") == F.col("at"))
+    return joined.select("position", "f.name", "f.type", "f.nullable", "n_rows", "n_values")
+
+
 def schema_from_json(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -92,3 +93,19 @@ def register_parquet_table(spark: SparkSession, name: str, path: str, replace: b
 
 def _is_partitioned(spark: SparkSession, name: str) -> bool:
     return any(c.isPartition for c in spark.catalog.listColumns(name))
+
+
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
+def list_partitions(spark: SparkSession, name: str) -> DataFrame:
+    """The partitions of a catalog table, one row each, with the partition columns
+    in their types (``SHOW PARTITIONS``, K2). Only the catalog is read. The NULL
+    partition comes out as NULL."""
+    spec = spark.sql(f"SHOW PARTITIONS {_ident(name)}")
+    keys = [c for c in spark.catalog.listColumns(name) if c.isPartition]
+    # The catalog writes a value as in the folder's name: special characters as %XX.
+    part = lambda i: F.substring_index(F.get(F.split("partition", "/"), F.lit(i)), "=", -1)
+    value = lambda i: F.url_decode(F.replace(part(i), F.lit("+"), F.lit("%2B")))
+    typed = [F.when(~part(i).isin(HIVE_NULL, "null"), value(i)).try_cast(c.dataType).alias(c.name) for i, c in enumerate(keys)]
+    return spec.select(*typed)

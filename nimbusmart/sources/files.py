@@ -38,10 +38,15 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_csv_positional(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_csv_positional(spark: SparkSession, path: str, sep: str = ",", n_columns: int | None = None) -> DataFrame:
     """CSV read without a header: string columns ``_c0, _c1, ...``; a header
-    line in the file is returned as an ordinary row (S3)."""
-    return spark.read.option("header", False).option("sep", sep).csv(path)
+    line in the file is returned as an ordinary row (S3). Spark takes the number
+    of columns from the first line it meets; ``n_columns`` fixes it instead, where
+    some lines end early."""
+    reader = spark.read.option("header", False).option("sep", sep)
+    if n_columns is not None:
+        reader = reader.schema(", ".join(f"_c{i} string" for i in range(n_columns)))
+    return reader.csv(path)
 
 
 def read_json(
@@ -57,3 +62,15 @@ def read_json(
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """Plain text, one row per line in a ``value`` column."""
     return spark.read.text(path)
+
+
+def partition_bytes(spark: SparkSession, path: str, column: str) -> dict[str, int]:
+    """Bytes below each ``column=value`` folder of ``path``, from the store's listing."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = {}
+    for status in fs.listStatus(root):
+        key, _, value = status.getPath().getName().partition("=")
+        if status.isDirectory() and key == column:
+            out[value] = fs.getContentSummary(status.getPath()).getLength()
+    return out
