@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 _U = np.uint64
 # Odd 64-bit multipliers and their inverses modulo 2**64.
@@ -17,6 +18,9 @@ _WORD = 0x9E3779B97F4A7C15
 _GRAM = 0xD6E8FEB86659FD93
 _GRAM_ALT = 0xA0761D6478BD642F
 SLICE_BYTES = 1 << 20
+# A sum of powers modulo 2^64 tells short words apart; of long ones there are
+# families with equal sums for every multiplier, so they get a hash of another kind.
+LONG_WORD = 32
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -81,7 +85,10 @@ def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         up, down = _WORD_POWERS.get(len(part) + 1)
         sums = np.zeros(len(part) + 1, dtype=_U)
         np.cumsum((part.astype(_U) + _U(1)) * up[: len(part)], out=sums[1:])
-        hashes.append(mix((sums[end] - sums[begin]) * down[begin]))
+        found = mix((sums[end] - sums[begin]) * down[begin])
+        for i in np.flatnonzero(end - begin >= LONG_WORD).tolist():
+            found[i] = xxhash.xxh3_64_intdigest(text[lo + begin[i] : lo + end[i]])
+        hashes.append(found)
         starts.append(begin + lo)
     if not hashes:
         return np.zeros(0, dtype=_U), np.zeros(0, dtype=np.int64)

@@ -27,8 +27,9 @@ a region of n classes of similar size makes about n^2 / 1024 rows.
 Defined cases: a document without words or text has an empty set, links with
 nothing and stays. With fewer words than a shingle, the whole sequence is the
 shingle. A row without id takes no part and is kept, with no component. Rows
-that share an id are one node. An empty table gives an empty result; other
-columns pass through ``drop_near_duplicates`` unchanged.
+that share an id and have words are linked with each other, whatever their texts;
+``drop_near_duplicates`` keeps or drops them together. An empty table gives an
+empty result; other columns pass through ``drop_near_duplicates`` unchanged.
 """
 
 from __future__ import annotations
@@ -72,23 +73,24 @@ def _sets(texts: list[str], n: int) -> list[np.ndarray]:
 
 
 def _frame(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def _signatures(n: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("signature", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n_shingles", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("signature", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers = minhash_multipliers(VALUES)
         for batch in batches:
             for lo in range(0, batch.num_rows, BATCH):
                 part = batch.slice(lo, BATCH)
-                sets = _sets([t or "" for t in part.column(1).to_pylist()], n)
+                sets = _sets([t or "" for t in part.column(2).to_pylist()], n)
                 digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), dtype="<i8").reshape(-1, 2)
                 signed = [minhash(s, multipliers).tobytes() if len(s) else None for s in sets]
-                yield _frame(schema, part.column(0).to_pylist(), [len(s) for s in sets], digests[:, 0].copy(), digests[:, 1].copy(), signed)
+                yield _frame(schema, part.column(0), part.column(1), [len(s) for s in sets], digests[:, 0].copy(), digests[:, 1].copy(), signed)
 
-    return run, "doc_id long, n_shingles long, high long, low long, signature binary"
+    return run, "doc_id long, key long, n_shingles long, high long, low long, signature binary"
 
 
 def _signature_matrix(column: pa.Array, kind=np.uint32) -> np.ndarray:
@@ -390,7 +392,7 @@ def _confirm(percent: int):
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             u, v = [], []
             for i, j, x, y in zip(a, b, batch.column(2), batch.column(3), strict=True):
-                p, q = _unpack(x.as_py()), _unpack(y.as_py())
+                p, q = np.unique(_unpack(x.as_py())), np.unique(_unpack(y.as_py()))
                 common = len(np.intersect1d(p, q, assume_unique=True))
                 if 100 * common >= percent * (len(p) + len(q) - common):
                     u.append(i)
@@ -408,15 +410,37 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, ddl)
 
 
+def _same_id(usable: DataFrame, classes: DataFrame) -> tuple[DataFrame | None, bool]:
+    """Links (u, v) between the classes of rows that share an id, each to the
+    smallest of them; and whether any id is repeated at all."""
+    digest = F.struct("high", "low")
+    ids = usable.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(digest).alias("least"), F.max(digest).alias("most"))
+    ids = materialise(ids.where("n > 1").select("doc_id", (F.col("least") != F.col("most")).alias("differ")), "repeated-ids")
+    differ = ids.where("differ").select("doc_id")
+    if differ.isEmpty():
+        return None, not ids.isEmpty()
+    nodes = usable.join(differ, "doc_id").join(classes.select("high", "low", "node"), ["high", "low"])
+    nodes = materialise(nodes.select("doc_id", "node").distinct(), "repeated-id-nodes")
+    least = materialise(nodes.groupBy("doc_id").agg(F.min("node").alias("v")), "repeated-id-least")
+    return nodes.join(least, "doc_id").where("node <> v").select(F.col("node").alias("u"), "v"), True
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    text = F.col("text")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text)
     run, ddl = _signatures(shingle_words)
     signed = materialise(base.mapInArrow(run, ddl), "signatures")
 
     usable = signed.where("doc_id is not null and n_shingles > 0")
-    classes = usable.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    # A class is a node of its own, named by its row in the table written here. The
+    # smallest (doc_id, key) leads to a text of it.
+    classes = usable.groupBy("high", "low").agg(
+        F.min(F.struct("doc_id", "key")).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
+    )
+    classes = classes.select("high", "low", "first.doc_id", "first.key", "n_shingles", "signature", F.monotonically_increasing_id().alias("node"))
     classes = materialise(classes, "classes")
+    same_id, repeated = _same_id(usable, classes)
     run, ddl = _low_bytes()
     nodes = classes.select("node", "n_shingles", "signature").mapInArrow(run, ddl)
     nodes = materialise(nodes.withColumn("label", F.col("node")), "class-nodes")
@@ -430,9 +454,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         involved = involved.union(crowded)
     involved = materialise(involved.distinct(), "involved")
     run, ddl = _packed_sets(shingle_words)
-    texts = base.where("text is not null").join(involved.hint("merge"), F.col("doc_id") == F.col("node"), "left_semi")
+    leads = involved.join(classes.select("node", "doc_id", "key"), "node")
+    texts = base.where("text is not null").join(leads.hint("merge"), ["doc_id", "key"]).select("node", "text")
+    if repeated:  # the row that leads to a class may be there several times
+        texts = texts.groupBy("node").agg(F.first("text").alias("text"))
     sets = materialise(texts.mapInArrow(run, ddl), "shingle-sets")
-    links = materialise(_links(first, sets, percent), "forest-links")
+    links = _links(first, sets, percent)
+    links = materialise(links if same_id is None else links.unionAll(same_id), "forest-links")
     roots = components(links, "forest-components")
 
     labelled = nodes.drop("label").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
@@ -442,9 +470,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more), "components")
 
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("root", "node", "doc_id"))
-    member = classes.select("high", "low", "node").join(roots, "node", "left")
-    out = signed.select("doc_id", "n_shingles", "high", "low").join(materialise(member, "class-roots"), ["high", "low"], "left")
+    member = classes.select("high", "low", "node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    member = materialise(member.select("high", "low", "root", "doc_id"), "class-roots")
+    least = materialise(member.groupBy("root").agg(F.min("doc_id").alias("least")), "component-ids")
+    member = materialise(member.join(least, "root").select("high", "low", "least"), "class-components")
+    out = signed.select("doc_id", "n_shingles", "high", "low").join(member, ["high", "low"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
@@ -452,4 +483,4 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id."""
     gone = near_duplicates(docs, shingle_words, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")

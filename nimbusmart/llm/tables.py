@@ -28,6 +28,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever characters their names hold."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names`` for helper columns, lengthened until ``df`` has none of them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words(text: Column) -> Column:
     """The words of a text, none for null."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

@@ -97,3 +97,30 @@ def near(rows, n, percent=80):
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
     return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def near_rows(rows, n, percent=80):
+    """Per row: (doc_id, size of the set, component), where ids may be repeated with
+    different texts: such rows are linked."""
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        k = min(n, len(w))
+        sets.append({tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if w else set())
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a + 1, len(rows)):
+            common = len(sets[a] & sets[b])
+            alike = 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common)
+            if sets[a] and sets[b] and (alike or rows[a][0] == rows[b][0]):
+                root[find(b)] = find(a)
+    least = {}
+    for a, (i, _) in enumerate(rows):
+        least[find(a)] = min(least.get(find(a), i), i)
+    return [(i, len(s), least[find(a)]) for a, ((i, _), s) in enumerate(zip(rows, sets))]

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from brute import near
+from brute import near, near_rows
 from pyspark.sql import functions as F
 
 from nimbusmart.llm import licenses, neardup, packing, topk
@@ -75,6 +75,32 @@ def test_one_document_of_each_group_stays(docs, rows):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == want
 
 
+def test_one_id_with_many_texts(spark):
+    """Each text is a class of its own; the id links them, and nothing multiplies."""
+    r = random.Random(8)
+    prose = lambda n: " ".join("w%d" % r.randint(0, 10_000) for _ in range(n))
+    rows = [(7, prose(30)) for _ in range(500)] + [(7, None), (7, "")]
+    rows += [(9, rows[3][1] + " more"), (3, rows[4][1]), (20, prose(40)), (20, prose(40)), (21, prose(40))]
+    rows += [(21, rows[-1][1])] * 5 + [(30, rows[-1][1] + " end"), (30, rows[-1][1] + " end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((x.doc_id, x.n_shingles, x.component_id) for x in neardup.near_duplicates(df).collect())
+    assert got == sorted(near_rows(rows, neardup.SHINGLE_WORDS))
+    assert {x.doc_id for x in neardup.drop_near_duplicates(df).collect()} == {3, 20, 21}
+
+
+def test_words_with_equal_sums_of_powers_are_told_apart(spark):
+    """Thue-Morse words collide under every multiplier modulo 2^64."""
+    from nimbusmart.llm.hashing import word_hashes
+
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+        other = word.translate(str.maketrans("ab", "ba"))
+        assert len(set(word_hashes(f"{word} {other}".encode())[0].tolist())) == 2
+    df = spark.createDataFrame([(1, word), (2, other), (3, word)], "doc_id long, text string")
+    assert {x.doc_id: x.component_id for x in neardup.near_duplicates(df).collect()} == {1: 1, 2: 2, 3: 1}
+
+
 def test_regions_that_are_too_large_go_deeper_and_are_cut(spark, monkeypatch):
     """Small regions: every level and the blocks at the last one are used."""
     r = random.Random(3)
