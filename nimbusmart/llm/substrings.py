@@ -164,8 +164,11 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
     # Exact copies: all but the smallest (doc_id, key) of a text.
     digests = known.select("doc_id", "key", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"))
     firsts = digests.groupBy("a", "b").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.count("*").alias("n"))
+    # Written first, so that a text with very many copies meets a plain table, and
+    # the skew join can split it.
+    firsts = materialise(firsts.where("n > 1").select("a", "b", "first"), "substring-firsts")
     copies = (
-        digests.join(firsts.where("n > 1"), ["a", "b"])
+        digests.join(firsts, ["a", "b"])
         .where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("key") != F.col("first.key")))
         .select("doc_id", "key", F.array().cast("array<int>").alias("shared"))
         .distinct()
