@@ -117,7 +117,8 @@ def _block(key: Column, blocks: int, salt: int) -> Column:
 
 
 def exact_topk(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score from (id, v) queries and candidates."""
+    """query_id, rank, vec_id, score from (id, v) queries and candidates, the latter
+    a written table (see ``vector_table``): its row numbers stay in a retry."""
     pivots = pick_pivots(candidates)
     n_blocks = max(1, -(-candidates.count() // BLOCK))
     queries = queries.groupBy("id").agg(F.min("v").alias("v"))
@@ -134,7 +135,8 @@ def exact_topk(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFra
         return rows.select("id", "v").mapInArrow(table_of, "id long, v array<long>, d array<double>")
 
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    c = pivoted(candidates).withColumn("c_block", _block(F.col("id"), n_blocks, 1)).withColumn("q_block", every(q_blocks))
+    # Blocks by the row's number in its table, so that rows of one id spread as well.
+    c = pivoted(candidates).withColumn("c_block", _block(F.monotonically_increasing_id(), n_blocks, 1)).withColumn("q_block", every(q_blocks))
     q = pivoted(queries).withColumn("q_block", _block(F.col("id"), q_blocks, 2)).withColumn("c_block", every(n_blocks))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:

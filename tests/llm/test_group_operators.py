@@ -242,6 +242,23 @@ def test_topk_matches_brute_force(spark, monkeypatch, block):
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
 
 
+def test_topk_rows_of_one_id_spread(spark, monkeypatch):
+    """A third of the rows has one id: no block holds more than its share."""
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    r = random.Random(2)
+    vector = lambda: [r.randint(-900, 900) / 1024 for _ in range(6)]
+    rows = [(7, vector()) for _ in range(300)] + [(i, vector()) for i in range(100, 700)]
+    vectors = topk.vector_table(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    sizes = [x["count"] for x in vectors.groupBy(topk._block(F.monotonically_increasing_id(), 15, 1)).count().collect()]
+    assert max(sizes) < 120
+    whole = [(i, [int(x * 1024 // 1) for x in v]) for i, v in rows]
+    got = {(x.query_id, x.rank): (x.score, x.vec_id) for x in topk.exact_topk(vectors.where("id % 100 = 0"), vectors, 10).collect()}
+    for q, v in whole:
+        if q % 100 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q)[:10]
+            assert [got[q, k + 1] for k in range(10)] == [(-s, i) for s, i in best]
+
+
 def test_topk_few_candidates_and_empty(spark):
     rows = [(100, [0.5, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0])]
     found = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding")
