@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -79,23 +80,59 @@ def _text_kinds(attributes: str) -> tuple[set[str], str]:
     return kinds, mark
 
 
+class _Open:
+    """The open elements, with the places of each name, so that no end tag has to
+    walk up a deep page."""
+
+    def __init__(self, page: Page):
+        self.page = page
+        self.stack = [0]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of elements that aren't inline
+
+    def push(self, element: int) -> None:
+        tag = self.page.tag[element]
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(element)
+
+    def last(self, names: Iterable[str]) -> int:
+        """The innermost place of an element of these names; 0 if none is open."""
+        return max((self.places[t][-1] for t in names if self.places.get(t)), default=0)
+
+    def close(self, place: int) -> None:
+        """Closes the element at ``place`` and all in it."""
+        for element in reversed(self.stack[place:]):
+            tag = self.page.tag[element]
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+        del self.stack[place:]
+
+    def close_to(self, names: set[str], scope: set[str]) -> None:
+        """Closes the innermost of ``names``, unless one of ``scope`` (none given: any
+        element that isn't inline) stands further in."""
+        place = self.last(names)
+        if place and place >= (self.last(scope) if scope else self.blocks[-1] if self.blocks else 0):
+            self.close(place)
+
+    def end(self, tag: str) -> None:
+        """The end tag of ``tag``: one of an inline element doesn't leave its block."""
+        place = self.last((tag,))
+        if place and not (tag in INLINE and self.blocks and self.blocks[-1] > place):
+            self.close(place)
+
+
 def parse(source: str) -> Page:
     page = Page()
-    open_ = [0]
+    open_ = _Open(page)
     at, n = 0, len(source)
-
-    def close_to(names: set[str], scope: set[str]) -> None:
-        for k in range(len(open_) - 1, 0, -1):
-            tag = page.tag[open_[k]]
-            if tag in names:
-                del open_[k:]
-                return
-            if tag in scope or (not scope and tag not in INLINE):
-                return
+    unended: set[str] = set()  # elements whose end tag doesn't come any more
 
     def text(s: str) -> None:
         if s:
-            page.pieces.append((open_[-1], html.unescape(s)))
+            page.pieces.append((open_.stack[-1], html.unescape(s)))
 
     while at < n:
         lt = source.find("<", at)
@@ -123,19 +160,15 @@ def parse(source: str) -> Page:
         at = m.end()
         tag = m[2].lower()
         if tag not in INLINE:
-            page.pieces.append((open_[-1], None))
+            page.pieces.append((open_.stack[-1], None))
         if m[1]:
-            if tag in ("html", "body"):
-                continue
-            for k in range(len(open_) - 1, 0, -1):
-                if page.tag[open_[k]] == tag:
-                    del open_[k:]
-                    break
-                if tag in INLINE and page.tag[open_[k]] not in INLINE:
-                    break
+            if tag not in ("html", "body"):
+                open_.end(tag)
             continue
         if tag in RAW or tag in UNREAD:
-            end = _ENDS[tag].search(source, at)
+            end = None if tag in unended else _ENDS[tag].search(source, at)
+            if end is None:
+                unended.add(tag)
             if tag == "head":
                 at = end.start() if end else at
                 continue
@@ -146,20 +179,20 @@ def parse(source: str) -> Page:
                 at = n
             continue
         if tag in CLOSE_P:
-            close_to({"p"}, SCOPES["p"])
+            open_.close_to({"p"}, SCOPES["p"])
         if tag in CLOSES:
-            close_to(CLOSES[tag], SCOPES.get(tag, set()))
+            open_.close_to(CLOSES[tag], SCOPES.get(tag, set()))
         if tag in VOID:
             if tag == "br":
                 text(" ")
             continue
         kinds, mark = _text_kinds(m[3])
         page.tag.append(tag)
-        page.parent.append(open_[-1])
+        page.parent.append(open_.stack[-1])
         page.kinds.append(kinds)
         page.mark.append(mark)
         if not m[3].endswith("/"):
-            open_.append(len(page.tag) - 1)
+            open_.push(len(page.tag) - 1)
     return page
 
 
