@@ -12,13 +12,13 @@ lengths, so the padded total is less than 0.8 % over the least possible one.
 
 Batches hold as many documents of one bucket as fit the token budget at the
 padded length, at least one. A document's place in its bucket is by (shard,
-doc_id), where a shard is a hash of the id that keeps about ``SHARD`` documents:
-places within a shard are counted per shard, the shards' sizes are summed up in
+doc_id), where a shard is a hash of the id, or of the row where more than ``SHARD``
+rows share an id or have none, that keeps about ``SHARD`` documents: places within a shard are counted per shard, the shards' sizes are summed up in
 two levels, so no bucket is ever sorted in one task. All batches of a bucket but its last
 are full.
 
 Defined cases: a null or empty text has length 0 and is packed like any other; a
-row without id counts as id -1 for its place. Texts longer than the budget have
+row without id counts as id -1 for its order in a shard. Texts longer than the budget have
 a batch each. Rows that repeat an id keep their own places, in any order. An
 empty table gives an empty result; other columns are not looked at.
 """
@@ -80,7 +80,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, sh
     """doc_id, n_tokens, bucket (from 0), bucket_tokens (its padded length),
     batch (from 0 in each bucket) and place (from 0 in each batch)."""
     spark = docs.sparkSession
-    sized = materialise(lengths(docs), "lengths")
+    sized = materialise(lengths(docs).withColumn("row", F.monotonically_increasing_id()), "lengths")
     histogram = sized.groupBy("grid").agg(F.count("*").alias("count"), F.max("n_tokens").alias("longest")).orderBy("grid").collect()
     values = np.array([r["grid"] for r in histogram], dtype=np.int64)
     counts = np.array([r["count"] for r in histogram], dtype=np.int64)
@@ -90,7 +90,15 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, sh
     # The bounds are a handful of literals: no join.
     bucket = sum((F.when(F.col("grid") > b, 1).otherwise(0) for b in bounds[:-1]), F.lit(0))
     shards = max(1, -(-int(counts.sum()) // shard))
-    digest = F.conv(F.substring(F.md5(F.coalesce("doc_id", F.lit(-1)).cast("string")), 1, 8), 16, 10).cast("long")
+    # Rows of an id with very many of them, or without id, are dealt by their row in
+    # the table written above; all others by their id, so that places repeat.
+    crowd = materialise(sized.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > shard).select("doc_id"), "crowded-ids")
+    name = F.col("doc_id").cast("string")
+    if not crowd.isEmpty():
+        crowded = crowd.select(F.col("doc_id").alias("crowd"), F.lit(True).alias("dealt"))
+        sized = sized.join(crowded, F.col("doc_id").eqNullSafe(F.col("crowd")), "left")
+        name = F.when(F.col("dealt"), F.concat(F.lit("row "), F.col("row").cast("string"))).otherwise(name)
+    digest = F.conv(F.substring(F.md5(F.coalesce(name, F.lit("-1"))), 1, 8), 16, 10).cast("long")
     placed = sized.select("doc_id", "n_tokens", bucket.cast("int").alias("bucket"), (digest % shards).alias("shard"))
 
     within = Window.partitionBy("bucket", "shard").orderBy(F.coalesce("doc_id", F.lit(-1)), "n_tokens")

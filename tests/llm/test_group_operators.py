@@ -333,6 +333,22 @@ def test_batches_keep_the_budget_and_every_document(docs, rows, none):
     assert packing.pack(none).count() == 0
 
 
+@pytest.mark.parametrize("ids", [[None], [5], [None, 5, 6]])
+def test_rows_without_ids_and_of_one_id_spread(spark, ids):
+    """No shard holds many more rows than it should, and no place is given twice."""
+    n = 4000
+    df = spark.createDataFrame([(ids[i % len(ids)], "w " * (i % 40)) for i in range(n)], "doc_id long, text string").repartition(5)
+    out = packing.pack(df, shard=100, budget=500)
+    rows = out.collect()
+    assert len(rows) == n and len({(r.bucket, r.batch, r.place) for r in rows}) == n
+    batches = {}
+    for r in rows:
+        batches.setdefault((r.bucket, r.batch), []).append(r)
+    for (bucket, batch), members in batches.items():
+        assert len(members) * max(members[0].bucket_tokens, 1) <= 500
+        assert sorted(r.place for r in members) == list(range(len(members)))
+
+
 def test_bounds_are_lengths_that_occur(spark):
     r = random.Random(10)
     lengths = [r.choice([3, 200, 257, 259, 700, 1001, 1003, 5001, 5003, 9999]) for _ in range(80)]
