@@ -7,7 +7,8 @@ candidate is a run of at least ``MIN_RANDOM`` key characters; known digests,
 UUIDs, numbers and identifiers built from words are left out, and of the others
 those with at most ``MAX_CHARS_PER_TOKEN`` characters a token are secrets of kind
 ``random``. So that words joined to a key don't hide it, a run that is none as a
-whole is looked at in parts: what is left between its ordinary words, and its
+whole is looked at in parts: what base spans leave of it, what is left between its
+ordinary words, and its
 alphanumeric pieces, which are secrets if any ``MIN_RANDOM`` characters of
 theirs are. Letters alone are judged like any other string.
 
@@ -32,6 +33,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nimbusmart.llm.tables import columns_of
+
 # The base patterns, letters of ASCII only.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -129,28 +132,48 @@ def random_parts(s: str, enc: tiktoken.Encoding) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _left_over(start: int, end: int, held: list[tuple[int, int]], k: int) -> Iterator[tuple[int, int]]:
+    """What the spans ``held``, sorted by start, leave of a run of key characters;
+    those before the ``k``-th end before it."""
+    while k < len(held) and held[k][0] < end:
+        if held[k][0] > start:
+            yield start, held[k][0]
+        start = max(start, held[k][1])
+        k += 1
+    if start < end:
+        yield start, end
+
+
 def spans_of(text: str, enc: tiktoken.Encoding) -> list[tuple[int, int, int]]:
     found = base_spans(text)
     if any(len(w) >= MIN_RANDOM for w in text.split()):
-        held = [(a, b) for a, _, b in found]
+        held = sorted((a, b) for a, _, b in found)
+        k = 0
         for m in CANDIDATE.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b in held):
-                found += [(m.start() + a, 3, m.start() + b) for a, b in random_parts(m[0], enc)]
+            while k < len(held) and held[k][1] <= m.start():
+                k += 1
+            for start, end in _left_over(m.start(), m.end(), held, k):
+                if end - start >= MIN_RANDOM:
+                    found += [(start + a, 3, start + b) for a, b in random_parts(text[start:end], enc)]
     return sorted(found)
 
 
 def _mapped(docs: DataFrame, column: str, kind: pa.DataType, ddl: str, text: str, make: Callable) -> DataFrame:
     """``docs`` with ``column`` replaced or added by ``make(text)`` for each row."""
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != column]
-    keep = [f.name for f in docs.schema.fields if f.name != column]
+    null_stays = column == text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([make(t or "") if t is not None or column != text else None for t in batch["__text"].to_pylist()], type=kind)
-            yield pa.RecordBatch.from_arrays([batch[c] for c in keep] + [made], names=[*keep, column])
+            texts = batch.column(1).to_pylist()
+            made = pa.array([None if t is None and null_stays else make(t or "") for t in texts], type=kind)
+            yield pa.RecordBatch.from_arrays([batch.column(0), made], names=["row", "made"])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
-    return source.mapInArrow(run, ", ".join([*fields, f"`{column}` {ddl}"]))
+    # The row travels as one struct, so no name of its columns can be in the way.
+    source = docs.select(F.struct(*columns_of(docs)).alias("row"), F.col(f"`{text}`").alias("made"))
+    schema = source.select("row", F.lit(None).cast(ddl).alias("made")).schema
+    names = docs.columns if column in docs.columns else [*docs.columns, column]
+    out = [F.col("made").alias(c) if c == column else F.col("row").getField(c).alias(c) for c in names]
+    return source.mapInArrow(run, schema).select(*out)
 
 
 def find_secrets(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -174,7 +197,7 @@ def redact(docs: DataFrame, path: str, pattern: str, text: str = "text", mark: s
             end = max(end, b)
         return "".join([*out, t[end:]])
 
-    return _mapped(docs, text, pa.string(), "string", text, make).select(docs.columns)
+    return _mapped(docs, text, pa.string(), "string", text, make)
 
 
 def span_list(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
