@@ -7,9 +7,10 @@ lowered. Keys of at least ``MIN_CHARS`` code points that are found in at least
 Every line with a long enough key becomes a fingerprint with its document and
 position. Fingerprints are range-partitioned with a secondary sort by document
 (descending) and position; each partition streams its runs, keeps the first
-document's lines and gives out the others (see ``runs``). Only positions are
-shuffled, no text. The result is one compressed bitmap a document: bit i says
-whether line i stays. Documents are read once more only to apply it.
+document's lines and gives out the others (see ``runs``). Up to there only
+fingerprints and positions are shuffled. The result is one compressed bitmap a
+document: bit i says whether line i stays. It meets its document in a join on the
+id, which moves the texts once.
 
 Defined cases: a null or empty text is one empty line. A document without an id
 keeps its lines and counts for nobody. Rows with the same id and text are one
@@ -27,12 +28,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nimbusmart.llm.runs import repeats
-from nimbusmart.llm.tables import text_key
+from nimbusmart.llm.tables import columns_of, fresh, text_key
 
 MIN_CHARS, MIN_DOCS = 40, 5
 _STRIP = b" \t\n\x0b\f\r"
@@ -109,19 +110,23 @@ def apply_bitmap(text: str, bitmap: bytes | None) -> str:
     return "\n".join([line for line, k in zip(lines, keep.tolist(), strict=True) if k])
 
 
+def _with_lines(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFrame, Column]:
+    """``docs`` with a column of the positions that go (null: none), and that column."""
+    doc, key, lines = fresh(docs, "__id", "__key", "__lines")
+    keyed = docs.withColumns({key: text_key(F.col("text")), doc: F.col("doc_id").cast("long")})
+    lost = dropped_lines(docs, min_chars, min_docs).toDF(doc, key, lines)
+    return keyed.join(lost, [doc, key], "left"), F.col(lines)
+
+
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` (doc_id and text) with n_lines, n_dropped and ``keep``: the
     compressed bitmap of the lines that stay, null if all do."""
-    names = docs.columns
-    keyed = docs.withColumns({"__key": text_key(F.col("text")), "__id": F.col("doc_id").cast("long")})
-    lost = dropped_lines(docs, min_chars, min_docs).toDF("__id", "__key", "__lines")
-    n_lines = F.length(F.coalesce("text", F.lit(""))) - F.length(F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(""))) + 1
-
-    joined = keyed.join(lost, ["__id", "__key"], "left").withColumn("n_lines", n_lines.cast("long"))
-    n_dropped = F.when(F.col("__lines").isNull(), F.lit(0)).otherwise(F.size("__lines")).cast("long")
-    return joined.withColumns({"n_dropped": n_dropped, "keep": _bitmaps("n_lines", "__lines")}).select(
-        *[c for c in names if c not in ("n_lines", "n_dropped", "keep")], "n_lines", "n_dropped", "keep"
-    )
+    joined, lines = _with_lines(docs, min_chars, min_docs)
+    text = F.coalesce("text", F.lit(""))
+    n_lines = (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
+    n_dropped = F.when(lines.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
+    rest = [c for c, name in zip(columns_of(docs), docs.columns, strict=True) if name not in ("n_lines", "n_dropped", "keep")]
+    return joined.select(*rest, n_lines.alias("n_lines"), n_dropped.alias("n_dropped"), _bitmaps(n_lines, lines).alias("keep"))
 
 
 @F.pandas_udf(T.StringType())
@@ -144,10 +149,9 @@ def _cut(text: pd.Series, lines: pd.Series) -> pd.Series:
 
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` without the repeated lines; the columns stay as they are."""
-    keyed = docs.withColumns({"__key": text_key(F.col("text")), "__id": F.col("doc_id").cast("long")})
-    lost = dropped_lines(docs, min_chars, min_docs).toDF("__id", "__key", "__lines")
-    has = F.col("__lines").isNotNull()
-    cut = _cut(F.when(has, F.col("text")), F.col("__lines"))
-    joined = keyed.join(lost, ["__id", "__key"], "left")
-    return joined.withColumn("text", F.when(has, cut).otherwise(F.col("text"))).select(docs.columns)
+    """``docs`` without the repeated lines; the columns stay as they are. The bitmap
+    is made and applied in one step here; texts that lose nothing stay in the JVM."""
+    joined, lines = _with_lines(docs, min_chars, min_docs)
+    has = lines.isNotNull()
+    text = F.when(has, _cut(F.when(has, F.col("text")), lines)).otherwise(F.col("text")).alias("text")
+    return joined.select(*[text if name == "text" else c for c, name in zip(columns_of(docs), docs.columns, strict=True)])

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nimbusmart.llm.tables import SPACES, words
+from nimbusmart.llm.tables import SPACES, fresh, words
 
 # The symbols that are counted, and the most frequent function
 # words of the four languages.
@@ -168,10 +168,11 @@ def _base_failed(c: Column) -> Column:
 
 def quality_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with the base counts, ``base_failed`` and ``kept``."""
-    c = F.col("__counts")
-    counted = docs.withColumn("__counts", _counts(docs[text]))
+    (name,) = fresh(docs, "__counts")
+    c = F.col(name)
+    counted = docs.withColumn(name, _counts(docs[text]))
     results = {k: c[k] for k in BASE_COLUMNS} | {"base_failed": _base_failed(c), "kept": ~_base_failed(c) & _verdict(c, rules)}
-    return counted.withColumns(results).drop("__counts")
+    return counted.withColumns(results).drop(name)
 
 
 def quality_verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:

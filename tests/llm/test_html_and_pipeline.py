@@ -2,6 +2,9 @@ import os
 import shutil
 import subprocess
 import sys
+import time
+from functools import reduce
+from operator import and_
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +44,14 @@ def test_letters_that_grow_when_lowered_lose_no_text():
     assert text(dom.parse(f"<title>{many}</title><HEAD><meta></Head><body>{many}<p>one</p>")) == [many, "one"]
 
 
+@pytest.mark.parametrize("soup", ["<div></x>", "<p><i></b>", "<button>x", "<b><div><i></b>", "<table><td></i><div>", "<select><li>", "<svg></p>"])
+def test_a_megabyte_of_stray_tags_takes_seconds(soup):
+    source = soup * (1_000_000 // len(soup))
+    began = time.process_time()
+    dom.parse(source)
+    assert time.process_time() - began < 5
+
+
 def test_decoding_has_no_contradictions_and_is_best():
     import itertools
     import random
@@ -157,8 +168,12 @@ def test_stages_keep_columns_and_take_odd_rows(spark, rows, tmp_path):
 
     data = [(i, t, "en", "s", len(t or ""), "extra") for i, t in rows]
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long, key string")
+    helpers = ["__key", "__id", "__lines", "__text", "__counts", "a.b", "row", "made", "n_lines", "keep", "node", "label"]
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in helpers})
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, str(tmp_path))
+        same = [F.col(f"`{c}`").eqNullSafe(F.concat(F.lit(c), F.col("doc_id").cast("string"))) for c in helpers]
+        assert out.where(~reduce(and_, same)).count() == 0, name
         assert out.schema.names == docs.schema.names and out.dtypes == docs.dtypes, name
         assert out.where("n_chars <> length(text)").count() == 0
         out.write.parquet(f"{tmp_path}/{name}")
