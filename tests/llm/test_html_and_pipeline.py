@@ -201,7 +201,7 @@ def test_queries_match_their_sql(spark):
 
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{folder}/{t}.parquet')")
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     for name in [n for n in sql if n.startswith("op")]:
