@@ -1,14 +1,12 @@
-"""Packing: length buckets that are nearly optimal for the corpus, and batches in them.
-
-A document's length is its number of words. The lengths' histogram over the
-whole corpus is taken on a grid that is exact up to 256 and then has 128 steps
-for every doubling, so it has a few thousand entries at most whatever the
-corpus, and is the only thing that reaches the driver. Dynamic programming over
-it picks at most ``BUCKETS`` upper bounds that minimise the padded total of the
-lengths so rounded up; then each bound goes down to the largest length in its
-bucket, to which the bucket's documents are padded. If all lengths are 256 or
-less the bounds are optimal. Above, a grid value is less than 1/128 over its
-lengths, so the padded total is less than 0.8 % over the least possible one.
+"""Packing: length buckets that are optimal for the corpus, and batches in them.
+
+A document's length is its number of words. The histogram of all lengths is
+pre-aggregated by Spark, and is the only thing that reaches the driver: a row for
+each length that occurs, of which a corpus of w words has fewer than sqrt(2 w).
+Dynamic programming over it picks the at most ``BUCKETS`` upper bounds that
+minimise the padded total of the lengths so rounded up. A later length never cuts
+further left than an earlier one, so a step divides the lengths and conquers both
+halves, n log n in place of n^2.
 
 Batches hold as many documents of one bucket as fit the token budget at the
 padded length, at least one. A document's place in its bucket is by (shard,
@@ -26,21 +24,36 @@ empty table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nimbusmart.llm.tables import materialise, words
 
 BUCKETS, TOKEN_BUDGET = 16, 65_536
 SHARD, LEVEL = 1024, 1024
-_EXACT_BITS = 8  # lengths under 2^8 are grid values themselves
 
 
-def grid(length: Column) -> Column:
-    """The smallest grid value that is not under ``length``."""
-    bits = F.length(F.bin(F.greatest(length - 1, F.lit(1)))) - _EXACT_BITS
-    step = F.pow(F.lit(2.0), F.greatest(bits, F.lit(0))).cast("long")
-    return (F.ceil(length / step) * step).cast("long")
+def _one_more_bucket(cost: np.ndarray, values: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cost, cut) with a bucket more: the least of cost[i] + values[j - 1] * (below[j]
+    - below[i]) over i < j, and its smallest i. All segments of a depth at once."""
+    n = len(values)
+    best, cut = np.zeros(n + 1), np.zeros(n + 1, dtype=np.int64)
+    low, high, first, last = (np.array([x]) for x in (1, n, 0, n - 1))
+    while len(low):
+        mid = (low + high) // 2
+        size = np.minimum(last, mid - 1) - first + 1
+        start = np.cumsum(size) - size
+        of = np.repeat(np.arange(len(mid)), size)
+        i = np.arange(len(of)) - start[of] + first[of]
+        j = mid[of]
+        option = cost[i] + values[j - 1] * (below[j] - below[i]).astype(np.float64)
+        best[mid] = np.minimum.reduceat(option, start)
+        cut[mid] = np.minimum.reduceat(np.where(option == best[j], i, n), start)
+        low, high = np.concatenate([low, mid + 1]), np.concatenate([mid - 1, high])
+        first, last = np.concatenate([first, cut[mid]]), np.concatenate([cut[mid], last])
+        left = low <= high
+        low, high, first, last = low[left], high[left], first[left], last[left]
+    return best, cut
 
 
 def optimal_bounds(values: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> list[int]:
@@ -54,13 +67,7 @@ def optimal_bounds(values: np.ndarray, counts: np.ndarray, buckets: int = BUCKET
     cost = np.concatenate([[0.0], values * below[1:].astype(np.float64)])
     steps, totals = [np.zeros(n + 1, dtype=np.int64)], [cost[n]]
     for _ in range(1, min(buckets, n)):
-        best, cut = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=np.int64)
-        best[0] = 0
-        for j in range(1, n + 1):
-            options = cost[:j] + values[j - 1] * (below[j] - below[:j]).astype(np.float64)
-            cut[j] = int(options.argmin())
-            best[j] = options[cut[j]]
-        cost = best
+        cost, cut = _one_more_bucket(cost, values, below)
         steps.append(cut)
         totals.append(cost[n])
     level, j, bounds = int(np.argmin(totals)), n, []
@@ -71,9 +78,8 @@ def optimal_bounds(values: np.ndarray, counts: np.ndarray, buckets: int = BUCKET
 
 
 def lengths(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the grid value of every document."""
-    n = F.size(words(F.col("text"))).cast("long")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n_tokens")).withColumn("grid", grid(F.col("n_tokens")))
+    """doc_id and n_tokens of every document."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(words(F.col("text"))).cast("long").alias("n_tokens"))
 
 
 def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, shard: int = SHARD) -> DataFrame:
@@ -81,14 +87,14 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, sh
     batch (from 0 in each bucket) and place (from 0 in each batch)."""
     spark = docs.sparkSession
     sized = materialise(lengths(docs).withColumn("row", F.monotonically_increasing_id()), "lengths")
-    histogram = sized.groupBy("grid").agg(F.count("*").alias("count"), F.max("n_tokens").alias("longest")).orderBy("grid").collect()
-    values = np.array([r["grid"] for r in histogram], dtype=np.int64)
+    histogram = sized.groupBy("n_tokens").agg(F.count("*").alias("count")).orderBy("n_tokens").collect()
+    values = np.array([r["n_tokens"] for r in histogram], dtype=np.int64)
     counts = np.array([r["count"] for r in histogram], dtype=np.int64)
     bounds = optimal_bounds(values, counts, buckets)
     if not bounds:
         return spark.createDataFrame([], "doc_id long, n_tokens long, bucket int, bucket_tokens long, batch long, place long")
     # The bounds are a handful of literals: no join.
-    bucket = sum((F.when(F.col("grid") > b, 1).otherwise(0) for b in bounds[:-1]), F.lit(0))
+    bucket = sum((F.when(F.col("n_tokens") > b, 1).otherwise(0) for b in bounds[:-1]), F.lit(0))
     shards = max(1, -(-int(counts.sum()) // shard))
     # Rows of an id with very many of them, or without id, are dealt by their row in
     # the table written above; all others by their id, so that places repeat.
@@ -111,9 +117,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET, sh
     high = high.withColumn("high", F.coalesce(F.sum("count").over(before("bucket", "upper")), F.lit(0))).drop("count")
     offsets = low.join(high, ["bucket", "upper"]).select("bucket", "shard", (F.col("low") + F.col("high")).alias("offset"))
 
-    # The longest document of the bucket: that of its last grid value.
-    longest = {r["grid"]: r["longest"] for r in histogram}
-    bound = F.element_at(F.array(*[F.lit(longest[b]) for b in bounds]), F.col("bucket") + 1).cast("long")
+    bound = F.element_at(F.array(*[F.lit(b) for b in bounds]), F.col("bucket") + 1).cast("long")
     at = (F.col("offset") + F.col("nth")).cast("long")
     size = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest("bucket_tokens", F.lit(1)))).cast("long")
     out = nth.join(offsets, ["bucket", "shard"]).withColumn("bucket_tokens", bound)

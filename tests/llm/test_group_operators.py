@@ -308,11 +308,18 @@ def test_bounds_are_optimal():
     assert packing.optimal_bounds(np.array([]), np.array([])) == []
 
 
-def test_grid_is_tight_and_small(spark):
-    out = spark.range(0, 70000).select("id", packing.grid(F.col("id")).alias("g"))
-    row = out.agg(F.min(F.col("g") - F.col("id")), F.max((F.col("g") - F.col("id")) / F.greatest("id", F.lit(1))), F.count_distinct("g")).first()
-    assert row[0] == 0 and row[1] <= 1 / 128 and row[2] < 256 + 128 * 9
-    assert out.where("id <= 256 and g <> id").count() == 0
+def test_bounds_of_many_long_lengths_are_optimal():
+    """Thousands of lengths, most of them far above 256, against all cuts of each step."""
+    r = np.random.default_rng(3)
+    values = np.unique((r.pareto(0.8, 3000) * 50).astype(np.int64) % 200_000)
+    counts = r.integers(1, 1000, len(values))
+    below = np.concatenate([[0], np.cumsum(counts)])
+    cost = np.concatenate([[0.0], values * below[1:].astype(np.float64)])
+    for k in range(2, 6):
+        cost = np.array([0.0] + [(cost[:j] + values[j - 1] * (below[j] - below[:j]).astype(np.float64)).min() for j in range(1, len(values) + 1)])
+        bounds = np.array(packing.optimal_bounds(values, counts, k))
+        assert len(bounds) == k
+        assert (bounds[np.searchsorted(bounds, values)] * counts).sum() == cost[-1]
 
 
 def test_batches_keep_the_budget_and_every_document(docs, rows, none):
