@@ -13,6 +13,11 @@ batch. Only words that fail are merged pair by pair.
 The work is one ``mapInArrow`` pass without a shuffle: words repeat, so each
 Python worker keeps a bounded cache of them and looks each distinct word up once.
 
+Python, ``regex`` and the tokenizers library follow different versions of Unicode.
+``odd_characters`` finds the code points on which they differ from the library's
+own normaliser and pre-tokenizer, once on the driver; pieces that hold one of
+these are normalised and split by the library's classes.
+
 Defined cases: a null text counts as empty (0 tokens, hashes of the empty
 string). Very long texts are handled whole. Special tokens written in a text
 count as those tokens. Repeated rows give repeated results, empty tables empty
@@ -33,6 +38,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 # Fixed values of the vocabulary's word pattern and end-of-word mark.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -44,6 +50,48 @@ _ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 _NEVER = np.iinfo(np.int64).max
 
 
+def _library_normalizer() -> normalizers.Normalizer:
+    return normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+
+
+def _library_split() -> pre_tokenizers.PreTokenizer:
+    return pre_tokenizers.Split(Regex(WORD_PATTERN), "removed", invert=True)
+
+
+def _library_classes(points: list[str]) -> dict[str, int]:
+    """The words that the library makes of a code point written twice between two
+    letters: 1 for letters, 4 for numbers, 3 for others. Space is left out."""
+    split, out = _library_split(), {}
+    for run, _ in split.pre_tokenize_str("".join(points)):
+        kind = len(split.pre_tokenize_str(f"a{run[0] * 2}b"))
+        out.update(dict.fromkeys(run, kind))
+    return out
+
+
+@lru_cache(maxsize=1)
+def odd_characters() -> str:
+    """Code points that Python or ``regex`` and the library class, lower-case,
+    order or compose differently, and those that become such ones."""
+    # Planes 4 to 13, 15 and 16 hold no characters in any version.
+    points = [chr(c) for c in (*range(0xD800), *range(0xE000, 0x40000), *range(0xE0000, 0xE1000)) if not chr(c).isspace()]
+    classes = _library_classes(points)
+    kinds = {**dict.fromkeys(regex.findall(r"\p{L}", "".join(points)), 1), **dict.fromkeys(regex.findall(r"\p{N}", "".join(points)), 4)}
+    odd = {c for c in points if classes.get(c, 2) != kinds.get(c, 3)}
+    lower = normalizers.Lowercase().normalize_str(" ".join(points)).split(" ")
+    odd.update(c for c, x in zip(points, lower, strict=True) if c.replace("Σ", "σ").lower() != x)
+    # Between marks of the highest and a low class, to see the order that each gives a mark.
+    for form, library in (("NFC", normalizers.NFC()), ("NFD", normalizers.NFD())):
+        for before, after in (("", ""), ("\u0345", "\u0334")):
+            texts = [before + c + after for c in points]
+            made = library.normalize_str("\n".join(texts)).split("\n")
+            for c, t, x in zip(points, texts, made, strict=True):
+                if unicodedata.normalize(form, t) != x:
+                    odd.update(unicodedata.normalize("NFD", c) + c)
+                    odd.update(normalizers.NFD().normalize_str(c))
+    odd.update([c for c in points if not odd.isdisjoint(unicodedata.normalize("NFC", c).lower())])
+    return "".join(sorted(odd))
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level BPE:
     printable Latin-1 bytes stand for themselves, the others for 256, 257, ..."""
@@ -55,7 +103,7 @@ def byte_symbols() -> list[str]:
 class Vocabulary:
     """Tokens, merges and the vectorised compatibility test."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, odd: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.ids: dict[str, int] = spec["model"]["vocab"]
@@ -82,6 +130,8 @@ class Vocabulary:
         self.stable = self._stable()
         self.symbols = byte_symbols()
         self.word = regex.compile(WORD_PATTERN)
+        self.odd = frozenset(odd)
+        self.library_normalizer, self.library_split = _library_normalizer(), _library_split()
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")")
 
     def _rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -231,9 +281,13 @@ class Vocabulary:
 
     def split(self, chunk: str) -> list[str]:
         """Words of a piece of text, in byte symbols."""
-        text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        if chunk.isascii() or self.odd.isdisjoint(chunk):
+            words = self.word.findall(unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower())
+        else:
+            text = self.library_normalizer.normalize_str(chunk)
+            words = [w for w, _ in self.library_split.pre_tokenize_str(text)]
         symbols = self.symbols
-        return ["".join([symbols[b] for b in w.encode()]) for w in self.word.findall(text)]
+        return ["".join([symbols[b] for b in w.encode()]) for w in words]
 
     def pieces(self, text: str) -> list[str]:
         """Space-free pieces of a text; special tokens stand alone."""
@@ -253,8 +307,8 @@ class Vocabulary:
 
 
 @lru_cache(maxsize=2)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+def vocabulary(path: str, odd: str) -> Vocabulary:
+    return Vocabulary(path, odd)
 
 
 class Encoder:
@@ -304,8 +358,10 @@ def _rows(batch: pa.RecordBatch, encoder: Encoder, make: Callable) -> list[tuple
 
 
 def _map(docs: DataFrame, path: str, schema: pa.Schema, ddl: str, make: Callable, key: str, text: str) -> DataFrame:
+    odd = odd_characters()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary(path))
+        encoder = Encoder(vocabulary(path, odd))
         for batch in batches:
             if batch.num_rows:
                 columns = zip(*_rows(batch, encoder, make), strict=True)

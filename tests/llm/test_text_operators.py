@@ -50,7 +50,7 @@ def test_quality_is_one_projection_without_user_functions(docs, none):
 
 @pytest.fixture(scope="module")
 def vocabulary():
-    return bpe.vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    return bpe.vocabulary(public_tokenizers.path("word_bpe_49k.json"), bpe.odd_characters())
 
 
 @pytest.fixture(scope="module")
@@ -80,6 +80,30 @@ def test_bpe_random_strings_match_the_library(vocabulary, library):
         assert encoder.encode(text) == by_library(library, text), text
 
 
+def test_bpe_every_code_point_matches_the_library(vocabulary, library):
+    """Between letters, where class and case show, and between marks, where order does."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for before, after, step in (("a<", ">B", 1), ("e\u0345", "\u0301\u0334x", 7)):
+        encoder = bpe.Encoder(vocabulary)
+        texts = [before + c + after for c in points[::step]]
+        for lo in range(0, len(texts), 20000):
+            part = texts[lo : lo + 20000]
+            encoder.known.clear()
+            encoder.words.clear()
+            encoder.learn({p for t in part for p in vocabulary.pieces(t)})
+            got = [encoder.encode(t)[1] for t in part]
+            want = [" ".join(map(str, e.ids)) for e in library.encode_batch_fast(part, add_special_tokens=False)]
+            assert [t for t, x, y in zip(part, got, want, strict=True) if x != y] == []
+
+
+def test_bpe_strings_of_odd_characters_match_the_library(vocabulary, library):
+    r = random.Random(8)
+    odd, plain = sorted(vocabulary.odd), "aB1é<'s \u0301\u0345\u0334\u4e00Σ"
+    for _ in range(3000):
+        text = "".join(r.choice(odd if r.random() < 0.3 else plain) for _ in range(r.randint(1, 12)))
+        assert bpe.Encoder(vocabulary).encode(text) == by_library(library, text), ascii(text)
+
+
 def test_bpe_speculation_fails_and_is_mended(vocabulary):
     r = random.Random(5)
     words = ["".join(r.choices("abcdehilnorst", k=r.randint(1, 80))) for _ in range(3000)]
