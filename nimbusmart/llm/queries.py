@@ -139,7 +139,44 @@ def op10_substring_dedup(spark, sf_dir) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@register("op9_near_dedup")
+# Candidates share one of their rarest shingles: of n, so many that two sets of the
+# similarity can't do without; all are then confirmed on the whole sets.
+_NEAR_SQL = """
+with recursive d as (
+  select row_number() over (order by doc_id, text) as rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), s as (
+  select rid, doc_id, case when len(w) < 2 then w
+    else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s
+  from d
+), x as (
+  select rid, len(s) as n, unnest(s) as g from s where doc_id is not null
+), f as (
+  select g, count(*) as df from x group by g
+), p as (
+  select rid, n, g from x join f using (g)
+  qualify row_number() over (partition by rid order by df, g) <= n - (80 * n + 99) // 100 + 1
+), c as (
+  select distinct a.rid as u, b.rid as v from p a join p b on a.g = b.g and a.rid < b.rid
+  where 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), l as (
+  select u, v, len(list_intersect(a.s, b.s)) as common, len(a.s) + len(b.s) as total
+  from c join s a on a.rid = u join s b on b.rid = v
+), e as (
+  select u, v from l where 100 * common >= 80 * (total - common)
+  union all select v, u from l where 100 * common >= 80 * (total - common)
+), reach as (
+  select rid, rid as other from s union select r.rid, e.v from reach r join e on e.u = r.other
+), o as (
+  select r.rid, min(s.doc_id) as component_id from reach r join s on s.rid = r.other group by r.rid
+)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, o.component_id, coalesce(s.doc_id = o.component_id, true) as kept
+from s join o using (rid)
+"""
+
+
+@register("op9_near_dedup", _NEAR_SQL)
 def op9_near_dedup(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, shingle_words=2)
