@@ -170,20 +170,17 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> Dat
     copies = (
         digests.join(firsts, ["a", "b"])
         .where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("key") != F.col("first.key")))
-        .select("doc_id", "key", F.array().cast("array<int>").alias("shared"))
+        .select("doc_id", "key", F.array().cast("array<int>").alias("starts"))
         .distinct()
     )
+    copies = materialise(copies, "substring-copies")
 
     named = repeats(known.mapInArrow(_names(window, seed), ddl), 2, "place", "none", "substring-names")
-    hints = _places(named, "shared").unionByName(copies).groupBy("doc_id", "key").agg(
-        F.when(F.min(F.size("shared")) == 0, F.array().cast("array<int>")).otherwise(F.max("shared")).alias("shared")
-    )
-    # One pass over the texts by document: those without a hint are done, copies too.
-    hinted = base.join(hints, ["doc_id", "key"], "left").select("doc_id", "key", "text", "shared")
-    hinted = materialise(hinted, "substring-hints")
-    open_ = (F.col("shared").isNotNull()) & (F.size("shared") > 0)
-    done = hinted.where(~F.coalesce(open_, F.lit(False))).select("doc_id", "text", F.col("shared").alias("starts"))
-    candidates = hinted.where(open_)
+    hints = _places(named, "shared").join(copies, ["doc_id", "key"], "left_anti")
+    # Texts meet their hints on the way to the windows and their places at the end,
+    # and are not written in between.
+    candidates = known.join(hints, ["doc_id", "key"]).select("doc_id", "key", "text", "shared")
     repeated = repeats(candidates.mapInArrow(_windows(window, seed), ddl), 2, "place", "place", "substring-windows")
-    cut = candidates.join(_places(repeated, "starts"), ["doc_id", "key"], "left").select("doc_id", "text", "starts")
-    return done.unionByName(cut).mapInArrow(_apply(window), "doc_id long, n_words long, n_removed long, text string")
+    starts = _places(repeated, "starts").unionByName(copies)
+    cut = base.join(starts, ["doc_id", "key"], "left").select("doc_id", "text", "starts")
+    return cut.mapInArrow(_apply(window), "doc_id long, n_words long, n_removed long, text string")
