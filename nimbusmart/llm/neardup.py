@@ -1,18 +1,21 @@
-"""Near-duplicate documents by prefix buckets over MinHash signatures.
+"""Near-duplicate documents by an LSH forest over MinHash signatures.
 
 Documents whose shingle sets are equal form a class; only classes go on. Each of
-``TREES`` trees has its own sequence of signature values, and puts the classes
-that share its first values into one bucket, by a hash of them; nothing is sorted
-by signature. A region is such a bucket. Depth adapts to the region: it starts at
-``DEPTHS[0]`` values, at which two sets of similarity 0.8 meet in at least one
-tree but for 3 cases in 10^8. In the first round a region of more than ``REGION``
-classes is looked at in blocks and through longer prefixes.
+``TREES`` trees has its own sequence of signature values and sorts the classes by
+it: range-partitioned by the sequence, so that a hot prefix spreads over many
+partitions. Neighbours in an order share their longest common prefixes. A region
+is a run of neighbours that share ``DEPTHS[0]`` values, at which two sets of
+similarity 0.8 meet in at least one tree but for 3 cases in 10^8. Depth adapts to
+the region: one of more than ``REGION`` classes is cut, while the order streams
+by, where neighbours have the least in common, up to ``DEPTHS[-1]`` values deep;
+the two neighbours at a cut stay together. A region that a partition's border
+parts is cut as well.
 
 There are two rounds, so that no group of copies is turned into all its pairs.
 First each region gives a maximum spanning forest over the signatures' agreement;
 these candidates are joined with the full sets and confirmed. Then only regions
-that still hold several components are looked at again, without the classes that
-have no candidate and were in no region too large: the full sets come to the
+that still hold several components are looked at again, whole and without the
+classes that have no candidate and were in no region cut: the full sets come to the
 region, and what comes out are confirmed links between different components, not
 pairs. Agreement below ``J - 4.5 sigma`` is the only guess that keeps a pair from
 being compared; confirmed links are exact. Components are found by
@@ -49,7 +52,8 @@ from nimbusmart.llm.tables import materialise
 
 SHINGLE_WORDS, PERCENT = 5, 80
 VALUES, TREES = 128, 24
-DEPTHS = (3, 6, 10, 16)
+# Signature values that a region has in common: the least, and the most that are looked at.
+DEPTHS = (3, 16)
 REGION = 2048
 BATCH = 256
 # The side of classes in a cell of a grid: 0, 1, or all of them with each other.
@@ -108,9 +112,132 @@ def _low_bytes():
     return run, "node long, n_shingles long, signature binary, bytes binary"
 
 
+def _sequences():
+    """(sequence, node) for each tree: the tree and its signature values, by their
+    low 16 bits as big-endian bytes, so that the order of bytes is that of values."""
+    schema = pa.schema([("sequence", pa.binary()), ("node", pa.int64())])
+    columns = tree_columns()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                signature = _signature_matrix(part.column(1)).astype(">u2")
+                values = np.empty((part.num_rows, TREES, 1 + columns.shape[1]), dtype=">u2")
+                values[:, :, 0] = np.arange(TREES)
+                values[:, :, 1:] = signature[:, columns]
+                rows = values.reshape(part.num_rows * TREES, -1)
+                node = np.repeat(part.column(0).to_numpy(zero_copy_only=False), TREES)
+                yield _frame(schema, [r.tobytes() for r in rows], node)
+
+    return run, "sequence binary, node long"
+
+
+class _Order:
+    """Cuts one sorted partition into regions, as it streams by.
+
+    Held are the rows of the open run, at most ``region`` of them and a batch, and
+    the row before them if that run has been cut.
+    """
+
+    def __init__(self, region: int, depth: int):
+        self.region, self.depth = region, depth + 1  # the tree is a value as well
+        self.values = self.node = None
+        self.lead = 0  # rows held that stand in the block before
+        self.cut = True  # the first run may have begun in an earlier partition
+        self.out: list[tuple] = []
+
+    def _put(self, lo: int, hi: int, cut: bool) -> None:
+        """A block. Its last row is in no other block of the tree at the end."""
+        if hi - lo > 1 or cut:
+            key = mix(self.node[hi - 1 : hi].astype(np.uint64) ^ mix(self.values[hi - 1 : hi, 0].astype(np.uint64)))
+            self.out.append((np.repeat(key, hi - lo), self.node[lo:hi], np.full(hi - lo, cut)))
+
+    def _blocks(self, common: np.ndarray, lo: int, hi: int) -> int:
+        """Blocks of the run ``lo:hi`` while it is too large; where the rest begins."""
+        half = max(self.region // 2, 1)
+        while hi - lo - self.lead > self.region:
+            begin = lo + self.lead
+            end = begin + half + int(common[begin + half : begin + self.region + 1].argmin())
+            self._put(lo, end, True)
+            lo, self.lead, self.cut = end - 1, 1, True
+        return lo
+
+    def _run(self, common: np.ndarray, lo: int, hi: int) -> None:
+        """A run that is whole."""
+        lo = self._blocks(common, lo, hi)
+        self._put(lo, hi, self.cut)
+        self.lead, self.cut = 0, False
+
+    def feed(self, values: np.ndarray, node: np.ndarray) -> None:
+        if self.node is not None:
+            values, node = np.concatenate([self.values, values]), np.concatenate([self.node, node])
+        self.values, self.node = values, node
+        same = values[1:] == values[:-1]
+        common = np.concatenate([[0], np.where(same.all(axis=1), same.shape[1], same.argmin(axis=1))])
+        starts = np.flatnonzero(common < self.depth)
+        if len(starts) > 1:
+            self._run(common, 0, int(starts[1]))
+            lengths = np.diff(starts)
+            rest = np.arange(len(lengths)) > 0
+            fit = rest & (lengths > 1) & (lengths <= self.region)
+            if fit.any():
+                inside = np.repeat(fit, lengths)
+                last = (starts[1:] - 1)[fit]
+                key = mix(node[last].astype(np.uint64) ^ mix(values[last, 0].astype(np.uint64)))
+                picked = node[: starts[-1]][inside]
+                self.out.append((np.repeat(key, lengths[fit]), picked, np.zeros(len(picked), dtype=bool)))
+            for i in np.flatnonzero(rest & (lengths > self.region)):
+                self._run(common, int(starts[i]), int(starts[i + 1]))
+        lo = self._blocks(common, int(starts[-1]), len(node))
+        self.values, self.node = values[lo:], node[lo:]
+
+    def close(self) -> None:
+        if self.node is not None:
+            self._put(0, len(self.node), True)  # it may go on in the next partition
+
+
+def _regions_of_orders(region: int, depth: int):
+    """(key, node, cut) of the regions of sorted rows (sequence, node); ``cut`` where
+    a region is not whole."""
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("cut", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = _Order(region, depth)
+
+        def taken() -> Iterator[pa.RecordBatch]:
+            if order.out:
+                key, node, cut = (np.concatenate(x) for x in zip(*order.out, strict=True))
+                order.out.clear()
+                yield _frame(schema, key.view(np.int64), node, cut)
+
+        for batch in batches:
+            if batch.num_rows:
+                order.feed(_signature_matrix(batch.column(0), ">u2"), batch.column(1).to_numpy(zero_copy_only=False))
+                yield from taken()
+        order.close()
+        yield from taken()
+
+    return run, "key long, node long, cut boolean"
+
+
+def _neighbours(classes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(key, node, label, side): classes in regions of the trees' orders; and (node)
+    those whose region is not whole."""
+    run, ddl = _sequences()
+    rows = classes.select("node", "signature").mapInArrow(run, ddl)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["sequence", "node"]
+    run, ddl = _regions_of_orders(REGION, DEPTHS[0])
+    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    found = materialise(ranged.mapInArrow(run, ddl), f"{name}-orders")
+    regions = found.select("key", "node", F.col("node").alias("label"), F.lit(WHOLE).alias("side"))
+    return regions, found.where("cut").select("node").distinct()
+
+
 def _prefixes(depth: int):
-    """(node, tree, key): the prefix of each tree, or of one given tree a row."""
-    schema = pa.schema([("node", pa.int64()), ("tree", pa.int32()), ("key", pa.int64())])
+    """(node, key): the prefix of each tree."""
+    schema = pa.schema([("node", pa.int64()), ("key", pa.int64())])
     columns = tree_columns()[:, :depth]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,26 +246,19 @@ def _prefixes(depth: int):
                 part = batch.slice(lo, 1024)
                 node = part.column(0).to_numpy(zero_copy_only=False)
                 signature = _signature_matrix(part.column(1)).astype(np.uint64)
-                if part.num_columns > 2:
-                    tree = part.column(2).to_numpy(zero_copy_only=False)
-                    values, nodes = signature[np.arange(len(node))[:, None], columns[tree]], node
-                else:
-                    tree = np.tile(np.arange(TREES), len(node))
-                    values, nodes = signature[:, columns].reshape(len(tree), depth), np.repeat(node, TREES)
-                key = mix(tree.astype(np.uint64) + np.uint64(depth << 32))
+                tree = np.tile(np.arange(TREES, dtype=np.uint64), len(node))
+                values = signature[:, columns].reshape(len(tree), depth)
+                key = mix(tree + np.uint64(depth << 32))
                 for i in range(depth):
                     key = mix(key ^ values[:, i])
-                yield _frame(schema, nodes, tree.astype(np.int32), key.view(np.int64))
+                yield _frame(schema, np.repeat(node, TREES), key.view(np.int64))
 
-    return run, "node long, tree int, key long"
+    return run, "node long, key long"
 
 
-def _sizes(rows: DataFrame, labelled: bool) -> DataFrame:
+def _sizes(rows: DataFrame) -> DataFrame:
     """Of keys with several labels: the number of rows, the smallest node, and
     the commonest label with its number of rows."""
-    if not labelled:  # every node has a label of its own
-        sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1")
-        return sizes.withColumns({"main": F.lit(None).cast("long"), "most": F.lit(1).cast("long")})
     parts = rows.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("node").alias("first"))
     top = F.max(F.struct("n", "label"))
     sizes = parts.groupBy("key").agg(F.sum("n").alias("n"), F.min("first").alias("first"), top.alias("top"), F.count("*").alias("labels"))
@@ -176,47 +296,32 @@ def _grid(region: DataFrame, percent: int) -> DataFrame:
     return dealt.select(F.col("c.cell").alias("key"), "node", "label", F.col("c.side").alias("side"))
 
 
-def _regions(classes: DataFrame, labelled: bool, percent: int, name: str) -> tuple[DataFrame, DataFrame | None]:
-    """(key, node, label, side): classes that share a region with a different label;
-    and (node) those that stand in a region too large, if there is any.
+def _regions(classes: DataFrame, percent: int, name: str) -> DataFrame:
+    """(key, node, label, side): classes that share a whole region with a different label.
 
-    A region that is too large is cut into blocks by a hash of the node. If all
-    but a few of its classes belong to one component, the few are in every block
-    and no pair is lost. If not, round one only looks for what is alike for the
-    most part: in blocks that differ from tree to tree, and through longer
-    prefixes. Round two deals the region to a grid that loses no pair either.
+    A region that is too large is cut into blocks by a hash of the node if all but
+    a few of its classes belong to one component: the few are in every block and no
+    pair is lost. If not, it is dealt to a grid that loses no pair either.
     """
     half = REGION // 2
     run, ddl = _prefixes(DEPTHS[0])
     labels = classes.select("node", "label", "n_shingles")
     rows = classes.select("node", "signature").mapInArrow(run, ddl).join(labels, "node")
-    out = crowded = None
-    for level in range(len(DEPTHS)):
-        rows = materialise(rows, f"{name}-rows")
-        sizes = materialise(_sizes(rows, labelled), f"{name}-sizes")
-        fit = rows.join(sizes.where(F.col("n") <= REGION), "key").select("key", "node", "label", F.lit(WHOLE).alias("side"))
-        out = fit if out is None else out.unionByName(fit)
-        large = sizes.where(F.col("n") > REGION)
-        if large.isEmpty():
-            break
-        if level == 0:
-            crowded = rows.join(large.select("key"), "key").select("node").distinct()
-        few = F.col("n") - F.col("most") <= half
-        if labelled:
-            out = out.unionByName(_grid(rows.join(large.where(~few).select("key"), "key"), percent))
-            large = large.where(few)
-        blocks = F.ceil(F.col("n") / half)
-        everywhere = (few & (F.col("label") != F.col("main"))) | (F.col("node") == F.col("first"))
-        one = F.array(F.pmod(F.xxhash64("key", "node"), blocks))
-        block = F.explode(F.when(everywhere, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(one))
-        cut = rows.join(large, "key").select("key", "node", "label", block.alias("block"))
-        out = out.unionByName(cut.select(F.xxhash64("key", "block").alias("key"), "node", "label", F.lit(WHOLE).alias("side")))
-        if labelled or level + 1 == len(DEPTHS):
-            break
-        deep = rows.join(large.select("key"), "key").select("node", "tree")
-        run, ddl = _prefixes(DEPTHS[level + 1])
-        rows = deep.join(classes, "node").select("node", "signature", "tree").mapInArrow(run, ddl).join(labels, "node")
-    return out, crowded
+    rows = materialise(rows, f"{name}-rows")
+    sizes = materialise(_sizes(rows), f"{name}-sizes")
+    fit = rows.join(sizes.where(F.col("n") <= REGION), "key").select("key", "node", "label", F.lit(WHOLE).alias("side"))
+    large = sizes.where(F.col("n") > REGION)
+    if large.isEmpty():
+        return fit
+    few = F.col("n") - F.col("most") <= half
+    grid = _grid(rows.join(large.where(~few).select("key"), "key"), percent)
+    blocks = F.ceil(F.col("n") / half)
+    everywhere = (F.col("label") != F.col("main")) | (F.col("node") == F.col("first"))
+    one = F.array(F.pmod(F.xxhash64("key", "node"), blocks))
+    block = F.explode(F.when(everywhere, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(one))
+    cut = rows.join(large.where(few), "key").select("key", "node", "label", block.alias("block"))
+    cut = cut.select(F.xxhash64("key", "block").alias("key"), "node", "label", F.lit(WHOLE).alias("side"))
+    return fit.unionByName(grid).unionByName(cut)
 
 
 def _forest(agree: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -345,11 +450,9 @@ def _links_of_regions(forest: bool, percent: int):
     return run, "a long, b long"
 
 
-def _pairs(classes: DataFrame, sets: DataFrame | None, percent: int, name: str) -> tuple[DataFrame, DataFrame | None]:
+def _pairs(regions: DataFrame, classes: DataFrame, sets: DataFrame | None, percent: int) -> DataFrame:
     """Candidate forests of the regions; with ``sets``, all confirmed links
-    between the different labels that regions hold. And the classes in regions
-    that are too large, as of ``_regions``."""
-    regions, crowded = _regions(classes, sets is not None, percent, name)
+    between the different labels that regions hold."""
     rows = regions.join(classes.select("node", "n_shingles", "bytes"), "node")
     if sets is None:
         rows = rows.withColumn("shingles", F.lit(None).cast("binary"))
@@ -357,7 +460,7 @@ def _pairs(classes: DataFrame, sets: DataFrame | None, percent: int, name: str)
         rows = rows.join(sets, "node")
     rows = rows.select("key", "node", "label", "n_shingles", "side", "bytes", "shingles")
     run, ddl = _links_of_regions(sets is None, percent)
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, ddl).distinct(), crowded
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, ddl).distinct()
 
 
 def _pack(s: np.ndarray) -> bytes:
@@ -445,13 +548,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     nodes = classes.select("node", "n_shingles", "signature").mapInArrow(run, ddl)
     nodes = materialise(nodes.withColumn("label", F.col("node")), "class-nodes")
 
-    first, crowded = _pairs(nodes, None, percent, "forest")
-    first = materialise(first, "forest-pairs")
-    # In regions of full size a class without a candidate has been compared with
-    # all others; in a cut one it has not.
-    involved = first.select(F.col("a").alias("node")).union(first.select("b"))
-    if crowded is not None:
-        involved = involved.union(crowded)
+    regions, parted = _neighbours(nodes, "forest")
+    first = materialise(_pairs(regions, nodes, None, percent), "forest-pairs")
+    # In a whole region a class without a candidate has been compared with all
+    # others; in a cut one it has not.
+    involved = first.select(F.col("a").alias("node")).union(first.select("b")).union(parted)
     involved = materialise(involved.distinct(), "involved")
     run, ddl = _packed_sets(shingle_words)
     leads = involved.join(classes.select("node", "doc_id", "key"), "node")
@@ -465,7 +566,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 
     labelled = nodes.drop("label").join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
     labelled = materialise(labelled.join(involved, "node", "left_semi"), "labelled-classes")
-    more, _ = _pairs(labelled, sets, percent, "rest")
+    more = _pairs(_regions(labelled, percent, "rest"), labelled, sets, percent)
     more = materialise(more.toDF("u", "v"), "rest-links")
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(more), "components")

@@ -172,6 +172,49 @@ def test_grid_holds_every_pair_whose_sizes_fit(spark, monkeypatch):
     assert not any(sizes[a] == 500 and sizes[b] < 100 for a, b in met)
 
 
+def common_values(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), len(a))
+
+
+@pytest.mark.parametrize(("region", "batch"), [(4, 1), (4, 7), (6, 50), (1000, 13)])
+def test_orders_keep_neighbours_together(region, batch):
+    """Regions of a sorted partition: whole if they fit, cut where neighbours have
+    the least in common if not; no pair of neighbours is parted."""
+    r = random.Random(region + batch)
+    depth = 2
+    rows = [[t, *[min(r.randint(0, 3), r.randint(0, 3)) for _ in range(5)]] for t in (0, 1) for _ in range(150)]
+    rows += [[2, 9, 9, 9, 9, 9]] * 40 + [[3, i, 0, 0, 0, 0] for i in range(9)]
+    rows.sort()
+    order, out = neardup._Order(region, depth), []
+    for lo in range(0, len(rows), batch):
+        order.feed(np.array(rows[lo : lo + batch], dtype=">u2"), np.arange(lo, min(lo + batch, len(rows))))
+        out += order.out
+        order.out.clear()
+    order.close()
+    blocks = {}
+    for keys, nodes, cuts in out + order.out:
+        for k, n, c in zip(keys.tolist(), nodes.tolist(), cuts.tolist(), strict=True):
+            blocks.setdefault(k, []).append((n, c))
+    together = {(a, b) for block in blocks.values() for a, _ in block for b, _ in block if b == a + 1}
+    runs = [[0]]
+    for i in range(1, len(rows)):
+        if common_values(rows[i - 1], rows[i]) > depth:
+            assert (i - 1, i) in together
+            runs[-1].append(i)
+        else:
+            runs.append([i])
+    assert all(len(block) <= region + 1 for block in blocks.values())
+    cut = {n for block in blocks.values() for n, c in block if c}
+    assert cut == {n for k, run in enumerate(runs) if len(run) > region or k in (0, len(runs) - 1) for n in run}
+    whole = sorted([n for n, _ in block] for block in blocks.values() if not block[0][1])
+    assert whole == [run for run in runs[1:-1] if 1 < len(run) <= region]
+    for block in blocks.values():  # a cut block ends where the next row has the least in common with it
+        end = block[-1][0]
+        if block[0][1] and end + 1 < len(rows) and common_values(rows[end], rows[end + 1]) > depth:
+            window = range(max(end - region // 2, block[0][0] + region // 2), end + 1)
+            assert all(common_values(rows[i], rows[i + 1]) >= common_values(rows[end], rows[end + 1]) for i in window if i > block[0][0] + region // 2)
+
+
 def test_trees_meet_similar_sets_almost_surely():
     columns = neardup.tree_columns()
     first = columns[:, : neardup.DEPTHS[0]]
