@@ -23,10 +23,10 @@ from nimbusmart.operators.curate import HOT_COPIES, copies_sketch, curate_by_yea
 from nimbusmart.operators.geo import feed_bronze
 from nimbusmart.operators.marts import build_mart, project_mart
 from nimbusmart.operators.serving import has_rows
-from nimbusmart.session import check_output, estimate_row_bytes, sized_shuffles
+from nimbusmart.session import check_output, estimate_row_bytes, sized_shuffles, spread_shuffles
 from nimbusmart.sinks.files import save_partitioned_table, write_partitioned_parquet
 from nimbusmart.sources.catalog import register_parquet_table
-from nimbusmart.sources.files import partition_bytes, read_parquet
+from nimbusmart.sources.files import folder_bytes, partition_bytes, read_parquet
 
 log = logging.getLogger(__name__)
 
@@ -87,14 +87,28 @@ def write_bronze(weather: DataFrame, cities: DataFrame, countries: DataFrame, ou
     return rows, hot_hashes(seen["copies"], rows)
 
 
-# Parquet bytes of a year that one silver task takes.
+# Bytes of a year that one silver task takes: as Parquet, and as rows in memory, which
+# the distinct holds in about twice that.
 SILVER_PART_BYTES = 128 * 1024 * 1024
+SILVER_ROW_BYTES = 64 * 1024 * 1024
 
 
-def silver_layout(spark: SparkSession, bronze_path: str, target_bytes: int = SILVER_PART_BYTES) -> dict[int, int]:
-    """year -> number of parts, by the size of the year's bronze folder."""
+def silver_layout(
+    spark: SparkSession, bronze_path: str, target_bytes: int = SILVER_PART_BYTES, row_bytes: int = SILVER_ROW_BYTES
+) -> dict[int, int]:
+    """year -> number of parts, by the size of the year's bronze folder and by its
+    rows: how far Parquet shrinks them says nothing about their size in a task.
+
+    The rows are counted by the footers, as only the folder's column is read.
+    """
     sizes = partition_bytes(spark, bronze_path, "year")
-    return {int(y): -(-n // target_bytes) for y, n in sizes.items() if y.lstrip("-").isdigit() and n}
+    parts = {int(y): -(-n // target_bytes) for y, n in sizes.items() if y.lstrip("-").isdigit() and n}
+    bronze = read_parquet(spark, bronze_path)
+    one = estimate_row_bytes(bronze.schema)
+    for year, rows in bronze.groupBy(F.col("year").try_cast("int")).count().collect():
+        if year is not None:
+            parts[year] = max(parts.get(year, 1), -(-rows * one // row_bytes))
+    return parts
 
 
 def find_hot_rows(bronze: DataFrame) -> list[int]:
@@ -128,8 +142,9 @@ def run_silver(
     check_output(out, bronze_path)
     bronze = read_parquet(spark, bronze_path)
     hot = find_hot_rows(bronze) if hot is None else hot
-    silver = curate_by_year(bronze, silver_layout(spark, bronze_path), hot)
-    rows = _write_counted(silver, out, "silver", laid_out=True)
+    parts = silver_layout(spark, bronze_path)
+    with spread_shuffles(spark, sum(parts.values()), folder_bytes(spark, bronze_path)):
+        rows = _write_counted(curate_by_year(bronze, parts, hot), out, "silver", laid_out=True)
     if table is not None:
         if copy_table:
             save_partitioned_table(read_parquet(spark, out), table, "year")

@@ -7,7 +7,7 @@ import os
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -174,6 +174,22 @@ def estimate_row_bytes(schema: T.StructType) -> int:
     return size
 
 
+@contextmanager
+def settings(spark: SparkSession, new: Mapping[str, object]) -> Iterator[None]:
+    """Run the enclosed jobs with other settings; the previous ones come back afterwards."""
+    old = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 @contextmanager
 def sized_shuffles(
     spark: SparkSession, shuffle_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES
@@ -194,14 +210,39 @@ def sized_shuffles(
     split = map_split_bytes_for(shuffle_bytes)
     if split > MAP_SPLIT_BYTES:
         new["spark.sql.files.maxPartitionBytes"] = split
-    old = {k: spark.conf.get(k, None) for k in new}
-    for k, v in new.items():
-        spark.conf.set(k, str(v))
-    try:
+    with settings(spark, new):
+        yield n
+
+
+# Partitions for every key of a shuffle by few large keys: so many that two of them seldom meet.
+PARTITIONS_PER_KEY = 16
+# Partitions up to this size may still share a task, and splits of the input are not smaller.
+SPREAD_MERGE_BYTES = 1024 * 1024
+
+
+@contextmanager
+def spread_shuffles(
+    spark: SparkSession, keys: int, input_bytes: int = 0, max_blocks: int = MAX_SHUFFLE_BLOCKS
+) -> Iterator[int]:
+    """Run the enclosed jobs with shuffles that leave each of ``keys`` large keys a task
+    of its own, but for chance, and with about as many map tasks over files of
+    ``input_bytes``; the previous settings come back afterwards. Yields the
+    partition count.
+
+    Rows are dealt to partitions by the hash of their key, so with about as many
+    partitions as keys several keys meet in one, and AQE merges by the compressed
+    size, which says little about the memory that the rows take. AQE still drops
+    the partitions that stay empty.
+    """
+    n = max(1, min(keys * PARTITIONS_PER_KEY, math.isqrt(max_blocks)))
+    new = {
+        "spark.sql.shuffle.partitions": n,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": n,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": SPREAD_MERGE_BYTES,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": SPREAD_MERGE_BYTES,
+    }
+    if input_bytes and keys:
+        split = max(SPREAD_MERGE_BYTES, -(-input_bytes // keys))
+        new["spark.sql.files.maxPartitionBytes"] = map_split_bytes_for(input_bytes, split, max_blocks)
+    with settings(spark, new):
         yield n
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)

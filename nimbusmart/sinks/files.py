@@ -16,9 +16,16 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nimbusmart.session import settings
+
 # Cap on rows per output file, so one large partition does not become one
 # huge file.
 MAX_RECORDS_PER_FILE = 5_000_000
+# Cap on rows per row group, the least that a later task reads: Parquet's own cap
+# goes by the written size, to which many rows may shrink.
+MAX_RECORDS_PER_GROUP = 250_000
+# Files that a task keeps open side by side; rows of more partitions are sorted first.
+MAX_OPEN_FILES = 16
 
 
 def _balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -54,12 +61,14 @@ def write_partitioned_parquet(
         balanced
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("parquet.block.row.count.limit", MAX_RECORDS_PER_GROUP)
     )
     if dynamic_overwrite:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if cols:
         writer = writer.partitionBy(*cols)
-    writer.parquet(path)
+    with settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": MAX_OPEN_FILES}):
+        writer.parquet(path)
     return path
 
 

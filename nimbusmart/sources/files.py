@@ -64,6 +64,12 @@ def read_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below ``path``, from the store's listing."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(root).getLength()
+
+
 def partition_bytes(spark: SparkSession, path: str, column: str) -> dict[str, int]:
     """Bytes below each ``column=value`` folder of ``path``, from the store's listing."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,10 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import SF_SMALL, canonical
+from nimbusmart.functions.metrics import METRIC_COLUMNS
 from nimbusmart.operators import curate as C
 from nimbusmart.plans import pipeline, roles, stages
 from nimbusmart.plans.profile import explain_text
 from nimbusmart.plans.reuse import input_stamp, reused
+from nimbusmart.session import estimate_row_bytes, spread_shuffles
 from nimbusmart.sinks.files import save_partitioned_table, schema_rows, write_partitioned_parquet
 from nimbusmart.sources.catalog import create_delimited_table, list_partitions
 from nimbusmart.sources.files import partition_bytes, read_csv_positional, read_parquet
@@ -96,6 +98,83 @@ def test_layout_of_years_by_size(spark, bronze):
     assert all(parts[int(y)] == -(-n // 1000) for y, n in sizes.items() if y.isdigit()) and len(parts) == len(sizes) - 1
 
 
+@pytest.fixture(scope="module")
+def dense(spark, tmp_path_factory):
+    """A bronze of 3 million rows of two years that Parquet shrinks to little; its rows' size in memory."""
+    path = str(tmp_path_factory.mktemp("layout") / "dense")
+    i = F.col("id")
+    cols = {"city_name": F.lit("Bourg"), "date": F.make_date(F.lit(2000) + i % 3 % 2, F.lit(1), F.lit(1)).cast("timestamp")}
+    cols |= {c: (i % 1500 if c == "avg_temp_c" else F.floor(i / 1500) if c == "min_temp_c" else F.lit(1)).cast("double") for c in METRIC_COLUMNS}
+    cols |= {"country": F.lit("Pays"), "region": F.lit("R"), "year": F.lit(2000) + (i % 3 % 2).cast("int")}
+    rows = spark.range(3_000_000).select(*[c.alias(k) for k, c in cols.items()])
+    write_partitioned_parquet(rows, path)
+    return path, 2_000_000 * estimate_row_bytes(read_parquet(spark, path).schema)
+
+
+def test_layout_of_years_by_rows(spark, dense):
+    path, size = dense  # of the larger year, 2000
+    sizes = partition_bytes(spark, path, "year")
+    assert sizes["2000"] * 3 < size / 20 and sizes["2000"] < pipeline.SILVER_PART_BYTES
+    parts = pipeline.silver_layout(spark, path)
+    assert parts == {2000: -(-size // pipeline.SILVER_ROW_BYTES), 2001: -(-size // 2 // pipeline.SILVER_ROW_BYTES)}
+    assert parts[2000] > 4
+
+
+def test_layout_of_a_bronze_without_folders_of_years(spark, tmp_path):
+    path = str(tmp_path / "flat")
+    years = [2000] * 5 + [2001] + [None] * 3
+    spark.createDataFrame([(f"c{i}", y) for i, y in enumerate(years)], "city_name string, year int").write.parquet(path)
+    assert pipeline.silver_layout(spark, path, row_bytes=2 * 56) == {2000: 3, 2001: 1}
+
+
+def test_a_silver_task_takes_few_parts(spark, dense, tmp_path):
+    """The rows that one task writes stay near a part's, whatever the session's number of shuffle partitions."""
+    path, _ = dense
+    out = str(tmp_path / "silver")
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.shuffle.partitions")
+    assert pipeline.run_silver(spark, path, out, hot=[]) == 3_000_000
+    assert before == (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "134217728b"
+    tasks = {}
+    for at, _, names in os.walk(out):
+        for name in names:
+            if name.endswith(".parquet"):
+                n = pq.ParquetFile(f"{at}/{name}").metadata.num_rows
+                tasks[name.split("-")[1]] = tasks.get(name.split("-")[1], 0) + n
+    part = pipeline.SILVER_ROW_BYTES // estimate_row_bytes(read_parquet(spark, path).schema)
+    assert sum(tasks.values()) == 3_000_000 and max(tasks.values()) < 3 * part < 1_000_000
+    silver = read_parquet(spark, out)
+    assert silver.distinct().count() == 3_000_000
+    assert silver.exceptAll(read_parquet(spark, path).select(*silver.columns)).isEmpty()
+
+
+def test_written_row_groups_are_bounded_by_rows(spark, dense):
+    path, _ = dense
+    files = [f"{at}/{name}" for at, _, names in os.walk(path) for name in names if name.endswith(".parquet")]
+    groups = [pq.ParquetFile(f).metadata for f in files]
+    assert max(m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)) <= 250_000
+
+
+def test_a_write_by_year_needs_no_sort_in_its_task(spark, tmp_path):
+    """Few years a task: a file each side by side. More than that: the rest is sorted, and all is written."""
+    from nimbusmart.sinks import files
+
+    rows = spark.range(0, 3000, 1, 1).select("id", (F.col("id") % 60).cast("int").alias("year"))
+    write_partitioned_parquet(rows, str(tmp_path / "many"), laid_out=True)
+    assert files.MAX_OPEN_FILES < 60 and len([x for x in os.listdir(tmp_path / "many") if x.startswith("year=")]) == 60
+    same(read_parquet(spark, str(tmp_path / "many")), rows)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_spread_shuffles_are_bounded(spark):
+    with spread_shuffles(spark, 10) as n:
+        assert n == 160 == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with spread_shuffles(spark, 10**6, 10**13) as n:
+        assert n == 65536 and 10**13 / int(spark.conf.get("spark.sql.files.maxPartitionBytes")) <= 65536
+    with spread_shuffles(spark, 0) as n:
+        assert n == 1
+
+
 def test_null_partition_and_second_write(spark, tmp_path):
     path = str(tmp_path / "p")
     df = spark.createDataFrame([(1, 2000), (2, 2001), (3, None)], "id int, year int")
