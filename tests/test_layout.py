@@ -226,7 +226,7 @@ def test_written_layers_follow_their_input(spark, tmp_path):
     sf = str(tmp_path / "sf")
     os.mkdir(sf)
     for t in stages.INPUTS:
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", sf)
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", f"{sf}/{t}.parquet")  # without the mode: the tables are read-only
     first = stages.gold_registry(spark, sf)
     assert stages.gold_registry(spark, sf) == first and stages.gold_registry(spark, sf, max_age=3600) == first
     n = read_parquet(spark, first["dm_risks"]).count()
