@@ -155,8 +155,7 @@ def test_written_row_groups_are_bounded_by_rows(spark, dense):
     assert max(m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)) <= 250_000
 
 
-def test_a_write_by_year_needs_no_sort_in_its_task(spark, tmp_path):
-    """Few years a task: a file each side by side. More than that: the rest is sorted, and all is written."""
+def test_more_years_than_open_files_are_all_written(spark, tmp_path):
     from nimbusmart.sinks import files
 
     rows = spark.range(0, 3000, 1, 1).select("id", (F.col("id") % 60).cast("int").alias("year"))
